@@ -1,0 +1,5 @@
+"""Streaming.
+
+The reference runs every program as a batch over static graphs and has no
+streaming source, state or window, so nothing streaming is built here.
+"""
