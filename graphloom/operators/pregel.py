@@ -18,23 +18,27 @@ Each superstep is
    left-joined with the merged messages; the merge output has the same
    partitioning, so the vertex side does not move.
 
-One action per round (the round's counters) materialises the new state;
-every ``checkpoint_every`` rounds the state is checkpointed reliably into the
-session's checkpoint directory, which cuts the plan and survives executor
-loss.
+Every round's state is written as Parquet under the session's checkpoint
+directory (the round's counters are observed in the same job) and read back:
+that cuts the plan each round -- a round reads its input twice (frontier and
+update), so an uncut plan would double with every round -- and the state
+survives the loss of any executor.
 """
 from __future__ import annotations
 
+import math
+import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.graph import PropertyGraph
-from graphloom.operators.joins import not_null, profile_keys, split_hot
+from graphloom.operators.joins import not_null
 from graphloom.session import broadcast_threshold, checkpoint_dir, shuffle_partitions
 
 _LEVEL = StorageLevel.MEMORY_AND_DISK
@@ -64,15 +68,20 @@ class PregelResult:
     vertices: DataFrame  # id, state
     rounds: int
     converged: bool
-    trace: DataFrame  # superstep, active, messages, receivers, changed
+    trace: DataFrame  # superstep, active, messages, receivers, changed, seconds
     edge_stats: Row | None = None
     _held: list[DataFrame] = field(default_factory=list, repr=False)
+    _store: "_StateStore | None" = field(default=None, repr=False)
 
     def release(self) -> None:
-        """Unpersist everything the loop kept (state and edge sets)."""
+        """Unpersist the edge sets and delete the written state (after this
+        ``vertices`` can no longer be read)."""
         for df in self._held:
             df.unpersist()
         self._held.clear()
+        if self._store is not None:
+            self._store.drop_all()
+            self._store = None
 
 
 _TRACE_SCHEMA = T.StructType(
@@ -82,6 +91,7 @@ _TRACE_SCHEMA = T.StructType(
         T.StructField("messages", T.LongType(), False),
         T.StructField("receivers", T.LongType(), False),
         T.StructField("changed", T.LongType(), False),
+        T.StructField("seconds", T.DoubleType(), False),
     ]
 )
 
@@ -94,23 +104,45 @@ class _Edges:
     stats: Row
 
 
-def _prepare_edges(edges: DataFrame, parts: int, min_columns: tuple[str, ...]) -> _Edges:
-    """Drop edges with a NULL endpoint, profile out-degrees, split hubs off.
+def _prepare_edges(e: DataFrame, parts: int, min_columns: tuple[str, ...]) -> _Edges:
+    """Profile out-degrees of the (persisted) edges and split hubs off.
 
-    One job computes the edge count, the largest out-degree and the minimum of
-    each column in ``min_columns`` (used by callers to validate weights).
+    One job computes the edge count, the largest out-degree and, for each
+    column in ``min_columns``, its minimum and NULL count (callers validate
+    weights with them).  A source with more edges than an average partition
+    is a hub: at most ``parts`` of them exist, so their ids may be broadcast.
     """
-    e = edges.where(not_null("src", "dst"))
-    extra = [F.min(c).alias(f"min_{c}") for c in min_columns]
-    extra += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in min_columns]
-    stats = e.agg(F.count(F.lit(1)).alias("edges"), *extra).first()
-    profile = profile_keys(e, "src", partitions=parts)
-    cold, hot = split_hot(e, "src", profile)
-    cold = cold.repartition(parts, "src").persist(_LEVEL)
-    if hot is not None:
-        # a hub's edges spread round-robin: no partition holds more than its share
-        hot = hot.repartition(parts).persist(_LEVEL)
-    return _Edges(cold, hot, profile.hot, stats)
+    per_src = [F.count(F.lit(1)).alias("_rows")]
+    per_src += [F.min(c).alias(f"min_{c}") for c in min_columns]
+    per_src += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in min_columns]
+    deg = e.groupBy("src").agg(*per_src)
+    totals = [F.sum("_rows").alias("edges"), F.max("_rows").alias("max_out_degree")]
+    totals += [F.min(f"min_{c}").alias(f"min_{c}") for c in min_columns]
+    totals += [F.sum(f"nulls_{c}").alias(f"nulls_{c}") for c in min_columns]
+    stats = deg.agg(*totals).first()
+    n_edges = int(stats["edges"] or 0)
+    threshold = max(1, math.ceil(n_edges / parts))
+    hot_ids = None
+    if parts > 1 and int(stats["max_out_degree"] or 0) > threshold:
+        hot_ids = deg.where(F.col("_rows") > threshold).select("src").persist(_LEVEL)
+        hot_ids.count()
+    if hot_ids is None:
+        return _Edges(e.repartition(parts, "src").persist(_LEVEL), None, None, stats)
+    cold = e.join(F.broadcast(hot_ids), "src", "left_anti").repartition(parts, "src").persist(_LEVEL)
+    # a hub's edges spread round-robin: no partition holds more than its share
+    hot = e.join(F.broadcast(hot_ids), "src", "left_semi").repartition(parts).persist(_LEVEL)
+    return _Edges(cold, hot, hot_ids, stats)
+
+
+def _with_missing_endpoints(vertices: DataFrame, e: DataFrame) -> DataFrame:
+    """Add an all-NULL-property vertex for each edge endpoint that is no vertex."""
+    ends = (
+        e.select(F.col("src").alias("id"))
+        .unionByName(e.select(F.col("dst").alias("id")))
+        .distinct()
+        .join(vertices.select("id"), "id", "left_anti")
+    )
+    return vertices.unionByName(ends, allowMissingColumns=True)
 
 
 def pregel(
@@ -120,8 +152,9 @@ def pregel(
     state: Column,
     active: Column | None = None,
     max_iterations: int | Callable[[int], int] | None = None,
-    checkpoint_every: int = 4,
     partitions: int | None = None,
+    fill_missing: bool = True,
+    prepare_vertices: Callable[[DataFrame], DataFrame] | None = None,
     edge_min_columns: tuple[str, ...] = (),
     validate: Callable[[Row, int], None] | None = None,
 ) -> PregelResult:
@@ -129,12 +162,14 @@ def pregel(
 
     ``state`` is the start state, a column over the vertex table (superstep 0).
     ``active`` selects the vertices that send in the first round (default:
-    state is not NULL).  ``max_iterations`` caps the message rounds
-    (None = until convergence; a function gets the vertex count).  ``validate(edge_stats, vertex_count)`` may
-    raise before the first round.
-
-    Messages to an id that is not a vertex are dropped: fill missing endpoints
-    first (:meth:`PropertyGraph.fill_missing`) to keep them.
+    state is not NULL).  ``max_iterations`` caps the message rounds (None =
+    until convergence; a function gets the vertex count).
+    ``validate(edge_stats, vertex_count)`` may raise before the first round.
+
+    With ``fill_missing`` every edge endpoint missing from the vertex table
+    becomes a vertex with NULL properties (otherwise messages to it are
+    dropped); ``prepare_vertices`` may then add columns that ``state`` reads.
+    Edges with a NULL endpoint carry nothing and are left out.
     """
     spark = graph.vertices.sparkSession
     parts = partitions or shuffle_partitions(spark)
@@ -142,40 +177,53 @@ def pregel(
     limit_bytes = broadcast_threshold(spark)
     held: list[DataFrame] = []
 
+    # the edge table is computed once, whatever produced it
+    e = graph.edges.where(not_null("src", "dst")).persist(_LEVEL)
+    edges = _prepare_edges(e, parts, edge_min_columns)
+    held += [x for x in (edges.cold, edges.hot, edges.hot_ids) if x is not None]
+
+    vertices = graph.vertices.where(F.col("id").isNotNull())
+    if fill_missing:
+        vertices = _with_missing_endpoints(vertices, e)
+    if prepare_vertices is not None:
+        vertices = prepare_vertices(vertices)
     start_active = active if active is not None else state.isNotNull()
-    v = (
-        graph.vertices.select(
+    store = _StateStore(spark)
+    v, first = store.write(
+        vertices.select(
             F.col("id"),
             state.alias("state"),
-            start_active.alias("changed"),
+            F.coalesce(start_active, F.lit(False)).alias("changed"),
             F.lit(0).cast("long").alias("n"),
-        )
-        .where(F.col("id").isNotNull())
-        .repartition(parts, "id")
-        .persist(_LEVEL)
+        ),
+        0,
+        F.count(F.lit(1)).alias("vertices"),
+        F.count_if("changed").alias("active"),
     )
-    first = v.agg(F.count(F.lit(1)).alias("vertices"), F.count_if("changed").alias("active")).first()
     vertex_count = int(first["vertices"])
     n_active = int(first["active"])
     if callable(max_iterations):
         max_iterations = max_iterations(vertex_count)
-
-    edges = _prepare_edges(graph.edges, parts, edge_min_columns)
-    held += [x for x in (edges.cold, edges.hot, edges.hot_ids) if x is not None]
+    for part in (edges.cold, edges.hot):
+        if part is not None:
+            part.count()
+    e.unpersist()
     if validate is not None:
         try:
             validate(edges.stats, vertex_count)
         except Exception:
-            for df in held + [v]:
+            for df in held:
                 df.unpersist()
+            store.drop_all()
             raise
 
-    trace: list[tuple[int, int, int, int, int]] = []
+    trace: list[tuple[int, int, int, int, int, float]] = []
     rounds = 0
     converged = n_active == 0
     while not converged:
         if max_iterations is not None and rounds >= max_iterations:
             break
+        started = time.perf_counter()
         superstep = rounds + 1
         frontier = v.where("changed").select(F.col("id").alias("src"), F.col("state").alias("src_state"))
         fits = limit_bytes >= 0 and n_active * program.row_bytes(superstep) <= limit_bytes
@@ -200,25 +248,31 @@ def pregel(
             (F.col("msg").isNotNull() & ~new_state.eqNullSafe(F.col("state"))).alias("changed"),
             F.coalesce("n", F.lit(0)).cast("long").alias("n"),
         )
-        nxt = nxt.persist(_LEVEL)
-        row = nxt.agg(
+        # one job: compute the round, write it, and count what changed
+        v, row = store.write(
+            nxt,
+            superstep,
             F.count_if("changed").alias("changed"),
             F.sum("n").alias("messages"),
             F.count_if(F.col("n") > 0).alias("receivers"),
-        ).first()
+        )
+        store.drop(superstep - 2)
         changed = int(row["changed"] or 0)
-        trace.append((superstep, n_active, int(row["messages"] or 0), int(row["receivers"] or 0), changed))
-        v.unpersist()
-        v = nxt
         rounds = superstep
-        if checkpoint_every and rounds % checkpoint_every == 0 and changed:
-            cut = v.checkpoint(eager=True)
-            v.unpersist()
-            v = cut
+        trace.append(
+            (
+                superstep,
+                n_active,
+                int(row["messages"] or 0),
+                int(row["receivers"] or 0),
+                changed,
+                round(time.perf_counter() - started, 3),
+            )
+        )
         n_active = changed
         converged = changed == 0
 
-    held.append(v)
+    store.drop(rounds - 1)
     trace_df = spark.createDataFrame(trace, _TRACE_SCHEMA)
     return PregelResult(
         vertices=v.select("id", "state"),
@@ -227,9 +281,49 @@ def pregel(
         trace=trace_df,
         edge_stats=edges.stats,
         _held=held,
+        _store=store,
     )
 
 
+class _StateStore:
+    """Vertex state per superstep, written as Parquet under the session's
+    checkpoint directory and read back.
+
+    Reading the written table back cuts the plan (a round's plan never grows
+    with the rounds before it), and the state survives the loss of any
+    executor.  The round's counters are observed during the same write, so a
+    round costs one job (plus the frontier broadcast, when taken).
+    """
+
+    def __init__(self, spark) -> None:
+        self.spark = spark
+        self.base = f"{checkpoint_dir(spark).rstrip('/')}/pregel-{uuid.uuid4().hex}"
+
+    def path(self, superstep: int) -> str:
+        return f"{self.base}/superstep={superstep:06d}"
+
+    def write(self, df: DataFrame, superstep: int, *metrics: Column) -> tuple[DataFrame, dict]:
+        obs = Observation(f"pregel-{uuid.uuid4().hex[:12]}-{superstep}")
+        df.observe(obs, *metrics).write.mode("errorifexists").parquet(self.path(superstep))
+        # the schema is known: no footer reads when reading the round back
+        return self.spark.read.schema(df.schema).parquet(self.path(superstep)), obs.get
+
+    def _delete(self, path: str) -> None:
+        try:
+            jvm = self.spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # cleanup is best effort (e.g. no JVM access)
+            pass
+
+    def drop(self, superstep: int) -> None:
+        if superstep >= 0:
+            self._delete(self.path(superstep))
+
+    def drop_all(self) -> None:
+        self._delete(self.base)
+
+
 def array_row_bytes(fixed: int) -> Callable[[int], int]:
     """Row-size bound for a state that carries an array growing by one long
     per superstep (a path): ``fixed`` bytes plus 8 per element."""

@@ -16,23 +16,21 @@ from graphloom.operators.pregel import PregelResult, pregel
 Sources = Union[Iterable[Any], DataFrame, Column]
 
 
-def _with_source_flag(graph: PropertyGraph, sources: Sources) -> tuple[PropertyGraph, Column]:
-    """Return the graph (vertices may gain a ``_source`` column) and a boolean
-    column that marks the source vertices.
+def _source_flag(sources: Sources):
+    """(vertex hook or None, boolean column marking the source vertices).
 
     ``sources`` is a list of ids, a DataFrame with an ``id`` column, or a
     boolean Column over the vertex table.  Ids that are no vertex are ignored.
     """
     if isinstance(sources, Column):
-        return graph, F.coalesce(sources, F.lit(False))
+        return None, F.coalesce(sources, F.lit(False))
     if isinstance(sources, DataFrame):
         flags = sources.select("id").where(F.col("id").isNotNull()).distinct().withColumn("_source", F.lit(True))
-        v = graph.vertices.join(flags, "id", "left")
-        return PropertyGraph(v, graph.edges), F.coalesce(F.col("_source"), F.lit(False))
+        return (lambda v: v.join(flags, "id", "left")), F.coalesce(F.col("_source"), F.lit(False))
     ids = list(sources)
     if not ids:
-        return graph, F.lit(False)
-    return graph, F.col("id").isin(ids)
+        return None, F.lit(False)
+    return None, F.col("id").isin(ids)
 
 
 def _renamed(result: PregelResult, vertices: DataFrame) -> PregelResult:
@@ -44,20 +42,17 @@ def max_reach(
     value_col: str = "value",
     *,
     max_iterations: int | None = None,
-    checkpoint_every: int = 4,
 ) -> PregelResult:
     """For every vertex, the largest ``value_col`` among the vertices that reach
     it along directed edges (itself included).  Result vertices: (id, value_col).
 
     Endpoints missing from the vertex table join with a NULL value.
     """
-    g = graph.valid_edges().fill_missing({})
     res = pregel(
-        g,
+        graph,
         spread_max(),
         state=F.col(value_col),
         max_iterations=max_iterations,
-        checkpoint_every=checkpoint_every,
     )
     return _renamed(res, res.vertices.select("id", F.col("state").alias(value_col)))
 
@@ -91,11 +86,9 @@ def _shortest(
     null_state: Column,
     max_iterations: int | None,
     allow_negative: bool,
-    checkpoint_every: int,
 ) -> PregelResult:
-    g = graph.valid_edges()
-    g = PropertyGraph(g.vertices.select("id"), g.edges.select("src", "dst", weight_col)).fill_missing({})
-    g, is_source = _with_source_flag(g, sources)
+    g = PropertyGraph(graph.vertices.select("id"), graph.edges.select("src", "dst", weight_col))
+    hook, is_source = _source_flag(sources)
     negative_guard = allow_negative and max_iterations is None
     res = pregel(
         g,
@@ -103,7 +96,7 @@ def _shortest(
         state=F.when(is_source, start).otherwise(null_state),
         # Bellman-Ford settles in |V| - 1 rounds unless a negative cycle is reachable
         max_iterations=(lambda vertices: vertices) if negative_guard else max_iterations,
-        checkpoint_every=checkpoint_every,
+        prepare_vertices=hook,
         edge_min_columns=(weight_col,),
         validate=_check_weights(weight_col, allow_negative),
     )
@@ -120,7 +113,6 @@ def sssp(
     *,
     max_iterations: int | None = None,
     allow_negative: bool = False,
-    checkpoint_every: int = 4,
 ) -> PregelResult:
     """Cheapest cost from the nearest source.  Result vertices: (id, dist);
     ``dist`` is NULL where no source reaches the vertex.  With
@@ -134,7 +126,6 @@ def sssp(
         F.lit(None).cast("long"),
         max_iterations,
         allow_negative,
-        checkpoint_every,
     )
     return _renamed(res, res.vertices.select("id", F.col("state").alias("dist")))
 
@@ -146,7 +137,6 @@ def sssp_paths(
     *,
     max_iterations: int | None = None,
     allow_negative: bool = False,
-    checkpoint_every: int = 4,
 ) -> PregelResult:
     """Cheapest cost and the path achieving it (starting with its source).
 
@@ -163,7 +153,6 @@ def sssp_paths(
         F.lit(None),
         max_iterations,
         allow_negative,
-        checkpoint_every,
     )
     v = res.vertices.select(
         "id",
