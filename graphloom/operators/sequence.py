@@ -68,7 +68,8 @@ def successor_pairs(
     """
     parts = partitions or shuffle_partitions(df.sparkSession)
     keys = [group, *order]
-    clean = df.select(*keys, *carry)
+    extra = [c for c in carry if c not in keys]
+    clean = df.select(*keys, *extra)
     for k in keys:
         clean = clean.where(F.col(k).isNotNull())
     ranged = clean.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
@@ -78,10 +79,10 @@ def successor_pairs(
         + [T.StructField(f"cur_{c}", df.schema[c].dataType) for c in carry]
         + [T.StructField(f"next_{c}", df.schema[c].dataType) for c in carry]
     )
-    inner = ranged.select(group, *carry).mapInArrow(_pair_rows(group, carry, schema.names), schema)
+    inner = ranged.select(group, *[c for c in carry if c != group]).mapInArrow(_pair_rows(group, carry, schema.names), schema)
 
     # first and last row of every range partition (<= 2 rows per partition)
-    row = F.struct(*keys, *carry)
+    row = F.struct(*keys, *extra)
     bounds = (
         ranged.select(F.spark_partition_id().alias("_part"), row.alias("_row"))
         .groupBy("_part")
