@@ -4,7 +4,8 @@ A fact side may hold a third of its rows under one key.  A plain shuffle join
 sends all of them to one task, so the keys that hold more than an average
 partition are found first (partial aggregation, no skew) and joined through a
 broadcast of their -- bounded -- dimension rows, while the rest takes the
-ordinary shuffle (or Catalyst's own size-checked broadcast).
+ordinary shuffle.  A dimension whose measured size fits the broadcast
+threshold is simply broadcast whole.
 """
 from __future__ import annotations
 
@@ -13,8 +14,44 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from graphloom.session import shuffle_partitions
+from pyspark.sql import types as T
+
+from graphloom.session import broadcast_threshold, shuffle_partitions
+
+_FIXED_WIDTH = {
+    T.BooleanType: 1,
+    T.ByteType: 1,
+    T.ShortType: 2,
+    T.IntegerType: 4,
+    T.DateType: 4,
+    T.FloatType: 4,
+    T.LongType: 8,
+    T.DoubleType: 8,
+    T.TimestampType: 8,
+    T.TimestampNTZType: 8,
+}
+
+
+def size_bound(df: DataFrame) -> int | None:
+    """An upper bound of ``df`` in bytes from one aggregate job: row count
+    times (fixed widths + the longest value of each string/binary column +
+    8 bytes per column).  None if a column has no such bound (nested types)."""
+    per_row = 0
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, field in enumerate(df.schema.fields):
+        width = _FIXED_WIDTH.get(type(field.dataType))
+        if width is not None:
+            per_row += width + 8
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            per_row += 8
+            aggs.append(F.max(F.octet_length(F.col(field.name))).alias(f"_len{i}"))
+        elif isinstance(field.dataType, T.DecimalType):
+            per_row += 16 + 8
+        else:
+            return None
+    row = df.agg(*aggs).first()
+    widest = sum(int(v or 0) for k, v in row.asDict().items() if k != "_rows")
+    return int(row["_rows"]) * (per_row + widest)
 
 
 @dataclass(frozen=True)
@@ -74,12 +111,20 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``fact`` to ``dim`` (unique on ``dim_key``) without a skewed task.
 
-    The key column keeps the fact's name.  ``profile`` may be passed in when
-    the caller already profiled the fact's key; otherwise it is computed here.
+    If the dimension's measured size bound fits the session's broadcast
+    threshold it is broadcast (no shuffle, so no skew).  Otherwise the fact's
+    hot keys are found (``profile`` may be passed in) and only their dimension
+    rows -- at most one per hot key -- are broadcast; the other keys take a
+    shuffle join.  The key column keeps the fact's name.
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup_join supports inner and left joins")
     d = dim.withColumnRenamed(dim_key, fact_key) if dim_key != fact_key else dim
+    if profile is None:
+        limit = broadcast_threshold(fact.sparkSession)
+        bound = size_bound(d) if limit >= 0 else None
+        if bound is not None and bound <= limit:
+            return fact.join(F.broadcast(d), fact_key, how)
     prof = profile if profile is not None else profile_keys(fact, fact_key)
     cold, hot = split_hot(fact, fact_key, prof)
     joined = cold.join(d, fact_key, how)
