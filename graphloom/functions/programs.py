@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from graphloom.operators.pregel import VertexProgram, array_row_bytes
+from graphloom.operators.pregel import VertexProgram
 
 
 def spread_max() -> VertexProgram:
@@ -54,7 +54,6 @@ def relax_path(weight_col: str = "weight") -> VertexProgram:
         send=send,
         merge=F.min,
         update=lambda state, msg: F.least(state, msg),
-        row_bytes=array_row_bytes(64),
     )
 
 

@@ -1,28 +1,35 @@
 """Pregel as a loop of Catalyst-planned DataFrame jobs.
 
-Each superstep is
-
-1. **frontier join** -- out-edges of the vertices that changed last round
-   (``EdgeDirection.Out``).  Edges are hash-partitioned on ``src`` and
-   persisted once, so only the frontier moves: broadcast when its counted size
-   fits the session's broadcast threshold, else shuffled into the edges'
-   partitioning (shuffled hash join, no sort of the edges).  Sources with more
-   edges than an average partition are kept in a separate, evenly spread edge
-   set and met through a broadcast of their (at most ``partitions``) frontier
-   rows, so a hub never lands in one task.
+Layout.  With ``P = spark.sql.shuffle.partitions``:
+
+* the edges are written once under the session's checkpoint directory as a
+  Parquet table bucketed on ``src`` into ``P`` buckets;
+* the vertex state of every superstep is a Parquet table **bucketed on id
+  into P buckets**, written under the session's checkpoint directory.  Spark
+  hashes buckets exactly as it hashes shuffle partitions, so state, frontier
+  and edges are co-partitioned.
+
+Each superstep is then
+
+1. **frontier join** -- the vertices that changed last round (a filter on the
+   bucketed state) meet their out-edges partition by partition (shuffled hash
+   join without any exchange: neither the edges nor the frontier move).
+   Sources with more edges than an average partition ("hubs", at most ``P``)
+   keep their edges in a separate, round-robin spread set and meet their
+   frontier rows through a broadcast of at most ``P`` rows, so a vertex with
+   a third of all edges never lands in one task.
 2. **send** -- one message column per edge; NULL means "no message".
-3. **merge** -- ``groupBy(dst).agg(merge)``; partial aggregation combines
-   messages map-side, so a vertex receiving a third of all messages is
-   already reduced before the shuffle.
-4. **update** -- the vertex table (hash-partitioned on ``id``, persisted)
-   left-joined with the merged messages; the merge output has the same
-   partitioning, so the vertex side does not move.
-
-Every round's state is written as Parquet under the session's checkpoint
-directory (the round's counters are observed in the same job) and read back:
-that cuts the plan each round -- a round reads its input twice (frontier and
-update), so an uncut plan would double with every round -- and the state
-survives the loss of any executor.
+3. **merge** -- ``groupBy(dst).agg(merge)``: the only shuffle of the round,
+   after partial aggregation, so a vertex receiving a third of all messages
+   is already combined map-side.
+4. **update** -- the bucketed state joined with the merged messages; the
+   merge output is hash-partitioned into the same ``P`` partitions, so the
+   state does not move either.
+
+The new state is written as the next bucketed table, its counters observed
+during that same write: one job per round, no plan growth across rounds
+(a round reads its input twice -- frontier and update -- so an uncut plan would
+double every round), and the state survives the loss of any executor.
 """
 from __future__ import annotations
 
@@ -39,7 +46,7 @@ from pyspark.sql import types as T
 
 from graphloom.graph import PropertyGraph
 from graphloom.operators.joins import not_null
-from graphloom.session import broadcast_threshold, checkpoint_dir, shuffle_partitions
+from graphloom.session import checkpoint_dir, shuffle_partitions
 
 _LEVEL = StorageLevel.MEMORY_AND_DISK
 
@@ -53,14 +60,23 @@ class VertexProgram:
       ``src_state``; NULL = no message.
     * ``merge(msg)`` -> aggregate column; must be commutative and associative.
     * ``update(state, msg)`` -> new state; only called where a message arrived.
-    * ``row_bytes(superstep)`` -> upper bound of a (id, state) row in bytes, used
-      to decide whether the counted frontier may be broadcast.
     """
 
     send: Callable[[Column], Column]
     merge: Callable[[Column], Column]
     update: Callable[[Column, Column], Column]
-    row_bytes: Callable[[int], int] = lambda _superstep: 32
+
+
+_TRACE_SCHEMA = T.StructType(
+    [
+        T.StructField("superstep", T.IntegerType(), False),
+        T.StructField("active", T.LongType(), False),
+        T.StructField("messages", T.LongType(), False),
+        T.StructField("receivers", T.LongType(), False),
+        T.StructField("changed", T.LongType(), False),
+        T.StructField("seconds", T.DoubleType(), False),
+    ]
+)
 
 
 @dataclass
@@ -70,47 +86,35 @@ class PregelResult:
     converged: bool
     trace: DataFrame  # superstep, active, messages, receivers, changed, seconds
     edge_stats: Row | None = None
-    _held: list[DataFrame] = field(default_factory=list, repr=False)
     _store: "_StateStore | None" = field(default=None, repr=False)
 
     def release(self) -> None:
-        """Unpersist the edge sets and delete the written state (after this
-        ``vertices`` can no longer be read)."""
-        for df in self._held:
-            df.unpersist()
-        self._held.clear()
+        """Drop the written edge sets and state (after this ``vertices`` can
+        no longer be read)."""
         if self._store is not None:
             self._store.drop_all()
             self._store = None
 
 
-_TRACE_SCHEMA = T.StructType(
-    [
-        T.StructField("superstep", T.IntegerType(), False),
-        T.StructField("active", T.LongType(), False),
-        T.StructField("messages", T.LongType(), False),
-        T.StructField("receivers", T.LongType(), False),
-        T.StructField("changed", T.LongType(), False),
-        T.StructField("seconds", T.DoubleType(), False),
-    ]
-)
-
-
 @dataclass
 class _Edges:
-    cold: DataFrame  # hash-partitioned on src
-    hot: DataFrame | None  # spread evenly; sources in hot_ids
-    hot_ids: DataFrame | None
+    cold: DataFrame  # bucketed on src into P buckets
+    hot: DataFrame | None  # hubs' edges, spread evenly
+    hot_ids: DataFrame | None  # at most P ids
     stats: Row
 
 
-def _prepare_edges(e: DataFrame, parts: int, min_columns: tuple[str, ...]) -> _Edges:
-    """Profile out-degrees of the (persisted) edges and split hubs off.
+def _prepare_edges(e: DataFrame, parts: int, min_columns: tuple[str, ...], store: "_StateStore") -> _Edges:
+    """Profile out-degrees of the (persisted) edges, split hubs off and write
+    both edge sets under the checkpoint directory.
 
     One job computes the edge count, the largest out-degree and, for each
     column in ``min_columns``, its minimum and NULL count (callers validate
     weights with them).  A source with more edges than an average partition
     is a hub: at most ``parts`` of them exist, so their ids may be broadcast.
+    The ordinary edges are bucketed on ``src`` like the state is on ``id``, so
+    the frontier join needs no exchange; the hubs' edges are spread
+    round-robin, so no task holds more than its share.
     """
     per_src = [F.count(F.lit(1)).alias("_rows")]
     per_src += [F.min(c).alias(f"min_{c}") for c in min_columns]
@@ -122,15 +126,14 @@ def _prepare_edges(e: DataFrame, parts: int, min_columns: tuple[str, ...]) -> _E
     stats = deg.agg(*totals).first()
     n_edges = int(stats["edges"] or 0)
     threshold = max(1, math.ceil(n_edges / parts))
-    hot_ids = None
-    if parts > 1 and int(stats["max_out_degree"] or 0) > threshold:
-        hot_ids = deg.where(F.col("_rows") > threshold).select("src").persist(_LEVEL)
-        hot_ids.count()
-    if hot_ids is None:
-        return _Edges(e.repartition(parts, "src").persist(_LEVEL), None, None, stats)
-    cold = e.join(F.broadcast(hot_ids), "src", "left_anti").repartition(parts, "src").persist(_LEVEL)
-    # a hub's edges spread round-robin: no partition holds more than its share
-    hot = e.join(F.broadcast(hot_ids), "src", "left_semi").repartition(parts).persist(_LEVEL)
+    if parts <= 1 or int(stats["max_out_degree"] or 0) <= threshold:
+        cold, _ = store.write_table(e.repartition(parts, "src"), "edges", bucket="src")
+        return _Edges(cold, None, None, stats)
+    hot_ids, _ = store.write_table(deg.where(F.col("_rows") > threshold).select("src"), "hubs")
+    cold, _ = store.write_table(
+        e.join(F.broadcast(hot_ids), "src", "left_anti").repartition(parts, "src"), "edges", bucket="src"
+    )
+    hot, _ = store.write_table(e.join(F.broadcast(hot_ids), "src", "left_semi").repartition(parts), "hub_edges")
     return _Edges(cold, hot, hot_ids, stats)
 
 
@@ -145,6 +148,71 @@ def _with_missing_endpoints(vertices: DataFrame, e: DataFrame) -> DataFrame:
     return vertices.unionByName(ends, allowMissingColumns=True)
 
 
+class _StateStore:
+    """Tables of one Pregel run under the session's checkpoint directory: the
+    edge sets and the vertex state per superstep (bucketed on ``id`` into
+    ``parts`` buckets).
+
+    Tables are registered in the session catalog under unique names (needed
+    for the bucket spec) and dropped, files included, as the loop moves on.
+    """
+
+    def __init__(self, spark, parts: int) -> None:
+        self.spark = spark
+        self.parts = parts
+        self.tag = uuid.uuid4().hex[:16]
+        self.base = f"{checkpoint_dir(spark).rstrip('/')}/pregel-{self.tag}"
+
+    def name(self, key: str) -> str:
+        return f"graphloom_pregel_{self.tag}_{key}"
+
+    def path(self, key: str) -> str:
+        return f"{self.base}/{key}"
+
+    def write_table(
+        self, df: DataFrame, key: str, *metrics: Column, bucket: str | None = None
+    ) -> tuple[DataFrame, dict]:
+        """Write ``df`` as table ``key`` (bucketed on ``bucket`` into ``parts``
+        buckets when given; ``df`` should then already be hash-partitioned on
+        it) and return the table read back plus the observed metrics."""
+        obs = Observation(f"pregel-{self.tag}-{key}") if metrics else None
+        out = df.observe(obs, *metrics) if obs is not None else df
+        writer = out.write.format("parquet").option("path", self.path(key))
+        if bucket is not None:
+            writer = writer.bucketBy(self.parts, bucket)
+        writer.saveAsTable(self.name(key))
+        return self.spark.table(self.name(key)), (obs.get if obs is not None else {})
+
+    def write(self, df: DataFrame, superstep: int, *metrics: Column) -> tuple[DataFrame, dict]:
+        """Write one superstep's state, bucketed on id."""
+        return self.write_table(df, self._step(superstep), *metrics, bucket="id")
+
+    @staticmethod
+    def _step(superstep: int) -> str:
+        return f"superstep_{superstep:06d}"
+
+    def _delete(self, path: str) -> None:
+        try:
+            jvm = self.spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # cleanup is best effort (e.g. no JVM access)
+            pass
+
+    def drop(self, superstep: int) -> None:
+        if superstep < 0:
+            return
+        key = self._step(superstep)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(key)}")
+        self._delete(self.path(key))
+
+    def drop_all(self) -> None:
+        for t in self.spark.catalog.listTables():
+            if t.name.startswith(f"graphloom_pregel_{self.tag}_"):
+                self.spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+        self._delete(self.base)
+
+
 def pregel(
     graph: PropertyGraph,
     program: VertexProgram,
@@ -152,7 +220,6 @@ def pregel(
     state: Column,
     active: Column | None = None,
     max_iterations: int | Callable[[int], int] | None = None,
-    partitions: int | None = None,
     fill_missing: bool = True,
     prepare_vertices: Callable[[DataFrame], DataFrame] | None = None,
     edge_min_columns: tuple[str, ...] = (),
@@ -172,15 +239,12 @@ def pregel(
     Edges with a NULL endpoint carry nothing and are left out.
     """
     spark = graph.vertices.sparkSession
-    parts = partitions or shuffle_partitions(spark)
-    checkpoint_dir(spark)
-    limit_bytes = broadcast_threshold(spark)
-    held: list[DataFrame] = []
+    parts = shuffle_partitions(spark)
+    store = _StateStore(spark, parts)
 
     # the edge table is computed once, whatever produced it
     e = graph.edges.where(not_null("src", "dst")).persist(_LEVEL)
-    edges = _prepare_edges(e, parts, edge_min_columns)
-    held += [x for x in (edges.cold, edges.hot, edges.hot_ids) if x is not None]
+    edges = _prepare_edges(e, parts, edge_min_columns, store)
 
     vertices = graph.vertices.where(F.col("id").isNotNull())
     if fill_missing:
@@ -188,32 +252,22 @@ def pregel(
     if prepare_vertices is not None:
         vertices = prepare_vertices(vertices)
     start_active = active if active is not None else state.isNotNull()
-    store = _StateStore(spark)
-    v, first = store.write(
-        vertices.select(
-            F.col("id"),
-            state.alias("state"),
-            F.coalesce(start_active, F.lit(False)).alias("changed"),
-            F.lit(0).cast("long").alias("n"),
-        ),
-        0,
-        F.count(F.lit(1)).alias("vertices"),
-        F.count_if("changed").alias("active"),
-    )
+    start = vertices.select(
+        F.col("id"),
+        state.alias("state"),
+        F.coalesce(start_active, F.lit(False)).alias("changed"),
+        F.lit(0).cast("long").alias("n"),
+    ).repartition(parts, "id")
+    v, first = store.write(start, 0, F.count(F.lit(1)).alias("vertices"), F.count_if("changed").alias("active"))
     vertex_count = int(first["vertices"])
     n_active = int(first["active"])
     if callable(max_iterations):
         max_iterations = max_iterations(vertex_count)
-    for part in (edges.cold, edges.hot):
-        if part is not None:
-            part.count()
     e.unpersist()
     if validate is not None:
         try:
             validate(edges.stats, vertex_count)
         except Exception:
-            for df in held:
-                df.unpersist()
             store.drop_all()
             raise
 
@@ -226,9 +280,8 @@ def pregel(
         started = time.perf_counter()
         superstep = rounds + 1
         frontier = v.where("changed").select(F.col("id").alias("src"), F.col("state").alias("src_state"))
-        fits = limit_bytes >= 0 and n_active * program.row_bytes(superstep) <= limit_bytes
-        side = F.broadcast(frontier) if fits else frontier.hint("shuffle_hash")
-        sent = edges.cold.join(side, "src")
+        # co-partitioned with the edges: the join runs where the data is
+        sent = edges.cold.join(frontier.hint("shuffle_hash"), "src")
         if edges.hot is not None:
             hub_frontier = frontier.join(F.broadcast(edges.hot_ids), "src", "left_semi")
             sent = sent.unionByName(edges.hot.join(F.broadcast(hub_frontier), "src"))
@@ -238,7 +291,7 @@ def pregel(
             .groupBy("id")
             .agg(program.merge(F.col("msg")).alias("msg"), F.count(F.lit(1)).alias("n"))
         )
-        joined = v.select("id", "state").join(messages, "id", "left")
+        joined = v.select("id", "state").join(messages.hint("shuffle_hash"), "id", "left")
         new_state = F.when(F.col("msg").isNull(), F.col("state")).otherwise(
             program.update(F.col("state"), F.col("msg"))
         )
@@ -280,52 +333,5 @@ def pregel(
         converged=converged,
         trace=trace_df,
         edge_stats=edges.stats,
-        _held=held,
         _store=store,
     )
-
-
-class _StateStore:
-    """Vertex state per superstep, written as Parquet under the session's
-    checkpoint directory and read back.
-
-    Reading the written table back cuts the plan (a round's plan never grows
-    with the rounds before it), and the state survives the loss of any
-    executor.  The round's counters are observed during the same write, so a
-    round costs one job (plus the frontier broadcast, when taken).
-    """
-
-    def __init__(self, spark) -> None:
-        self.spark = spark
-        self.base = f"{checkpoint_dir(spark).rstrip('/')}/pregel-{uuid.uuid4().hex}"
-
-    def path(self, superstep: int) -> str:
-        return f"{self.base}/superstep={superstep:06d}"
-
-    def write(self, df: DataFrame, superstep: int, *metrics: Column) -> tuple[DataFrame, dict]:
-        obs = Observation(f"pregel-{uuid.uuid4().hex[:12]}-{superstep}")
-        df.observe(obs, *metrics).write.mode("errorifexists").parquet(self.path(superstep))
-        # the schema is known: no footer reads when reading the round back
-        return self.spark.read.schema(df.schema).parquet(self.path(superstep)), obs.get
-
-    def _delete(self, path: str) -> None:
-        try:
-            jvm = self.spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # cleanup is best effort (e.g. no JVM access)
-            pass
-
-    def drop(self, superstep: int) -> None:
-        if superstep >= 0:
-            self._delete(self.path(superstep))
-
-    def drop_all(self) -> None:
-        self._delete(self.base)
-
-
-def array_row_bytes(fixed: int) -> Callable[[int], int]:
-    """Row-size bound for a state that carries an array growing by one long
-    per superstep (a path): ``fixed`` bytes plus 8 per element."""
-    return lambda superstep: fixed + 8 * (superstep + 1)
-
