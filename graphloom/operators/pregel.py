@@ -137,15 +137,21 @@ def _prepare_edges(e: DataFrame, parts: int, min_columns: tuple[str, ...], store
     return _Edges(cold, hot, hot_ids, stats)
 
 
-def _with_missing_endpoints(vertices: DataFrame, e: DataFrame) -> DataFrame:
-    """Add an all-NULL-property vertex for each edge endpoint that is no vertex."""
-    ends = (
-        e.select(F.col("src").alias("id"))
-        .unionByName(e.select(F.col("dst").alias("id")))
-        .distinct()
-        .join(vertices.select("id"), "id", "left_anti")
-    )
-    return vertices.unionByName(ends, allowMissingColumns=True)
+def _vertex_table(vertices: DataFrame, e: DataFrame | None) -> DataFrame:
+    """One row per vertex id, hash-partitioned on id (one shuffle).
+
+    With ``e``, every edge endpoint that is no vertex is added with NULL
+    properties (GraphX's missing-endpoint fill).  A repeated id keeps its
+    smallest property struct, real rows before filled ones -- a fixed pick.
+    Partial aggregation collapses a repeated id before the shuffle.
+    """
+    props = [c for c in vertices.columns if c != "id"]
+    rows = vertices.where(F.col("id").isNotNull()).select("id", F.lit(False).alias("_filled"), *props)
+    if e is not None:
+        ends = e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id")))
+        rows = rows.unionByName(ends.withColumn("_filled", F.lit(True)), allowMissingColumns=True)
+    picked = rows.groupBy("id").agg(F.min(F.struct("_filled", *props)).alias("_v"))
+    return picked.select("id", *[F.col(f"_v.{p}").alias(p) for p in props])
 
 
 class _StateStore:
@@ -235,8 +241,10 @@ def pregel(
 
     With ``fill_missing`` every edge endpoint missing from the vertex table
     becomes a vertex with NULL properties (otherwise messages to it are
-    dropped); ``prepare_vertices`` may then add columns that ``state`` reads.
-    Edges with a NULL endpoint carry nothing and are left out.
+    dropped); ``prepare_vertices`` may then add columns that ``state`` reads
+    (it should keep the rows partitioned on id: joins on id do).  A repeated
+    vertex id is kept once.  Edges with a NULL endpoint carry nothing and are
+    left out.
     """
     spark = graph.vertices.sparkSession
     parts = shuffle_partitions(spark)
@@ -246,9 +254,7 @@ def pregel(
     e = graph.edges.where(not_null("src", "dst")).persist(_LEVEL)
     edges = _prepare_edges(e, parts, edge_min_columns, store)
 
-    vertices = graph.vertices.where(F.col("id").isNotNull())
-    if fill_missing:
-        vertices = _with_missing_endpoints(vertices, e)
+    vertices = _vertex_table(graph.vertices, e if fill_missing else None)
     if prepare_vertices is not None:
         vertices = prepare_vertices(vertices)
     start_active = active if active is not None else state.isNotNull()
@@ -257,7 +263,7 @@ def pregel(
         state.alias("state"),
         F.coalesce(start_active, F.lit(False)).alias("changed"),
         F.lit(0).cast("long").alias("n"),
-    ).repartition(parts, "id")
+    )
     v, first = store.write(start, 0, F.count(F.lit(1)).alias("vertices"), F.count_if("changed").alias("active"))
     vertex_count = int(first["vertices"])
     n_active = int(first["active"])

@@ -49,7 +49,7 @@ def max_reach(
     Endpoints missing from the vertex table join with a NULL value.
     """
     res = pregel(
-        graph,
+        PropertyGraph(graph.vertices.select("id", value_col), graph.edges.select("src", "dst")),
         spread_max(),
         state=F.col(value_col),
         max_iterations=max_iterations,

@@ -99,7 +99,11 @@ def q_sssp_path_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_superstep_trace(spark: SparkSession, sf: str) -> DataFrame:
-    return sssp_paths(t.handoff(spark, sf), [t.HANDOFF_SOURCE]).trace
+    """Per superstep of the shortest-path search: active senders, messages,
+    receivers and changed vertices (the timing column is left out: it is the
+    only non-repeatable one)."""
+    res = sssp_paths(t.handoff(spark, sf), [t.HANDOFF_SOURCE])
+    return res.trace.select("superstep", "active", "messages", "receivers", "changed")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -87,6 +87,24 @@ TOP3_SOURCE = "SELECT min(src) AS id FROM top3_e"
 TRADE_HOPS = "(SELECT count(*) FROM trade_v)"
 HANDOFF_HOPS = "(SELECT count(*) FROM handoff_v)"
 
+# Trace of the frontier loop: after round r a vertex holds the best walk of at
+# most r edges, so it changes in round r exactly when that best improves; the
+# vertices changed in round r - 1 send in round r, one message per out-edge.
+TRACE = """steps AS (SELECT range AS r FROM range(0, (SELECT count(*) FROM handoff_v) + 1)),
+upto AS (
+  SELECT s.r, bf.id, min(row(bf.b[1], bf.hop, bf.b[2])) AS m
+  FROM steps s JOIN bf ON bf.hop <= s.r
+  GROUP BY s.r, bf.id),
+changed AS (
+  SELECT cur.r, cur.id FROM upto cur
+  LEFT JOIN upto prev ON prev.r = cur.r - 1 AND prev.id = cur.id
+  WHERE cur.r >= 1 AND (prev.m IS NULL OR cur.m < prev.m)
+  UNION ALL
+  SELECT 0, id FROM bf WHERE hop = 0),
+quiet AS (
+  SELECT min(s.r) AS last FROM steps s
+  WHERE s.r >= 1 AND NOT EXISTS (SELECT 1 FROM changed c WHERE c.r = s.r))"""
+
 ORACLES: dict[str, str] = {
     "trade_vertices": _with(TRADE_V) + "SELECT id, name, value FROM trade_v",
     "trade_edges": _with(TRADE_E) + "SELECT src, dst, weight FROM trade_e",
@@ -186,4 +204,18 @@ FROM paths p
 LEFT JOIN named ON named.id = p.id
 LEFT JOIN nation l ON l.n_nationkey = p.id
 LEFT JOIN nation s ON s.n_nationkey = p.path[1]""",
+    "superstep_trace": _with(
+        HANDOFF_V,
+        HANDOFF_E,
+        _paths("handoff_e", "handoff_v", f"SELECT {HANDOFF_SOURCE}::BIGINT AS id", HANDOFF_HOPS),
+        TRACE,
+        recursive=True,
+    )
+    + """SELECT s.r::INTEGER AS superstep,
+       (SELECT count(*) FROM changed c WHERE c.r = s.r - 1)::BIGINT AS active,
+       (SELECT count(*) FROM changed c JOIN handoff_e e ON e.src = c.id WHERE c.r = s.r - 1)::BIGINT AS messages,
+       (SELECT count(DISTINCT e.dst) FROM changed c JOIN handoff_e e ON e.src = c.id
+         WHERE c.r = s.r - 1)::BIGINT AS receivers,
+       (SELECT count(*) FROM changed c WHERE c.r = s.r)::BIGINT AS changed
+FROM steps s JOIN quiet q ON s.r >= 1 AND s.r <= q.last""",
 }

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SMALL
 
-FAST = ["trade_edges", "handoff_edges", "turns_edges", "triplets", "vertex_fill", "sssp_turns", "sssp_paths_handoff"]
+FAST = ["trade_edges", "handoff_edges", "turns_edges", "triplets", "vertex_fill", "sssp_turns", "sssp_paths_handoff", "superstep_trace"]
 
 
 def canon(rows):
