@@ -27,9 +27,11 @@ Each superstep is then
    state does not move either.
 
 The new state is written as the next bucketed table, its counters observed
-during that same write: one job per round, no plan growth across rounds
-(a round reads its input twice -- frontier and update -- so an uncut plan would
-double every round), and the state survives the loss of any executor.
+during that same write.  Two supersteps are fused into one query by default
+(two message shuffles, one write): a superstep reads its input twice --
+frontier and update -- so the plan doubles with every superstep left uncut;
+cutting after every second one keeps it small while halving the writes.  The
+written state survives the loss of any executor.
 """
 from __future__ import annotations
 
@@ -219,6 +221,32 @@ class _StateStore:
         self._delete(self.base)
 
 
+def _superstep(v: DataFrame, edges: _Edges, program: VertexProgram, carry: list[str]) -> DataFrame:
+    """One superstep over state ``v`` (id, state, changed, *carry) ->
+    (id, state, changed, n, *carry); ``n`` = messages received."""
+    frontier = v.where("changed").select(F.col("id").alias("src"), F.col("state").alias("src_state"))
+    # co-partitioned with the edges: the join runs where the data is
+    sent = edges.cold.join(frontier.hint("shuffle_hash"), "src")
+    if edges.hot is not None:
+        hub_frontier = frontier.join(F.broadcast(edges.hot_ids), "src", "left_semi")
+        sent = sent.unionByName(edges.hot.join(F.broadcast(hub_frontier), "src"))
+    messages = (
+        sent.select(F.col("dst").alias("id"), program.send(F.col("src_state")).alias("msg"))
+        .where(F.col("msg").isNotNull())
+        .groupBy("id")
+        .agg(program.merge(F.col("msg")).alias("msg"), F.count(F.lit(1)).alias("n"))
+    )
+    joined = v.select("id", "state", *carry).join(messages.hint("shuffle_hash"), "id", "left")
+    new_state = F.when(F.col("msg").isNull(), F.col("state")).otherwise(program.update(F.col("state"), F.col("msg")))
+    return joined.select(
+        "id",
+        new_state.alias("state"),
+        (F.col("msg").isNotNull() & ~new_state.eqNullSafe(F.col("state"))).alias("changed"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+        *carry,
+    )
+
+
 def pregel(
     graph: PropertyGraph,
     program: VertexProgram,
@@ -230,6 +258,7 @@ def pregel(
     prepare_vertices: Callable[[DataFrame], DataFrame] | None = None,
     edge_min_columns: tuple[str, ...] = (),
     validate: Callable[[Row, int], None] | None = None,
+    fuse: int = 2,
 ) -> PregelResult:
     """Run ``program`` on ``graph`` until no vertex changes (or the cap).
 
@@ -245,7 +274,13 @@ def pregel(
     (it should keep the rows partitioned on id: joins on id do).  A repeated
     vertex id is kept once.  Edges with a NULL endpoint carry nothing and are
     left out.
+
+    ``fuse`` supersteps run in one job (one shuffle each, one state write for
+    all of them): the intermediate state stays inside the job, so fewer writes
+    and fewer jobs, while results and the per-superstep trace are unchanged.
     """
+    if fuse < 1:
+        raise ValueError("fuse must be at least 1")
     spark = graph.vertices.sparkSession
     parts = shuffle_partitions(spark)
     store = _StateStore(spark, parts)
@@ -280,58 +315,55 @@ def pregel(
     trace: list[tuple[int, int, int, int, int, float]] = []
     rounds = 0
     converged = n_active == 0
+    written: list[str] = []
     while not converged:
         if max_iterations is not None and rounds >= max_iterations:
             break
         started = time.perf_counter()
-        superstep = rounds + 1
-        frontier = v.where("changed").select(F.col("id").alias("src"), F.col("state").alias("src_state"))
-        # co-partitioned with the edges: the join runs where the data is
-        sent = edges.cold.join(frontier.hint("shuffle_hash"), "src")
-        if edges.hot is not None:
-            hub_frontier = frontier.join(F.broadcast(edges.hot_ids), "src", "left_semi")
-            sent = sent.unionByName(edges.hot.join(F.broadcast(hub_frontier), "src"))
-        messages = (
-            sent.select(F.col("dst").alias("id"), program.send(F.col("src_state")).alias("msg"))
-            .where(F.col("msg").isNotNull())
-            .groupBy("id")
-            .agg(program.merge(F.col("msg")).alias("msg"), F.count(F.lit(1)).alias("n"))
-        )
-        joined = v.select("id", "state").join(messages.hint("shuffle_hash"), "id", "left")
-        new_state = F.when(F.col("msg").isNull(), F.col("state")).otherwise(
-            program.update(F.col("state"), F.col("msg"))
-        )
-        nxt = joined.select(
-            "id",
-            new_state.alias("state"),
-            (F.col("msg").isNotNull() & ~new_state.eqNullSafe(F.col("state"))).alias("changed"),
-            F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-        )
-        # one job: compute the round, write it, and count what changed
-        v, row = store.write(
-            nxt,
-            superstep,
-            F.count_if("changed").alias("changed"),
-            F.sum("n").alias("messages"),
-            F.count_if(F.col("n") > 0).alias("receivers"),
-        )
-        store.drop(superstep - 2)
-        changed = int(row["changed"] or 0)
-        rounds = superstep
-        trace.append(
-            (
-                superstep,
-                n_active,
-                int(row["messages"] or 0),
-                int(row["receivers"] or 0),
-                changed,
-                round(time.perf_counter() - started, 3),
+        steps = fuse if max_iterations is None else max(1, min(fuse, max_iterations - rounds))
+        # `steps` supersteps in one job; earlier steps' counters ride along as
+        # columns so each superstep still gets its own trace row
+        cur = v.select("id", "state", "changed")
+        carry: list[str] = []
+        for k in range(1, steps + 1):
+            if k > 1:
+                cur = cur.withColumn(f"_changed_{k - 1}", F.col("changed")).withColumn(f"_n_{k - 1}", F.col("n"))
+                carry += [f"_changed_{k - 1}", f"_n_{k - 1}"]
+            cur = _superstep(cur, edges, program, carry)
+        metrics = []
+        for k in range(1, steps + 1):
+            changed_col, n_col = ("changed", "n") if k == steps else (f"_changed_{k}", f"_n_{k}")
+            metrics += [
+                F.count_if(changed_col).alias(f"changed_{k}"),
+                F.sum(n_col).alias(f"messages_{k}"),
+                F.count_if(F.col(n_col) > 0).alias(f"receivers_{k}"),
+            ]
+        key = rounds + steps
+        v, row = store.write(cur, key, *metrics)
+        written.append(key)
+        if len(written) > 2:
+            store.drop(written.pop(0))
+        elapsed = time.perf_counter() - started
+        for k in range(1, steps + 1):
+            changed = int(row[f"changed_{k}"] or 0)
+            rounds += 1
+            trace.append(
+                (
+                    rounds,
+                    n_active,
+                    int(row[f"messages_{k}"] or 0),
+                    int(row[f"receivers_{k}"] or 0),
+                    changed,
+                    round(elapsed / steps, 3),
+                )
             )
-        )
-        n_active = changed
-        converged = changed == 0
+            n_active = changed
+            if changed == 0:
+                converged = True
+                break
 
-    store.drop(rounds - 1)
+    for key in written[:-1]:
+        store.drop(key)
     trace_df = spark.createDataFrame(trace, _TRACE_SCHEMA)
     return PregelResult(
         vertices=v.select("id", "state"),
