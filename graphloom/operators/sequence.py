@@ -2,98 +2,67 @@
 
 ``lead(x) OVER (PARTITION BY g ORDER BY k)`` sorts every group in one task,
 so a group holding a third of all rows is a third of the job in one task.
-Here the rows are range-partitioned on ``(g, k)`` instead -- Spark samples the
-bounds, and with a unique key every partition gets an even share whatever the
-group sizes -- and sorted within partitions.  Then:
+Here the group is cut into *slices* -- a column that never decreases along
+the order inside a group, e.g. the whole second of a timestamp -- and the
+successor is found in two JVM window passes:
 
-* inside a partition, each row is paired with the next row (an Arrow batch
-  pass per partition, no per-row Python);
-* across partitions, the last row of a partition is paired with the first row
-  of the next non-empty partition.  Those first/last rows come from a partial
-  aggregate per partition (at most two rows per partition), so the fix-up
-  table is bounded by the partition count, not by the data.
+1. inside each ``(group, slice)``: ``lead`` over the slice's rows;
+2. across slices: the first and last row of every slice (a partial
+   aggregate, one row per slice) are ordered per group and each slice's last
+   row meets the next non-empty slice's first row.
+
+Everything is a deterministic function of the data (no sampled partition
+bounds), so the two passes can never disagree about where a slice ends.
+The task of pass 1 holds one slice; pass 2 holds one row per slice of a
+group (for one-second slices of a day: at most 86,400 rows, whatever the
+data volume).
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from graphloom.session import shuffle_partitions
-
-
-def _pair_rows(group: str, carry: list[str], out_names: list[str]):
-    """Arrow function: pair every row with its successor inside one partition."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        import pyarrow.compute as pc
 
-        prev = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            tbl = pa.Table.from_batches([batch])
-            if prev is not None:
-                tbl = pa.concat_tables([prev, tbl])
-            n = tbl.num_rows
-            prev = tbl.slice(n - 1)
-            if n < 2:
-                continue
-            cur, nxt = tbl.slice(0, n - 1), tbl.slice(1)
-            same = pc.fill_null(pc.equal(cur[group], nxt[group]), False)
-            arrays = [cur[group]] + [cur[c] for c in carry] + [nxt[c] for c in carry]
-            out = pa.Table.from_arrays(arrays, names=out_names).filter(same)
-            yield from out.combine_chunks().to_batches()
 
-    return run
-
-
-def successor_pairs(
-    df: DataFrame,
-    group: str,
-    order: list[str],
-    carry: list[str],
-    *,
-    partitions: int | None = None,
-) -> DataFrame:
+def successor_pairs(df: DataFrame, group: str, order: list[str], carry: list[str], slice_by: Column) -> DataFrame:
     """For each row, its successor in the same ``group`` by ``order``.
 
-    Output columns: ``group``, ``cur_<c>`` and ``next_<c>`` for each ``c`` in
-    ``carry``; rows without a successor (last of a group) have no pair.
-    ``(group, *order)`` should be unique so that the order is total; rows with
-    a NULL group or order key are left out.
+    ``slice_by`` must not decrease along ``order`` within a group (it refines
+    the group without reordering it).  Output columns: ``group``, ``cur_<c>``
+    and ``next_<c>`` for each ``c`` in ``carry``; the last row of a group has
+    no pair.  ``(group, *order)`` should be unique so that the order is total;
+    rows with a NULL group, order key or slice are left out.
     """
-    parts = partitions or shuffle_partitions(df.sparkSession)
     keys = [group, *order]
     extra = [c for c in carry if c not in keys]
-    clean = df.select(*keys, *extra)
-    for k in keys:
-        clean = clean.where(F.col(k).isNotNull())
-    ranged = clean.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    rows = df.select(*keys, *extra, slice_by.alias("_slice"))
+    for k in [*keys, "_slice"]:
+        rows = rows.where(F.col(k).isNotNull())
 
-    schema = T.StructType(
-        [T.StructField(group, df.schema[group].dataType)]
-        + [T.StructField(f"cur_{c}", df.schema[c].dataType) for c in carry]
-        + [T.StructField(f"next_{c}", df.schema[c].dataType) for c in carry]
-    )
-    inner = ranged.select(group, *[c for c in carry if c != group]).mapInArrow(_pair_rows(group, carry, schema.names), schema)
+    # 1. successor inside a slice
+    within = Window.partitionBy(group, "_slice").orderBy(*order)
+    inner = rows.select(
+        group,
+        *[F.col(c).alias(f"cur_{c}") for c in carry],
+        *[F.lead(c).over(within).alias(f"next_{c}") for c in carry],
+        F.lead(F.lit(True)).over(within).alias("_has_next"),
+    ).where(F.col("_has_next")).drop("_has_next")
 
-    # first and last row of every range partition (<= 2 rows per partition)
-    row = F.struct(*keys, *extra)
-    bounds = (
-        ranged.select(F.spark_partition_id().alias("_part"), row.alias("_row"))
-        .groupBy("_part")
-        .agg(F.min("_row").alias("_first"), F.max("_row").alias("_last"))
-    )
-    # the fix-up window holds one row per non-empty partition: bounded by `parts`
-    w = Window.orderBy("_part")
-    edges = bounds.select(F.col("_last").alias("_cur"), F.lead("_first").over(w).alias("_next"))
-    across = edges.where(F.col("_cur")[group] == F.col("_next")[group]).select(
-        F.col("_cur")[group].alias(group),
-        *[F.col("_cur")[c].alias(f"cur_{c}") for c in carry],
-        *[F.col("_next")[c].alias(f"next_{c}") for c in carry],
+    # 2. last row of a slice -> first row of the next non-empty slice
+    row = F.struct(*order, *extra)
+    ends = rows.groupBy(group, "_slice").agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
+    across_w = Window.partitionBy(group).orderBy("_slice")
+    across = (
+        ends.select(group, "_last", F.lead("_first").over(across_w).alias("_next"))
+        .where(F.col("_next").isNotNull())
+        .select(
+            group,
+            *[_field("_last", c, group).alias(f"cur_{c}") for c in carry],
+            *[_field("_next", c, group).alias(f"next_{c}") for c in carry],
+        )
     )
     return inner.unionByName(across)
+
+
+def _field(struct_col: str, name: str, group: str) -> Column:
+    # the group value is not stored in the struct (it is the window key)
+    return F.col(group) if name == group else F.col(struct_col)[name]

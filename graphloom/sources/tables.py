@@ -130,7 +130,9 @@ def handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         F.unix_timestamp("ts").alias("sec"),
     )
-    pairs = successor_pairs(ev, "day", ["ts", "event_id"], ["user_id", "sec"])
+    # one-second slices keep the order (ts within a second) and split a day
+    # into at most 86,400 independent windows
+    pairs = successor_pairs(ev, "day", ["ts", "event_id"], ["user_id", "sec"], slice_by=F.col("sec"))
     return (
         pairs.where(
             F.col("cur_user_id").isNotNull()
