@@ -32,26 +32,64 @@ _FIXED_WIDTH = {
 }
 
 
-def size_bound(df: DataFrame) -> int | None:
-    """An upper bound of ``df`` in bytes from one aggregate job: row count
-    times (fixed widths + the longest value of each string/binary column +
-    8 bytes per column).  None if a column has no such bound (nested types)."""
+def _bound_terms(df: DataFrame) -> tuple[int, list[Column]] | None:
+    """(fixed bytes per row, columns measuring the variable part) or None."""
     per_row = 0
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, field in enumerate(df.schema.fields):
+    lengths: list[Column] = []
+    for field in df.schema.fields:
         width = _FIXED_WIDTH.get(type(field.dataType))
         if width is not None:
             per_row += width + 8
         elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
             per_row += 8
-            aggs.append(F.max(F.octet_length(F.col(field.name))).alias(f"_len{i}"))
+            lengths.append(F.max(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))))
         elif isinstance(field.dataType, T.DecimalType):
             per_row += 16 + 8
         else:
             return None
-    row = df.agg(*aggs).first()
-    widest = sum(int(v or 0) for k, v in row.asDict().items() if k != "_rows")
-    return int(row["_rows"]) * (per_row + widest)
+    return per_row, lengths
+
+
+def size_bounds(frames: list[DataFrame]) -> list[int | None]:
+    """Upper bounds in bytes of several frames from one job: row count times
+    (fixed widths + the longest value of each string/binary column + 8 bytes
+    per column).  None for a frame with a column that has no such bound."""
+    parts: list[DataFrame] = []
+    fixed: dict[int, int] = {}
+    for i, df in enumerate(frames):
+        terms = _bound_terms(df)
+        if terms is None:
+            continue
+        fixed[i], lengths = terms
+        widest = sum(lengths, F.lit(0)) if lengths else F.lit(0)
+        parts.append(
+            df.agg(F.count(F.lit(1)).alias("_rows"), widest.cast("long").alias("_widest")).select(
+                F.lit(i).alias("_frame"), "_rows", "_widest"
+            )
+        )
+    if not parts:
+        return [None] * len(frames)
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    measured = {r["_frame"]: (r["_rows"], r["_widest"]) for r in union.collect()}  # one row per frame
+    out: list[int | None] = []
+    for i in range(len(frames)):
+        if i not in measured:
+            out.append(None)
+        else:
+            rows, widest = measured[i]
+            out.append(int(rows) * (fixed[i] + int(widest or 0)))
+    return out
+
+
+def size_bound(df: DataFrame) -> int | None:
+    return size_bounds([df])[0]
+
+
+def fits_broadcast(spark, bound: int | None) -> bool:
+    limit = broadcast_threshold(spark)
+    return limit >= 0 and bound is not None and bound <= limit
 
 
 @dataclass(frozen=True)
@@ -108,11 +146,13 @@ def lookup_join(
     *,
     how: str = "inner",
     profile: KeyProfile | None = None,
+    dim_bound: int | None = None,
 ) -> DataFrame:
     """Join ``fact`` to ``dim`` (unique on ``dim_key``) without a skewed task.
 
-    If the dimension's measured size bound fits the session's broadcast
-    threshold it is broadcast (no shuffle, so no skew).  Otherwise the fact's
+    If the dimension's measured size bound (``dim_bound``, measured here when
+    not given) fits the session's broadcast threshold it is broadcast (no
+    shuffle, so no skew).  Otherwise the fact's
     hot keys are found (``profile`` may be passed in) and only their dimension
     rows -- at most one per hot key -- are broadcast; the other keys take a
     shuffle join.  The key column keeps the fact's name.
@@ -121,9 +161,9 @@ def lookup_join(
         raise ValueError("lookup_join supports inner and left joins")
     d = dim.withColumnRenamed(dim_key, fact_key) if dim_key != fact_key else dim
     if profile is None:
-        limit = broadcast_threshold(fact.sparkSession)
-        bound = size_bound(d) if limit >= 0 else None
-        if bound is not None and bound <= limit:
+        spark = fact.sparkSession
+        bound = dim_bound if dim_bound is not None else (size_bound(d) if broadcast_threshold(spark) >= 0 else None)
+        if fits_broadcast(spark, bound):
             return fact.join(F.broadcast(d), fact_key, how)
     prof = profile if profile is not None else profile_keys(fact, fact_key)
     cold, hot = split_hot(fact, fact_key, prof)

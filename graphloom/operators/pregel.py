@@ -255,7 +255,7 @@ def pregel(
     active: Column | None = None,
     max_iterations: int | Callable[[int], int] | None = None,
     fill_missing: bool = True,
-    prepare_vertices: Callable[[DataFrame], DataFrame] | None = None,
+    prepare_vertices: Callable[[DataFrame, PropertyGraph], DataFrame] | None = None,
     edge_min_columns: tuple[str, ...] = (),
     validate: Callable[[Row, int], None] | None = None,
     fuse: int = 2,
@@ -270,8 +270,9 @@ def pregel(
 
     With ``fill_missing`` every edge endpoint missing from the vertex table
     becomes a vertex with NULL properties (otherwise messages to it are
-    dropped); ``prepare_vertices`` may then add columns that ``state`` reads
-    (it should keep the rows partitioned on id: joins on id do).  A repeated
+    dropped); ``prepare_vertices(vertex_table, graph)`` may then add columns
+    that ``state`` reads (it should keep the rows partitioned on id: joins on
+    id do); its ``graph`` has the already computed, persisted edges.  A repeated
     vertex id is kept once.  Edges with a NULL endpoint carry nothing and are
     left out.
 
@@ -291,7 +292,7 @@ def pregel(
 
     vertices = _vertex_table(graph.vertices, e if fill_missing else None)
     if prepare_vertices is not None:
-        vertices = prepare_vertices(vertices)
+        vertices = prepare_vertices(vertices, PropertyGraph(graph.vertices, e))
     start_active = active if active is not None else state.isNotNull()
     start = vertices.select(
         F.col("id"),

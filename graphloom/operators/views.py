@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.graph import PropertyGraph
-from graphloom.operators.joins import lookup_join, not_null, profile_keys
+from graphloom.operators.joins import lookup_join, not_null, size_bounds
 
 
 def describe(graph: PropertyGraph) -> DataFrame:
@@ -40,8 +40,11 @@ def triplets(graph: PropertyGraph) -> DataFrame:
     endpoint is not a vertex drop out (inner join), as in a graph view.
     """
     e = graph.edges.where(not_null("src", "dst"))
-    with_src = lookup_join(e, _prefixed(graph.vertices, "src", "src_"), "src", "src")
-    return lookup_join(with_src, _prefixed(graph.vertices, "dst", "dst_"), "dst", "dst")
+    src_side = _prefixed(graph.vertices, "src", "src_")
+    dst_side = _prefixed(graph.vertices, "dst", "dst_")
+    bound = size_bounds([src_side])[0]  # both sides are the vertex table
+    with_src = lookup_join(e, src_side, "src", "src", dim_bound=bound)
+    return lookup_join(with_src, dst_side, "dst", "dst", dim_bound=bound)
 
 
 def endpoint_ids(graph: PropertyGraph) -> DataFrame:

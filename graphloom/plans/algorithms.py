@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from typing import Any, Union
 
 from pyspark.sql import Column, DataFrame, Row
@@ -13,20 +13,27 @@ from graphloom.functions.programs import path_start, relax_min, relax_path, spre
 from graphloom.graph import PropertyGraph
 from graphloom.operators.pregel import PregelResult, pregel
 
-Sources = Union[Iterable[Any], DataFrame, Column]
+Sources = Union[Iterable[Any], DataFrame, Column, Callable[[PropertyGraph], DataFrame]]
 
 
 def _source_flag(sources: Sources):
     """(vertex hook or None, boolean column marking the source vertices).
 
-    ``sources`` is a list of ids, a DataFrame with an ``id`` column, or a
+    ``sources`` is a list of ids, a DataFrame with an ``id`` column, a
+    function of the graph returning such a DataFrame (evaluated on the loop's
+    already computed edges, so a derived edge table is not rebuilt), or a
     boolean Column over the vertex table.  Ids that are no vertex are ignored.
     """
     if isinstance(sources, Column):
         return None, F.coalesce(sources, F.lit(False))
-    if isinstance(sources, DataFrame):
-        flags = sources.select("id").where(F.col("id").isNotNull()).distinct().withColumn("_source", F.lit(True))
-        return (lambda v: v.join(flags, "id", "left")), F.coalesce(F.col("_source"), F.lit(False))
+    if isinstance(sources, DataFrame) or callable(sources):
+
+        def hook(v: DataFrame, graph: PropertyGraph) -> DataFrame:
+            ids = sources(graph) if callable(sources) else sources
+            flags = ids.select("id").where(F.col("id").isNotNull()).distinct().withColumn("_source", F.lit(True))
+            return v.join(flags, "id", "left")
+
+        return hook, F.coalesce(F.col("_source"), F.lit(False))
     ids = list(sources)
     if not ids:
         return None, F.lit(False)

@@ -60,12 +60,12 @@ def q_global_max(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_sssp_trade(spark: SparkSession, sf: str) -> DataFrame:
     g = t.trade(spark, sf)
-    return sssp(g, t.smallest_source(g)).vertices
+    return sssp(g, t.smallest_source).vertices
 
 
 def q_sssp_trade_top3(spark: SparkSession, sf: str) -> DataFrame:
     g = t.trade_top3(spark, sf)
-    return sssp(g, t.smallest_source(g)).vertices
+    return sssp(g, t.smallest_source).vertices
 
 
 def q_sssp_handoff(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,8 +73,7 @@ def q_sssp_handoff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sssp_turns(spark: SparkSession, sf: str) -> DataFrame:
-    g = t.turns(spark, sf)
-    return sssp(g, t.turn_starts(g)).vertices
+    return sssp(t.turns(spark, sf), t.turn_starts).vertices
 
 
 def q_sssp_paths_handoff(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,13 +87,13 @@ def q_sssp_hop_limited(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_sssp_labelled(spark: SparkSession, sf: str) -> DataFrame:
     g = t.trade(spark, sf)
-    res = sssp_paths(g, t.smallest_source(g))
+    res = sssp_paths(g, t.smallest_source)
     return labelled_costs(res.vertices, t.nation_labels(spark, sf))
 
 
 def q_sssp_path_labels(spark: SparkSession, sf: str) -> DataFrame:
     g = t.trade_top3(spark, sf)
-    res = sssp_paths(g, t.smallest_source(g))
+    res = sssp_paths(g, t.smallest_source)
     return path_labels(res.vertices, t.nation_labels(spark, sf))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.graph import PropertyGraph
-from graphloom.operators.joins import lookup_join
+from graphloom.operators.joins import lookup_join, size_bounds
 from graphloom.operators.sequence import successor_pairs
 from graphloom.operators.topk import top_k_per_group
 
@@ -48,17 +48,22 @@ def trade_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier nation -> customer nation, weight = number of lineitems."""
+    suppliers = read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    customers = read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    sup_bound, cust_bound = size_bounds([suppliers, customers])  # one job for both
     items = lookup_join(
         read(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey"),
-        read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey"),
+        suppliers,
         "l_suppkey",
         "s_suppkey",
+        dim_bound=sup_bound,
     ).select(F.col("l_orderkey").alias("orderkey"), "s_nationkey")
     buyers = lookup_join(
         read(spark, sf_dir, "orders", "o_orderkey", "o_custkey"),
-        read(spark, sf_dir, "customer", "c_custkey", "c_nationkey"),
+        customers,
         "o_custkey",
         "c_custkey",
+        dim_bound=cust_bound,
     ).select(F.col("o_orderkey").alias("orderkey"), "c_nationkey")
     # an order has a handful of lineitems: the orderkey join cannot be skewed
     return (
