@@ -1,8 +1,9 @@
 """Labelled results: label lookups per row and per path element, result lines.
 
-Label tables are joined without a broadcast hint: Catalyst broadcasts them
-only when their estimated size is under the session threshold, and shuffles
-otherwise.  Result rows are unique per id, so neither join can be skewed.
+A label table is measured once (row count and longest label, one job) and
+broadcast only when that bound fits the session's broadcast threshold;
+otherwise the lookups are shuffle joins.  Result rows are unique per id and
+labels are unique per id, so no lookup can be skewed.
 """
 from __future__ import annotations
 
@@ -10,10 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.lines import cost_line, path_line
+from graphloom.operators.joins import fits_broadcast, size_bounds
+
+
+def _sized(labels: DataFrame) -> DataFrame:
+    """``labels(id, label)``, marked for broadcast only under a measured bound."""
+    lab = labels.select("id", "label")
+    if fits_broadcast(lab.sparkSession, size_bounds([lab])[0]):
+        return F.broadcast(lab)
+    return lab.hint("shuffle_hash")
 
 
 def with_label(df: DataFrame, labels: DataFrame, key: str = "id", name: str = "label") -> DataFrame:
-    """Left-join ``labels(id, label)`` on ``key``; a missing label is NULL."""
+    """Left-join ``labels(id, label)`` on ``key``; a missing label is NULL.
+    Pass labels through :func:`_sized` once when joining them repeatedly."""
     lab = labels.select(F.col("id").alias(key), F.col("label").alias(name))
     return df.join(lab, key, "left")
 
@@ -24,6 +35,7 @@ def labelled_costs(paths: DataFrame, labels: DataFrame) -> DataFrame:
     The source of each row is the first element of its path, so several
     sources work too.  Unreached vertices keep NULL cost and line.
     """
+    labels = _sized(labels)
     with_src = paths.select("id", "dist", F.col("path")[0].alias("source"))
     out = with_label(with_label(with_src, labels, "id", "label"), labels, "source", "source_label")
     return out.select(
@@ -41,6 +53,7 @@ def path_labels(paths: DataFrame, labels: DataFrame, sep: str = ">") -> DataFram
     The path is exploded with positions, labelled through a join and put back
     in order; a group holds exactly one path, which already lived in one row.
     """
+    labels = _sized(labels)
     steps = paths.select("id", F.posexplode("path").alias("pos", "step"))
     lab = labels.select(F.col("id").alias("step"), F.coalesce(F.col("label"), F.col("id").cast("string")).alias("name"))
     named = (

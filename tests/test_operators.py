@@ -47,3 +47,32 @@ def test_lookup_join_with_hot_key(spark):
     got = sorted(tuple(r) for r in lookup_join(fact, dim, "k", "dk", profile=prof).collect())
     expect = sorted(tuple(r) for r in fact.join(dim, fact.k == dim.dk).select("k", "x", "name").collect())
     assert got == expect
+
+
+def test_lookup_join_over_threshold_splits_hot_keys(spark):
+    # the dimension does not fit the (tiny) threshold: the fact's hot key is
+    # found and joined through a broadcast of its single dimension row
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64")
+    try:
+        fact = spark.createDataFrame([(7 if i % 3 else i % 50, i) for i in range(900)], "k long, x long")
+        dim = spark.createDataFrame([(k, f"name-{k}") for k in range(50)], "dk long, name string")
+        got = sorted(tuple(r) for r in lookup_join(fact, dim, "k", "dk", how="left").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    expect = sorted((k, x, f"name-{k}") for k, x in [(7 if i % 3 else i % 50, i) for i in range(900)])
+    assert got == expect
+
+
+def test_labels_without_broadcast(spark):
+    from graphloom.plans.report import labelled_costs
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        paths = spark.createDataFrame([(1, 0, [1]), (2, 4, [1, 2]), (3, None, None)], "id long, dist long, path array<long>")
+        labels = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "id long, label string")
+        got = {r.id: r.line for r in labelled_costs(paths, labels).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == {1: "Minimum cost to get from A to A is 0", 2: "Minimum cost to get from A to B is 4", 3: None}
