@@ -316,7 +316,7 @@ def pregel(
     trace: list[tuple[int, int, int, int, int, float]] = []
     rounds = 0
     converged = n_active == 0
-    written: list[str] = []
+    written = [0]  # state tables still on disk; the last one is the result
     while not converged:
         if max_iterations is not None and rounds >= max_iterations:
             break
