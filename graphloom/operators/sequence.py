@@ -2,41 +2,67 @@
 
 ``lead(x) OVER (PARTITION BY g ORDER BY k)`` sorts every group in one task,
 so a group holding a third of all rows is a third of the job in one task.
-Here the group is cut into *slices* -- a column that never decreases along
-the order inside a group, e.g. the whole second of a timestamp -- and the
-successor is found in two JVM window passes:
+Here the rows are cut into *slices* of about equal row count along a numeric
+key that never decreases along the order (``approxQuantile`` gives at most
+``slices - 1`` cut points -- a bounded list on the driver -- and
+``Bucketizer`` assigns each row its slice, JVM-side).  Then two window
+passes:
 
 1. inside each ``(group, slice)``: ``lead`` over the slice's rows;
-2. across slices: the first and last row of every slice (a partial
-   aggregate, one row per slice) are ordered per group and each slice's last
-   row meets the next non-empty slice's first row.
+2. across slices: the first and last row of every ``(group, slice)`` (a
+   partial aggregate) are ordered per group, and each slice's last row meets
+   the next non-empty slice's first row.
 
-Everything is a deterministic function of the data (no sampled partition
-bounds), so the two passes can never disagree about where a slice ends.
-The task of pass 1 holds one slice; pass 2 holds one row per slice of a
-group (for one-second slices of a day: at most 86,400 rows, whatever the
-data volume).
+A hot group is spread over many slices and a hot stretch of the key over
+many cut points; only rows sharing one exact key value stay together.  The
+slices are a fixed function of the cut points computed once, so the two
+passes can never disagree about where a slice ends.  Pass 2 holds one row
+per slice of a group: at most ``slices`` rows.
 """
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.session import shuffle_partitions
 
-def successor_pairs(df: DataFrame, group: str, order: list[str], carry: list[str], slice_by: Column) -> DataFrame:
+
+def _even_slices(rows: DataFrame, key: str, slices: int) -> DataFrame:
+    """Add ``_slice``: about ``slices`` ranges of ``key`` with equal row counts."""
+    probs = [i / slices for i in range(1, slices)]
+    cuts = rows.approxQuantile(key, probs, 1.0 / (10 * slices)) if probs else []
+    splits = [float("-inf"), *sorted({c for c in cuts if c is not None}), float("inf")]
+    if len(splits) == 2:
+        return rows.withColumn("_slice", F.lit(0.0))
+    return Bucketizer(splits=splits, inputCol=key, outputCol="_slice").transform(rows)
+
+
+def successor_pairs(
+    df: DataFrame,
+    group: str,
+    order: list[str],
+    carry: list[str],
+    slice_key: Column,
+    *,
+    slices: int | None = None,
+) -> DataFrame:
     """For each row, its successor in the same ``group`` by ``order``.
 
-    ``slice_by`` must not decrease along ``order`` within a group (it refines
-    the group without reordering it).  Output columns: ``group``, ``cur_<c>``
-    and ``next_<c>`` for each ``c`` in ``carry``; the last row of a group has
-    no pair.  ``(group, *order)`` should be unique so that the order is total;
-    rows with a NULL group, order key or slice are left out.
+    ``slice_key`` is numeric and must not decrease along ``order`` within a
+    group (e.g. the first order key as a number); ``slices`` defaults to four
+    per shuffle partition.  Output columns: ``group``, ``cur_<c>`` and
+    ``next_<c>`` for each ``c`` in ``carry``; the last row of a group has no
+    pair.  ``(group, *order)`` should be unique so that the order is total;
+    rows with a NULL group, order key or slice key are left out.
     """
+    n = slices or 4 * shuffle_partitions(df.sparkSession)
     keys = [group, *order]
     extra = [c for c in carry if c not in keys]
-    rows = df.select(*keys, *extra, slice_by.alias("_slice"))
-    for k in [*keys, "_slice"]:
+    rows = df.select(*keys, *extra, slice_key.cast("double").alias("_key"))
+    for k in [*keys, "_key"]:
         rows = rows.where(F.col(k).isNotNull())
+    rows = _even_slices(rows, "_key", n).drop("_key")
 
     # 1. successor inside a slice
     within = Window.partitionBy(group, "_slice").orderBy(*order)

@@ -135,9 +135,10 @@ def handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         F.unix_timestamp("ts").alias("sec"),
     )
-    # one-second slices keep the order (ts within a second) and split a day
-    # into at most 86,400 independent windows
-    pairs = successor_pairs(ev, "day", ["ts", "event_id"], ["user_id", "sec"], slice_by=F.col("sec"))
+    # zone-free microseconds since the epoch: grows with ts, so it may cut the
+    # order into slices of equal row count (a hot day or second is spread)
+    micros = F.col("sec") * F.lit(1_000_000) + F.date_format("ts", "SSSSSS").cast("long")
+    pairs = successor_pairs(ev, "day", ["ts", "event_id"], ["user_id", "sec"], slice_key=micros)
     return (
         pairs.where(
             F.col("cur_user_id").isNotNull()

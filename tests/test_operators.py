@@ -15,7 +15,7 @@ def test_successor_pairs_match_per_group_lead(spark):
         g = 0 if i % 3 else rnd.randint(1, 5)  # group 0 holds two thirds of the rows
         rows.append((g, rnd.randint(0, 50), i, rnd.randint(0, 9)))
     df = spark.createDataFrame(rows, "g long, t long, k long, u long")
-    got = sorted(tuple(r) for r in successor_pairs(df, "g", ["t", "k"], ["u", "k"], slice_by=F.col("t")).collect())
+    got = sorted(tuple(r) for r in successor_pairs(df, "g", ["t", "k"], ["u", "k"], slice_key=F.col("t"), slices=5).collect())
     expect = []
     by = {}
     for r in rows:
