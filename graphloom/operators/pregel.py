@@ -106,32 +106,37 @@ class _Edges:
     stats: Row
 
 
-def _prepare_edges(e: DataFrame, parts: int, min_columns: tuple[str, ...], store: "_StateStore") -> _Edges:
-    """Profile out-degrees of the (persisted) edges, split hubs off and write
-    both edge sets under the checkpoint directory.
-
-    One job computes the edge count, the largest out-degree and, for each
-    column in ``min_columns``, its minimum and NULL count (callers validate
-    weights with them).  A source with more edges than an average partition
-    is a hub: at most ``parts`` of them exist, so their ids may be broadcast.
-    The ordinary edges are bucketed on ``src`` like the state is on ``id``, so
-    the frontier join needs no exchange; the hubs' edges are spread
-    round-robin, so no task holds more than its share.
-    """
-    per_src = [F.count(F.lit(1)).alias("_rows")]
+def _edge_stats(e: DataFrame, min_columns: tuple[str, ...]) -> tuple[Row, DataFrame]:
+    """Edge count, largest out-degree and, for each column in ``min_columns``,
+    its minimum and NULL count -- one job; plus the out-degree per source.
+    Only used when endpoints are not filled (the vertex table gives them
+    otherwise)."""
+    per_src = [F.count(F.lit(1)).alias("_deg")]
     per_src += [F.min(c).alias(f"min_{c}") for c in min_columns]
     per_src += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in min_columns]
     deg = e.groupBy("src").agg(*per_src)
-    totals = [F.sum("_rows").alias("edges"), F.max("_rows").alias("max_out_degree")]
+    totals = [F.sum("_deg").alias("edges"), F.max("_deg").alias("max_out_degree")]
     totals += [F.min(f"min_{c}").alias(f"min_{c}") for c in min_columns]
     totals += [F.sum(f"nulls_{c}").alias(f"nulls_{c}") for c in min_columns]
-    stats = deg.agg(*totals).first()
+    return deg.agg(*totals).first(), deg.select("src", "_deg")
+
+
+def _layout_edges(e: DataFrame, parts: int, stats: Row, degrees: DataFrame, store: "_StateStore") -> _Edges:
+    """Split hubs off the (persisted) edges and write both edge sets under the
+    checkpoint directory.
+
+    A source with more edges than an average partition is a hub: at most
+    ``parts`` of them exist, so their ids may be broadcast.  The ordinary edges
+    are bucketed on ``src`` like the state is on ``id``, so the frontier join
+    needs no exchange; the hubs' edges are spread round-robin, so no task
+    holds more than its share.  ``degrees`` is (src, _deg).
+    """
     n_edges = int(stats["edges"] or 0)
     threshold = max(1, math.ceil(n_edges / parts))
     if parts <= 1 or int(stats["max_out_degree"] or 0) <= threshold:
         cold, _ = store.write_table(e.repartition(parts, "src"), "edges", bucket="src")
         return _Edges(cold, None, None, stats)
-    hot_ids, _ = store.write_table(deg.where(F.col("_rows") > threshold).select("src"), "hubs")
+    hot_ids, _ = store.write_table(degrees.where(F.col("_deg") > threshold).select("src"), "hubs")
     cold, _ = store.write_table(
         e.join(F.broadcast(hot_ids), "src", "left_anti").repartition(parts, "src"), "edges", bucket="src"
     )
@@ -139,21 +144,57 @@ def _prepare_edges(e: DataFrame, parts: int, min_columns: tuple[str, ...], store
     return _Edges(cold, hot, hot_ids, stats)
 
 
-def _vertex_table(vertices: DataFrame, e: DataFrame | None) -> DataFrame:
+def _vertex_table(vertices: DataFrame, e: DataFrame | None, min_columns: tuple[str, ...] = ()) -> DataFrame:
     """One row per vertex id, hash-partitioned on id (one shuffle).
 
     With ``e``, every edge endpoint that is no vertex is added with NULL
-    properties (GraphX's missing-endpoint fill).  A repeated id keeps its
+    properties (GraphX's missing-endpoint fill), and the same aggregation
+    counts each vertex's out-degree (``_deg``) and, per column in
+    ``min_columns``, the minimum and NULL count over its out-edges -- the edge
+    statistics come for free with the vertex table.  A repeated id keeps its
     smallest property struct, real rows before filled ones -- a fixed pick.
     Partial aggregation collapses a repeated id before the shuffle.
     """
     props = [c for c in vertices.columns if c != "id"]
     rows = vertices.where(F.col("id").isNotNull()).select("id", F.lit(False).alias("_filled"), *props)
-    if e is not None:
-        ends = e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id")))
-        rows = rows.unionByName(ends.withColumn("_filled", F.lit(True)), allowMissingColumns=True)
-    picked = rows.groupBy("id").agg(F.min(F.struct("_filled", *props)).alias("_v"))
-    return picked.select("id", *[F.col(f"_v.{p}").alias(p) for p in props])
+    if e is None:
+        picked = rows.groupBy("id").agg(F.min(F.struct("_filled", *props)).alias("_v"))
+        return picked.select("id", *[F.col(f"_v.{p}").alias(p) for p in props])
+    zero = F.lit(0).cast("long")
+    rows = rows.select(
+        "*",
+        zero.alias("_out"),
+        *[F.lit(None).cast(e.schema[c].dataType).alias(f"_min_{c}") for c in min_columns],
+        *[zero.alias(f"_nulls_{c}") for c in min_columns],
+    )
+    outs = e.select(
+        F.col("src").alias("id"),
+        F.lit(True).alias("_filled"),
+        F.lit(1).cast("long").alias("_out"),
+        *[F.col(c).alias(f"_min_{c}") for c in min_columns],
+        *[F.col(c).isNull().cast("long").alias(f"_nulls_{c}") for c in min_columns],
+    )
+    ins = e.select(
+        F.col("dst").alias("id"),
+        F.lit(True).alias("_filled"),
+        zero.alias("_out"),
+        *[F.lit(None).cast(e.schema[c].dataType).alias(f"_min_{c}") for c in min_columns],
+        *[zero.alias(f"_nulls_{c}") for c in min_columns],
+    )
+    allrows = rows.unionByName(outs, allowMissingColumns=True).unionByName(ins, allowMissingColumns=True)
+    picked = allrows.groupBy("id").agg(
+        F.min(F.struct("_filled", *props)).alias("_v"),
+        F.sum("_out").alias("_deg"),
+        *[F.min(f"_min_{c}").alias(f"_min_{c}") for c in min_columns],
+        *[F.sum(f"_nulls_{c}").alias(f"_nulls_{c}") for c in min_columns],
+    )
+    return picked.select(
+        "id",
+        *[F.col(f"_v.{p}").alias(p) for p in props],
+        "_deg",
+        *[f"_min_{c}" for c in min_columns],
+        *[f"_nulls_{c}" for c in min_columns],
+    )
 
 
 class _StateStore:
@@ -178,22 +219,32 @@ class _StateStore:
         return f"{self.base}/{key}"
 
     def write_table(
-        self, df: DataFrame, key: str, *metrics: Column, bucket: str | None = None
+        self,
+        df: DataFrame,
+        key: str,
+        *metrics: Column,
+        bucket: str | None = None,
+        columns: list[str] | None = None,
     ) -> tuple[DataFrame, dict]:
         """Write ``df`` as table ``key`` (bucketed on ``bucket`` into ``parts``
         buckets when given; ``df`` should then already be hash-partitioned on
-        it) and return the table read back plus the observed metrics."""
+        it) and return the table read back plus the observed metrics.  The
+        metrics see all of ``df``; only ``columns`` (default: all) are kept."""
         obs = Observation(f"pregel-{self.tag}-{key}") if metrics else None
         out = df.observe(obs, *metrics) if obs is not None else df
+        if columns is not None:
+            out = out.select(*columns)
         writer = out.write.format("parquet").option("path", self.path(key))
         if bucket is not None:
             writer = writer.bucketBy(self.parts, bucket)
         writer.saveAsTable(self.name(key))
         return self.spark.table(self.name(key)), (obs.get if obs is not None else {})
 
-    def write(self, df: DataFrame, superstep: int, *metrics: Column) -> tuple[DataFrame, dict]:
+    def write(
+        self, df: DataFrame, superstep: int, *metrics: Column, columns: list[str] | None = None
+    ) -> tuple[DataFrame, dict]:
         """Write one superstep's state, bucketed on id."""
-        return self.write_table(df, self._step(superstep), *metrics, bucket="id")
+        return self.write_table(df, self._step(superstep), *metrics, bucket="id", columns=columns)
 
     @staticmethod
     def _step(superstep: int) -> str:
@@ -288,9 +339,18 @@ def pregel(
 
     # the edge table is computed once, whatever produced it
     e = graph.edges.where(not_null("src", "dst")).persist(_LEVEL)
-    edges = _prepare_edges(e, parts, edge_min_columns, store)
-
-    vertices = _vertex_table(graph.vertices, e if fill_missing else None)
+    stats_cols: list[str] = []
+    stat_metrics: list[Column] = []
+    if fill_missing:
+        # edge statistics ride along with the vertex table (no job of their own)
+        vertices = _vertex_table(graph.vertices, e, edge_min_columns)
+        stats_cols = ["_deg", *[f"_min_{c}" for c in edge_min_columns], *[f"_nulls_{c}" for c in edge_min_columns]]
+        stat_metrics = [F.sum("_deg").alias("edges"), F.max("_deg").alias("max_out_degree")]
+        stat_metrics += [F.min(f"_min_{c}").alias(f"min_{c}") for c in edge_min_columns]
+        stat_metrics += [F.sum(f"_nulls_{c}").alias(f"nulls_{c}") for c in edge_min_columns]
+    else:
+        stats, degrees = _edge_stats(e, edge_min_columns)
+        vertices = _vertex_table(graph.vertices, None)
     if prepare_vertices is not None:
         vertices = prepare_vertices(vertices, PropertyGraph(graph.vertices, e))
     start_active = active if active is not None else state.isNotNull()
@@ -299,19 +359,33 @@ def pregel(
         state.alias("state"),
         F.coalesce(start_active, F.lit(False)).alias("changed"),
         F.lit(0).cast("long").alias("n"),
+        *stats_cols,
+    )
+    v, first = store.write(
+        start,
+        0,
+        F.count(F.lit(1)).alias("vertices"),
+        F.count_if("changed").alias("active"),
+        *stat_metrics,
+        columns=["id", "state", "changed", "n", *(["_deg"] if fill_missing else [])],
     )
-    v, first = store.write(start, 0, F.count(F.lit(1)).alias("vertices"), F.count_if("changed").alias("active"))
+    if fill_missing:
+        stats = Row(**{m: first[m] for m in ["edges", "max_out_degree"]
+                       + [f"min_{c}" for c in edge_min_columns] + [f"nulls_{c}" for c in edge_min_columns]})
+        degrees = v.select(F.col("id").alias("src"), "_deg")
     vertex_count = int(first["vertices"])
     n_active = int(first["active"])
     if callable(max_iterations):
         max_iterations = max_iterations(vertex_count)
-    e.unpersist()
     if validate is not None:
         try:
-            validate(edges.stats, vertex_count)
+            validate(stats, vertex_count)
         except Exception:
+            e.unpersist()
             store.drop_all()
             raise
+    edges = _layout_edges(e, parts, stats, degrees, store)
+    e.unpersist()
 
     trace: list[tuple[int, int, int, int, int, float]] = []
     rounds = 0
