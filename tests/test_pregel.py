@@ -47,3 +47,28 @@ def test_release_drops_tables(spark):
 
 def test_checkpoint_dir_comes_from_session(spark):
     assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_without_fill_messages_to_unknown_ids_are_dropped(spark):
+    from graphloom.functions.programs import relax_min
+
+    v = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    e = spark.createDataFrame([(1, 2, 4), (1, 9, 1), (9, 3, 1), (2, 3, 5)], "src long, dst long, weight long")
+    res = pregel(
+        PropertyGraph(v, e),
+        relax_min("weight"),
+        state=F.when(F.col("id") == 1, F.lit(0).cast("long")),
+        fill_missing=False,
+        edge_min_columns=("weight",),
+    )
+    # 9 is no vertex: its message is dropped and the path 1 -> 9 -> 3 never forms
+    assert dict(res.vertices.collect()) == {1: 0, 2: 4, 3: 9}
+    assert res.edge_stats["edges"] == 4 and res.edge_stats["min_weight"] == 1
+    filled = pregel(
+        PropertyGraph(v, e),
+        relax_min("weight"),
+        state=F.when(F.col("id") == 1, F.lit(0).cast("long")),
+        edge_min_columns=("weight",),
+    )
+    assert dict(filled.vertices.collect()) == {1: 0, 2: 4, 3: 2, 9: 1}
+    assert filled.edge_stats["edges"] == 4 and filled.edge_stats["max_out_degree"] == 2
