@@ -72,3 +72,24 @@ def test_without_fill_messages_to_unknown_ids_are_dropped(spark):
     )
     assert dict(filled.vertices.collect()) == {1: 0, 2: 4, 3: 2, 9: 1}
     assert filled.edge_stats["edges"] == 4 and filled.edge_stats["max_out_degree"] == 2
+
+
+def test_superstep_plan_moves_only_messages(spark, capsys):
+    """State and edges are co-bucketed: the only exchange of a superstep is
+    the message shuffle (partial aggregate before it)."""
+    from graphloom.functions.programs import relax_min
+    from graphloom.operators.pregel import _Edges, _superstep
+
+    g = chain_graph(spark)
+    res = pregel(g, relax_min("weight"), state=F.when(F.col("id") == 0, F.lit(0).cast("long")))
+    store = res._store
+    state_tables = [t.name for t in spark.catalog.listTables() if t.name.startswith(store.name("superstep_"))]
+    v = spark.table(sorted(state_tables)[-1]).select("id", "state", "changed")
+    edges = _Edges(spark.table(store.name("edges")), None, None, res.edge_stats)
+    capsys.readouterr()
+    _superstep(v, edges, relax_min("weight"), []).explain()
+    plan = capsys.readouterr().out
+    exchanges = [line for line in plan.splitlines() if "Exchange " in line]
+    assert len(exchanges) == 1 and "hashpartitioning(id" in exchanges[0], plan
+    assert "partial_min" in plan
+    res.release()

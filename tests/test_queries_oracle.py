@@ -37,3 +37,16 @@ def test_entry_runs(spark):
     assert df.columns == ["id", "dist", "hops", "path"]
     assert df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_trade_edges_plan_prunes_and_broadcasts_dimensions(spark, capsys):
+    df = entry.queries()["trade_edges"](spark, SMALL)
+    capsys.readouterr()
+    df.explain()
+    plan = capsys.readouterr().out
+    # each scan reads only the two columns it needs
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+    # supplier and customer fit the measured bound: broadcast, lineitem does not move for them
+    assert plan.count("BroadcastHashJoin") == 2
+    assert "partial_count" in plan
