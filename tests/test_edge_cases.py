@@ -126,3 +126,14 @@ def test_hub_split_gives_same_result(spark):
     assert res.edge_stats["max_out_degree"] == 299
     res2 = max_reach(PropertyGraph(spark.range(300).select("id", F.col("id").alias("value")), g.edges))
     assert dict(res2.vertices.collect())[5] == 5
+
+
+def test_hot_message_target(spark):
+    # almost every vertex sends to vertex 0: merged map-side, one value survives
+    n = 400
+    v = spark.createDataFrame([(i, i % 37) for i in range(n)], "id long, value long")
+    e = spark.createDataFrame([(i, 0, 1) for i in range(1, n)] + [(0, 1, 1)], "src long, dst long, weight long")
+    res = max_reach(PropertyGraph(v, e))
+    got = dict(res.vertices.collect())
+    assert got[0] == 36 and got[1] == 36
+    assert all(got[i] == i % 37 for i in range(2, n))

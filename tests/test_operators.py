@@ -76,3 +76,15 @@ def test_labels_without_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert got == {1: "Minimum cost to get from A to A is 0", 2: "Minimum cost to get from A to B is 4", 3: None}
+
+
+def test_size_bound_none_for_nested_columns_falls_back_to_profile(spark):
+    from graphloom.operators.joins import size_bounds
+
+    nested = spark.createDataFrame([(1, [1, 2])], "dk long, tags array<long>")
+    flat = spark.createDataFrame([(1, "ab")], "dk long, name string")
+    assert size_bounds([nested, flat])[0] is None
+    assert size_bounds([nested, flat])[1] == 1 * ((8 + 8) + 8 + 2)
+    fact = spark.createDataFrame([(1, 10), (1, 11), (2, 12)], "k long, x long")
+    got = sorted((r.k, r.x, tuple(r.tags) if r.tags else None) for r in lookup_join(fact, nested, "k", "dk", how="left").collect())
+    assert got == [(1, 10, (1, 2)), (1, 11, (1, 2)), (2, 12, None)]
