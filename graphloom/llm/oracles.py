@@ -25,6 +25,17 @@ SELECT doc_id, text, lang, source, n_chars, stratum::INT AS stratum, copy::INT A
 FROM keyed
 """
 
+OP3 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+q AS (SELECT * FROM v WHERE vec_id % 50 = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.v::DOUBLE[], v.v::DOUBLE[])::BIGINT AS score
+      FROM q JOIN v ON q.vec_id <> v.vec_id)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
 OP9 = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
 ln AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
@@ -47,4 +58,4 @@ b AS (SELECT *, ((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)
 SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits & 31 = 0 AS kept FROM b
 """
 
-ORACLES: dict[str, str] = {"op2_mix_sources": OP2, "op9_quality": OP9}
+ORACLES: dict[str, str] = {"op2_mix_sources": OP2, "op3_top_k": OP3, "op9_quality": OP9}

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.llm.norm_topk import quantized, top_k
+from graphloom.llm.packing import pack_documents
 from graphloom.llm.poisson_mixing import mix_sources
 from graphloom.llm.quality_ledger import BASE, apply_policy, ledger
 from graphloom.llm.sharding import shard_rows
@@ -20,6 +22,18 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", quantized(F.col("embedding")).alias("v"))
+    return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(read(spark, sf_dir, "documents"), path, with_ids=False)
+
+
 def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     return shard_rows(read(spark, sf_dir, "documents")).select(
@@ -51,6 +65,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
+    "op3_top_k": op3_top_k,
+    "op5_pack": op5_pack,
     "op6_shard": op6_shard,
     "op9_quality": op9_quality,
 }
