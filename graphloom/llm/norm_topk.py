@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from graphloom.llm.arrow import map_arrow
 from graphloom.llm.scratch import materialize
 
 BUCKET = 2048  # vectors of a bucket
@@ -226,12 +227,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, part_rows: int =
         both = cand.select("part", "vec_id", "v", "dim", F.lit(False).alias("query"), F.lit(0.0).alias("bound")).unionByName(
             asked.select("part", "vec_id", "v", "dim", F.lit(True).alias("query"), "bound")
         )
-        return (
-            both.repartition(parts, "part")
-            .sortWithinPartitions("query")
-            .select("vec_id", "v", "dim", "query", "bound")
-            .mapInArrow(_search_partition("dim", k), _FOUND)
-        )
+        dealt = both.repartition(parts, "part").sortWithinPartitions("query")
+        return map_arrow(dealt.select("vec_id", "v", "dim", "query", "bound"), _search_partition("dim", k), _FOUND)
 
     # pass 1: the partition with the longest vectors gives every query a bound
     first = search(

@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from graphloom.llm.arrow import map_arrow
 from graphloom.llm.tokens import chunks, words
 
 CAPACITY = 2048
@@ -273,6 +274,5 @@ def pack_documents(
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     limits = (capacity, block_windows, max_piece, slack)
-    return docs.select(key, text).mapInArrow(
-        _packed(tokenizer_path, key, text, with_ids, end_id, limits), T.StructType(fields)
-    )
+    task = _packed(tokenizer_path, key, text, with_ids, end_id, limits)
+    return map_arrow(docs.select(key, text), task, T.StructType(fields))

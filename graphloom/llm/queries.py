@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from graphloom.llm.norm_topk import quantized, top_k
 from graphloom.llm.packing import pack_documents
 from graphloom.llm.poisson_mixing import mix_sources
+from graphloom.llm import pu_toxicity
 from graphloom.llm.quality_ledger import BASE, apply_policy, ledger
 from graphloom.llm.sharding import shard_rows
 
@@ -47,6 +48,17 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = pu_toxicity.train(docs, read(spark, sf_dir, "labels"), folds=5)
+    return pu_toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        (pu_toxicity.fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = apply_policy(apply_policy(ledger(read(spark, sf_dir, "documents"))), BASE, "_llm_base")
     return led.select(
@@ -68,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_top_k": op3_top_k,
     "op5_pack": op5_pack,
     "op6_shard": op6_shard,
+    "op7_toxicity": op7_toxicity,
     "op9_quality": op9_quality,
 }
