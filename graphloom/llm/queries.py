@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.llm.cdc_dedup import repeated_spans
 from graphloom.llm.norm_topk import quantized, top_k
 from graphloom.llm.packing import pack_documents
 from graphloom.llm.poisson_mixing import mix_sources
@@ -75,6 +76,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(read(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "n_chunks", "n_words", "first_doc_id"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_top_k": op3_top_k,
@@ -82,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_shard": op6_shard,
     "op7_toxicity": op7_toxicity,
     "op9_quality": op9_quality,
+    "op10_substring_dedup": op10_substring_dedup,
 }
