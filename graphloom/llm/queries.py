@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm.cdc_dedup import repeated_spans
+from graphloom.llm.near_dedup import near_duplicates
 from graphloom.llm.norm_topk import quantized, top_k
 from graphloom.llm.packing import pack_documents
 from graphloom.llm.poisson_mixing import mix_sources
@@ -29,6 +30,12 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return groups.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -85,6 +92,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_top_k": op3_top_k,
+    "op4_near_dedup": op4_near_dedup,
     "op5_pack": op5_pack,
     "op6_shard": op6_shard,
     "op7_toxicity": op7_toxicity,
