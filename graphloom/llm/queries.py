@@ -11,6 +11,7 @@ from graphloom.llm.cdc_dedup import repeated_spans
 from graphloom.llm.near_dedup import near_duplicates
 from graphloom.llm.norm_topk import quantized, top_k
 from graphloom.llm.packing import pack_documents
+from graphloom.llm.pii_bootstrap import extract, found_spans, numbered_spans, span_text
 from graphloom.llm.poisson_mixing import mix_sources
 from graphloom.llm import pu_toxicity
 from graphloom.llm.quality_ledger import BASE, apply_policy, ledger
@@ -67,6 +68,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ("email", "ip", "card", "phone")
+    found = extract(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(span_text(numbered_spans(base)), 256).alias("base_sha256"),
+        span_text(F.concat(numbered_spans((*base, "secret")), found_spans())).alias("spans"),
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = apply_policy(apply_policy(ledger(read(spark, sf_dir, "documents"))), BASE, "_llm_base")
     return led.select(
@@ -96,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pack": op5_pack,
     "op6_shard": op6_shard,
     "op7_toxicity": op7_toxicity,
+    "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
 }
