@@ -4,8 +4,10 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -36,3 +38,26 @@ def map_arrow(df: DataFrame, task: Callable, schema: T.StructType, **options) ->
     """``df.mapInArrow`` with the package importable in the tasks."""
     ship(df.sparkSession)
     return df.mapInArrow(task, schema, **options)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of equal keys from a stream sorted by them; one group is held at a time."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        cuts = np.flatnonzero(new).tolist()
+        for a, z in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if a == z:
+                continue
+            key = tuple(c[a] for c in cols)
+            if key != current and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = key
+            held.append(batch.slice(a, z - a))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.llm.arrow import map_arrow
+from graphloom.llm.arrow import groups, map_arrow
 from graphloom.llm.components import connected_components
 from graphloom.llm.scratch import materialize
 from graphloom.llm.setsketch import REGISTERS, log_likelihood, may_reach, registers, similarity
@@ -75,29 +75,6 @@ def _sketch_task(width: int, key_type: T.DataType):
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of equal keys from a stream sorted by them; one group is held at a time."""
-    held: list[pa.RecordBatch] = []
-    current = None
-    for batch in batches:
-        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        new = np.zeros(batch.num_rows, bool)
-        for c in cols:
-            new[1:] |= c[1:] != c[:-1]
-        cuts = np.flatnonzero(new).tolist()
-        for a, z in zip([0, *cuts], [*cuts, batch.num_rows]):
-            if a == z:
-                continue
-            key = tuple(c[a] for c in cols)
-            if key != current and held:
-                yield pa.Table.from_batches(held)
-                held = []
-            current = key
-            held.append(batch.slice(a, z - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _matrix(col: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, REGISTERS)
 
@@ -114,7 +91,7 @@ def _leaders_task(absorb: float, link: float):
     """Edges of a bucket's classes to its leaders; ``left`` marks classes that no hub absorbed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, ["key", "part"]):
+        for t in groups(batches, ["key", "part"]):
             node = t["node"].to_numpy()
             size, regs = t["n_shingles"].to_numpy(), _matrix(t["regs"])
             hub = t["hub"].to_numpy()
@@ -215,7 +192,7 @@ def _verify_task(percent: int):
     not connected yet; with outsiders flagged, only pairs with one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, ["key", "part"]):
+        for t in groups(batches, ["key", "part"]):
             node, size, regs = t["node"].to_numpy(), t["n_shingles"].to_numpy(), _matrix(t["regs"])
             sets = [np.frombuffer(s, np.uint64) for s in t["shingles"].to_pylist()]
             comp = np.unique(t["label"].to_numpy(), return_inverse=True)[1]
@@ -301,17 +278,17 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
     named = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     sets = materialize(map_arrow(named, _sketch_task(width, docs.schema["doc_id"].dataType), schema), "sketches")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    groups = materialize(
+    merged = materialize(
         sets.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min(place).alias("place"))
         .withColumn("node", F.col("place.row")), "classes",
     )
     reps = sets.where("n_shingles > 0").select(F.col("row").alias("node"), "n_shingles", "regs", "shingles")
-    classes = reps.join(groups.select("node"), "node", "left_semi")
+    classes = reps.join(merged.select("node"), "node", "left_semi")
     edges = _candidate_edges(materialize(classes.drop("shingles"), "representatives"), percent / 100)
     clusters = materialize(connected_components(edges), "candidates")
     links = _verified_links(clusters, classes, percent)
     roots = connected_components(links)
-    rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = merged.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = rooted.groupBy("root").agg(F.min("place").alias("first_place"))
     named_groups = materialize(
         rooted.join(firsts, "root").select("d1", "d2", "n_shingles", "first_place"), "groups"

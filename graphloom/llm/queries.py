@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm.cdc_dedup import repeated_spans
+from graphloom.llm.lm_scoring import score_documents
 from graphloom.llm.near_dedup import near_duplicates
 from graphloom.llm.norm_topk import quantized, top_k
 from graphloom.llm.packing import pack_documents
@@ -22,6 +23,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents"), pu_toxicity.fold(F.col("doc_id"), 10) == 0)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
@@ -102,6 +107,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_mix_sources": op2_mix_sources,
     "op3_top_k": op3_top_k,
     "op4_near_dedup": op4_near_dedup,

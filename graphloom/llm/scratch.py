@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from graphloom.session import checkpoint_dir
 
 _TABLES: dict[str, list[str]] = {}
+_CATALOG: dict[str, list[str]] = {}
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -24,10 +25,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def table(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key`` in the checkpoint directory and read
+    it back: grouping or joining by the key then moves only the other side."""
+    spark = df.sparkSession
+    at = f"llm-{name}-{uuid.uuid4().hex}"
+    path, table_name = f"{checkpoint_dir(spark)}/{at}", at.replace("-", "_")
+    df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(table_name)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _CATALOG.setdefault(spark.sparkContext.applicationId, []).append(table_name)
+    return spark.table(table_name)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables this application materialised; results that still read
     them must have been written or collected before.  Returns how many."""
     paths = _TABLES.pop(spark.sparkContext.applicationId, [])
+    for name in _CATALOG.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     jvm = spark._jvm
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
