@@ -97,7 +97,7 @@ class _Bucket:
         by_length = np.flatnonzero(local < COORDINATE_COSINE)
         if len(by_length):
             # length pruning: only vectors with |v| >= bound / |q| can reach the bound
-            need = np.where(q_len[by_length] > 0, best.bound[by_length] / np.maximum(q_len[by_length], 1e-300), 0.0)
+            need = np.where(q_len[by_length] > 0, best.bound[by_length] / np.where(q_len[by_length] > 0, q_len[by_length], 1.0), 0.0)
             reach = np.searchsorted(-self.lengths, -(need * (1 - 1e-9) - 1e-9), side="right")
             top = int(reach.max(initial=0))
             if top:
@@ -121,13 +121,14 @@ class _Bucket:
 
 
 def _search_partition(dim_of: str, k: int) -> object:
-    """Task over one partition sorted with candidates (falling length) first, then queries."""
+    """Task over whole parts, one after the other, each with its candidates before its queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: dict[int, list[np.ndarray]] = {}
         vecs: dict[int, list[np.ndarray]] = {}
         buckets: dict[int, list[_Bucket]] | None = None
         biggest: dict[int, int] = {}
+        current = None
 
         def grouped(batch: pa.RecordBatch):
             dims = batch.column(dim_of).to_numpy()
@@ -151,32 +152,40 @@ def _search_partition(dim_of: str, k: int) -> object:
             ids.clear(), vecs.clear()
             return out
 
-        for batch in batches:
-            for a in range(0, batch.num_rows, QUERY_BATCH):
-                part = batch.slice(a, QUERY_BATCH)
-                is_query = part.column("query").to_numpy(zero_copy_only=False)
-                cand, queries = part.filter(pa.array(~is_query)), part.filter(pa.array(is_query))
-                if cand.num_rows:
-                    for d, at, v in grouped(cand):
-                        ids.setdefault(d, []).append(cand.column("vec_id").to_numpy()[at])
-                        vecs.setdefault(d, []).append(v)
-                if not queries.num_rows:
-                    continue
-                if buckets is None:
-                    buckets = build()
-                for d, at, q in grouped(queries):
-                    own = queries.column("vec_id").to_numpy()[at]
-                    best = _Best(own, queries.column("bound").to_numpy()[at].astype(np.float64), k)
-                    q_len = np.sqrt((q.astype(np.float64) ** 2).sum(1))
-                    exact = float(np.abs(q.astype(np.float64)).max(initial=0)) * biggest.get(d, 0) * max(d, 1) < _EXACT
-                    for bucket in buckets.get(d, []):
-                        bucket.search(best, q, q_len, exact)
-                    rows = [(int(o), int(v), int(s)) for o, (ss, vv) in zip(own, best.found) for s, v in zip(ss, vv)]
-                    if rows:
-                        qi, vi, sc = zip(*rows)
-                        yield pa.RecordBatch.from_pydict(
-                            {"query_id": pa.array(qi, pa.int64()), "vec_id": pa.array(vi, pa.int64()), "score": pa.array(sc, pa.int64())}
-                        )
+        def pieces() -> Iterator[tuple[int, pa.RecordBatch]]:
+            for batch in batches:
+                of = batch.column("part").to_numpy()
+                cuts = np.unique(np.concatenate(([0], np.flatnonzero(np.diff(of)) + 1, np.arange(0, batch.num_rows, QUERY_BATCH), [batch.num_rows])))
+                for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    yield int(of[a]), batch.slice(a, z - a)
+
+        for number, part in pieces():
+            if number != current:  # another part: its candidates come first
+                current, buckets = number, None
+                ids.clear(), vecs.clear(), biggest.clear()
+            is_query = part.column("query").to_numpy(zero_copy_only=False)
+            cand, queries = part.filter(pa.array(~is_query)), part.filter(pa.array(is_query))
+            if cand.num_rows:
+                for d, at, v in grouped(cand):
+                    ids.setdefault(d, []).append(cand.column("vec_id").to_numpy()[at])
+                    vecs.setdefault(d, []).append(v)
+            if not queries.num_rows:
+                continue
+            if buckets is None:
+                buckets = build()
+            for d, at, q in grouped(queries):
+                own = queries.column("vec_id").to_numpy()[at]
+                best = _Best(own, queries.column("bound").to_numpy()[at].astype(np.float64), k)
+                q_len = np.sqrt((q.astype(np.float64) ** 2).sum(1))
+                exact = float(np.abs(q.astype(np.float64)).max(initial=0)) * biggest.get(d, 0) * max(d, 1) < _EXACT
+                for bucket in buckets.get(d, []):
+                    bucket.search(best, q, q_len, exact)
+                rows = [(int(o), int(v), int(s)) for o, (ss, vv) in zip(own, best.found) for s, v in zip(ss, vv)]
+                if rows:
+                    qi, vi, sc = zip(*rows)
+                    yield pa.RecordBatch.from_pydict(
+                        {"query_id": pa.array(qi, pa.int64()), "vec_id": pa.array(vi, pa.int64()), "score": pa.array(sc, pa.int64())}
+                    )
 
     return run
 
@@ -227,8 +236,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, part_rows: int =
         both = cand.select("part", "vec_id", "v", "dim", F.lit(False).alias("query"), F.lit(0.0).alias("bound")).unionByName(
             asked.select("part", "vec_id", "v", "dim", F.lit(True).alias("query"), "bound")
         )
-        dealt = both.repartition(parts, "part").sortWithinPartitions("query")
-        return map_arrow(dealt.select("vec_id", "v", "dim", "query", "bound"), _search_partition("dim", k), _FOUND)
+        dealt = both.repartition(parts, "part").sortWithinPartitions("part", "query")
+        return map_arrow(dealt.select("part", "vec_id", "v", "dim", "query", "bound"), _search_partition("dim", k), _FOUND)
 
     # pass 1: the partition with the longest vectors gives every query a bound
     first = search(
