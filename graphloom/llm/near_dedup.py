@@ -46,13 +46,34 @@ def _shingles(word_hash: np.ndarray, width: int) -> np.ndarray:
     return np.unique(h)
 
 
-_SETS = T.StructType(
-    [T.StructField("row", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("d1", T.LongType()),
-     T.StructField("d2", T.LongType()), T.StructField("regs", T.BinaryType()), T.StructField("shingles", T.BinaryType())]
-)
-
-
-def _sketch_task(width: int, key_type: T.DataType):
+_SKETCH = [
+    T.StructField("n_shingles", T.LongType()),
+    T.StructField("d1", T.LongType()),
+    T.StructField("d2", T.LongType()),
+    T.StructField("regs", T.BinaryType()),
+    T.StructField("shingles", T.BinaryType()),
+]
+_KEPT_BITS = np.uint64(16)  # a stored set keeps the upper 48 bits of its hashes
+
+
+def _store(s: np.ndarray) -> bytes:
+    """A rising set as the byte planes of its 48-bit steps, those in use only."""
+    steps = np.diff(s >> _KEPT_BITS, prepend=np.uint64(0)).astype("<u8")
+    planes = steps.view(np.uint8).reshape(-1, 8).T
+    used = int(np.flatnonzero(planes.any(1)).max(initial=-1)) + 1
+    return bytes([used]) + planes[:used].tobytes()
+
+
+def _load(data: bytes) -> np.ndarray:
+    used = data[0]
+    raw = np.frombuffer(data, np.uint8, offset=1)
+    n = len(raw) // used if used else 0
+    planes = np.zeros((n, 8), np.uint8)
+    planes[:, :used] = raw.reshape(used, n).T if n else planes[:, :used]
+    return np.cumsum(planes.view("<u8").ravel(), dtype=np.uint64)
+
+
+def _sketch_task(width: int, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
             distinct, index, starts = words(lower_ascii(b.column("text")))
@@ -65,11 +86,11 @@ def _sketch_task(width: int, key_type: T.DataType):
                     d1.append(int(mix64(s).sum(dtype=np.uint64).astype(np.int64)))
                     d2.append(int((mix64(s ^ _ODD[1]) * _ODD[2]).sum(dtype=np.uint64).astype(np.int64)))
                 regs.append(registers(s).tobytes() if len(s) else b"")
-                sets.append(s.tobytes())
+                sets.append(_store(s))
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), b.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
+                [*(b.column(c) for c in carried), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
                  pa.array(d2, pa.int64()), pa.array(regs, pa.binary()), pa.array(sets, pa.binary())],
-                names=["row", "doc_id", "n_shingles", "d1", "d2", "regs", "shingles"],
+                names=[*carried, *(f.name for f in _SKETCH)],
             )
 
     return run
@@ -112,10 +133,12 @@ def _leaders_task(absorb: float, link: float):
                 b.extend(node[near].tolist())
                 free &= similarity(ll) < absorb
             left = node[free & ~hub].tolist() if hub.any() else []
+            if not a and not left:
+                continue
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*a, *left], pa.int64()), pa.array([*b, *left], pa.int64()),
                  pa.array([int(t["key"][0].as_py())] * (len(a) + len(left)), pa.int64()),
-                 pa.array([False] * len(a) + [True] * len(left))],
+                 pa.array([False] * len(a) + [True] * len(left), pa.bool_())],
                 names=["a", "b", "key", "left"],
             )
 
@@ -194,7 +217,7 @@ def _verify_task(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["key", "part"]):
             node, size, regs = t["node"].to_numpy(), t["n_shingles"].to_numpy(), _matrix(t["regs"])
-            sets = [np.frombuffer(s, np.uint64) for s in t["shingles"].to_pylist()]
+            sets = [_load(s) for s in t["shingles"].to_pylist()]
             comp = np.unique(t["label"].to_numpy(), return_inverse=True)[1]
             asked = t["asked"].to_numpy()
             a, b = [], []
@@ -261,28 +284,30 @@ def _verified_links(clusters: DataFrame, classes: DataFrame, percent: int) -> Da
     return links.unionByName(verify(inside.unionByName(outside)))
 
 
-def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:
     """Near-duplicate groups of documents (``doc_id``, ``text``).
 
     Words are runs of non-white-space after lower-casing A-Z; a document's set
     holds its distinct ``width``-word shingles, or the whole text if shorter.
     Documents are linked when 100 * intersection >= ``percent`` * union, and
-    grouped by links.  One row per input row: ``row`` (its place in the input),
-    ``doc_id``, ``n_shingles``, ``component_id`` (smallest id of the group),
-    ``first`` (the one row of the group that stands for it: smallest id, then
-    place).  Texts without words (null, empty, blank) are groups of their own;
-    null ids sort last and only name a group without other ids; repeated rows
-    are one group; an empty frame gives an empty frame.
+    grouped by links.  One row per input row: ``doc_id``, the ``carry`` columns,
+    ``n_shingles``, ``component_id`` (smallest id of the group), ``first`` (the
+    one row of the group that stands for it: smallest id, then place).  Texts
+    without words (null, empty, blank) are groups of their own; null ids sort
+    last and only name a group without other ids; repeated rows are one group;
+    an empty frame gives an empty frame.  Sets are compared by 48-bit hashes.
     """
-    schema = T.StructType([_SETS["row"], docs.schema["doc_id"], *_SETS.fields[1:]])
-    named = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    sets = materialize(map_arrow(named, _sketch_task(width, docs.schema["doc_id"].dataType), schema), "sketches")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    row = "_llm_row"
+    carried = [row, "doc_id", *carry]
+    named = docs.select(F.monotonically_increasing_id().alias(row), "doc_id", "text", *carry)
+    schema = T.StructType([named.schema[c] for c in carried] + _SKETCH)
+    sets = materialize(map_arrow(named, _sketch_task(width, carried), schema), "sketches")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row)
     merged = materialize(
         sets.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min(place).alias("place"))
-        .withColumn("node", F.col("place.row")), "classes",
+        .withColumn("node", F.col(f"place.{row}")), "classes",
     )
-    reps = sets.where("n_shingles > 0").select(F.col("row").alias("node"), "n_shingles", "regs", "shingles")
+    reps = sets.where("n_shingles > 0").select(F.col(row).alias("node"), "n_shingles", "regs", "shingles")
     classes = reps.join(merged.select("node"), "node", "left_semi")
     edges = _candidate_edges(materialize(classes.drop("shingles"), "representatives"), percent / 100)
     clusters = materialize(connected_components(edges), "candidates")
@@ -293,11 +318,12 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
     named_groups = materialize(
         rooted.join(firsts, "root").select("d1", "d2", "n_shingles", "first_place"), "groups"
     )
-    out = sets.select("row", "doc_id", "n_shingles", "d1", "d2").join(named_groups, ["d1", "d2", "n_shingles"], "left")
+    out = sets.select(*carried, "n_shingles", "d1", "d2").join(named_groups, ["d1", "d2", "n_shingles"], "left")
+    stands = F.col(f"first_place.{row}") == F.col(row)
     return out.select(
-        "row",
         "doc_id",
+        *carry,
         "n_shingles",
         F.when(F.col("first_place").isNull(), F.col("doc_id")).otherwise(F.col("first_place.doc_id")).alias("component_id"),
-        F.coalesce(F.col("first_place.row") == F.col("row"), F.lit(True)).alias("first"),
+        F.coalesce(stands, F.lit(True)).alias("first"),
     )

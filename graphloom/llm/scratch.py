@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from graphloom.session import checkpoint_dir
 
@@ -37,14 +39,38 @@ def table(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     return spark.table(table_name)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables this application materialised; results that still read
-    them must have been written or collected before.  Returns how many."""
-    paths = _TABLES.pop(spark.sparkContext.applicationId, [])
-    for name in _CATALOG.pop(spark.sparkContext.applicationId, []):
+def row_keyed(df: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
+    """(``df`` with columns that tell its rows apart, their names).
+
+    Rows read straight from Parquet files are known by file and place, however
+    often and by however many tasks they are read; other frames are written
+    once and numbered.
+    """
+    file, place = "_llm_file", "_llm_place"
+    try:
+        keyed = df.select(
+            "*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place)
+        )
+        keyed.schema  # resolves now
+        return keyed, [file, place]
+    except AnalysisException:
+        return materialize(df.withColumn(place, F.monotonically_increasing_id()), name), [place]
+
+
+def release(spark: SparkSession, keep: str | None = None) -> int:
+    """Delete the tables this application materialised, but those whose name
+    starts with ``keep``; results that still read them must have been written or
+    collected before.  Returns how many were deleted."""
+    app = spark.sparkContext.applicationId
+    for name in _CATALOG.pop(app, []):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+    paths = _TABLES.pop(app, [])
+    kept = [p for p in paths if keep and p.rsplit("/", 1)[1].startswith(f"llm-{keep}")]
+    if kept:
+        _TABLES[app] = kept
+    gone = [p for p in paths if p not in kept]
     jvm = spark._jvm
-    for p in paths:
+    for p in gone:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return len(paths)
+    return len(gone)
