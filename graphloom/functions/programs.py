@@ -26,6 +26,18 @@ def spread_max() -> VertexProgram:
     )
 
 
+def spread_larger() -> VertexProgram:
+    """As :func:`spread_max`, but the send reads the receiver's value too and sends
+    only what is larger: fewer messages are merged, for one more look at the
+    receivers' states."""
+    return VertexProgram(
+        send=lambda src: src,
+        merge=F.max,
+        update=lambda state, msg: F.greatest(state, msg),
+        send_triplet=lambda src, dst: F.when(dst.isNull() | (src > dst), src),
+    )
+
+
 def relax_min(weight_col: str = "weight") -> VertexProgram:
     """Shortest cost: send cost + weight, keep the minimum (strict improvement)."""
     return VertexProgram(
@@ -44,11 +56,13 @@ def relax_path(weight_col: str = "weight") -> VertexProgram:
     """
 
     def send(src: Column) -> Column:
-        return F.struct(
+        walk = F.struct(
             (src["dist"] + F.col(weight_col)).alias("dist"),
             (src["hops"] + F.lit(1)).alias("hops"),
             F.array_append(src["path"], F.col("dst")).alias("path"),
         )
+        # an edge without a weight, like an unreached source, sends nothing
+        return F.when(src["dist"].isNotNull() & F.col(weight_col).isNotNull(), walk)
 
     return VertexProgram(
         send=send,

@@ -12,8 +12,10 @@ Layout.  With ``P = spark.sql.shuffle.partitions``:
 Each superstep is then
 
 1. **frontier join** -- the vertices that changed last round (a filter on the
-   bucketed state) meet their out-edges partition by partition (shuffled hash
-   join without any exchange: neither the edges nor the frontier move).
+   bucketed state) meet their out-edges partition by partition (a merge join
+   without any exchange: neither the edges nor the frontier move).  A frontier
+   of few vertices is pushed into the edge scan as an ``IN`` filter, which
+   skips the other buckets and, the buckets being sorted, most row groups.
    Sources with more edges than an average partition ("hubs", at most ``P``)
    keep their edges in a separate, round-robin spread set and meet their
    frontier rows through a broadcast of at most ``P`` rows, so a vertex with
@@ -27,21 +29,19 @@ Each superstep is then
    state does not move either.
 
 The new state is written as the next bucketed table, its counters observed
-during that same write.  Two supersteps are fused into one query by default
-(two message shuffles, one write): a superstep reads its input twice --
-frontier and update -- so the plan doubles with every superstep left uncut;
-cutting after every second one keeps it small while halving the writes.  The
-written state survives the loss of any executor.
+during that same write; it survives the loss of any executor.  ``fuse`` runs
+several supersteps in one query, which saves state writes but computes each
+earlier superstep once per branch that reads it.
 """
 from __future__ import annotations
 
+import logging
 import math
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +50,18 @@ from graphloom.graph import PropertyGraph
 from graphloom.operators.joins import not_null
 from graphloom.session import checkpoint_dir, shuffle_partitions
 
-_LEVEL = StorageLevel.MEMORY_AND_DISK
+PUSH_IDS = 200  # a frontier of at most this many vertices is pushed into the edge scan
+PUSH_EDGES = 1_000_000  # ... of an edge table of at least this many edges
+
+_log = logging.getLogger(__name__)
+_OPEN: list["_StateStore"] = []  # runs whose final state has not been released
+
+
+def release_all() -> None:
+    """Drop the final state of every run that was not released (their results
+    can no longer be read)."""
+    while _OPEN:
+        _OPEN[-1].drop_all()
 
 
 @dataclass(frozen=True)
@@ -62,11 +73,14 @@ class VertexProgram:
       ``src_state``; NULL = no message.
     * ``merge(msg)`` -> aggregate column; must be commutative and associative.
     * ``update(state, msg)`` -> new state; only called where a message arrived.
+    * ``send_triplet(src_state, dst_state)``, if given, replaces ``send`` and may
+      read the destination's state: its edges then meet the state once more.
     """
 
     send: Callable[[Column], Column]
     merge: Callable[[Column], Column]
     update: Callable[[Column, Column], Column]
+    send_triplet: Callable[[Column, Column], Column] | None = None
 
 
 _TRACE_SCHEMA = T.StructType(
@@ -101,8 +115,8 @@ class PregelResult:
 @dataclass
 class _Edges:
     cold: DataFrame  # bucketed on src into P buckets
-    hot: DataFrame | None  # hubs' edges, spread evenly
-    hot_ids: DataFrame | None  # at most P ids
+    hot: DataFrame | None  # hubs' edges, read by file splits
+    hubs: list  # at most P ids
     stats: Row
 
 
@@ -121,27 +135,22 @@ def _edge_stats(e: DataFrame, min_columns: tuple[str, ...]) -> tuple[Row, DataFr
     return deg.agg(*totals).first(), deg.select("src", "_deg")
 
 
-def _layout_edges(e: DataFrame, parts: int, stats: Row, degrees: DataFrame, store: "_StateStore") -> _Edges:
-    """Split hubs off the (persisted) edges and write both edge sets under the
-    checkpoint directory.
+def _split_hubs(e: DataFrame, stats: Row, degrees: DataFrame, store: "_StateStore") -> _Edges:
+    """Set hubs apart in the one written edge table.
 
     A source with more edges than an average partition is a hub: at most
-    ``parts`` of them exist, so their ids may be broadcast.  The ordinary edges
-    are bucketed on ``src`` like the state is on ``id``, so the frontier join
-    needs no exchange; the hubs' edges are spread round-robin, so no task
-    holds more than its share.  ``degrees`` is (src, _deg).
+    ``parts`` of them exist, so their ids may be literals of a filter.  The
+    other edges are read by bucket, co-partitioned with the state; the hubs'
+    edges are read from the same files by file split, so their bucket is not
+    one task's work.
     """
-    n_edges = int(stats["edges"] or 0)
+    n_edges, parts = int(stats["edges"] or 0), store.parts
     threshold = max(1, math.ceil(n_edges / parts))
     if parts <= 1 or int(stats["max_out_degree"] or 0) <= threshold:
-        cold, _ = store.write_table(e.repartition(parts, "src"), "edges", bucket="src")
-        return _Edges(cold, None, None, stats)
-    hot_ids, _ = store.write_table(degrees.where(F.col("_deg") > threshold).select("src"), "hubs")
-    cold, _ = store.write_table(
-        e.join(F.broadcast(hot_ids), "src", "left_anti").repartition(parts, "src"), "edges", bucket="src"
-    )
-    hot, _ = store.write_table(e.join(F.broadcast(hot_ids), "src", "left_semi").repartition(parts), "hub_edges")
-    return _Edges(cold, hot, hot_ids, stats)
+        return _Edges(e, None, [], stats)
+    hubs = sorted(r["src"] for r in degrees.where(F.col("_deg") > threshold).select("src").collect())
+    files = store.spark.read.schema(e.schema).parquet(store.path("edges"))
+    return _Edges(e.where(~F.col("src").isin(hubs)), files.where(F.col("src").isin(hubs)), hubs, stats)
 
 
 def _vertex_table(vertices: DataFrame, e: DataFrame | None, min_columns: tuple[str, ...] = ()) -> DataFrame:
@@ -151,50 +160,49 @@ def _vertex_table(vertices: DataFrame, e: DataFrame | None, min_columns: tuple[s
     properties (GraphX's missing-endpoint fill), and the same aggregation
     counts each vertex's out-degree (``_deg``) and, per column in
     ``min_columns``, the minimum and NULL count over its out-edges -- the edge
-    statistics come for free with the vertex table.  A repeated id keeps its
-    smallest property struct, real rows before filled ones -- a fixed pick.
+    statistics come for free with the vertex table.  A repeated id keeps the
+    smallest value (one property) or property struct -- a fixed pick; filled
+    ends never win over a real row.
     Partial aggregation collapses a repeated id before the shuffle.
     """
-    props = [c for c in vertices.columns if c != "id"]
-    rows = vertices.where(F.col("id").isNotNull()).select("id", F.lit(False).alias("_filled"), *props)
+    props = [f for f in vertices.schema.fields if f.name != "id"]
+    # one number or flag per vertex is aggregated as it is (hash aggregation);
+    # several properties, or texts, must come from one row
+    plain = len(props) == 1 and isinstance(props[0].dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))
+    if plain or not props:
+        mine = {p.name: F.col(p.name) for p in props}
+        pick = [F.min(p.name).alias(p.name) for p in props]
+        read = [F.col(p.name) for p in props]
+    else:
+        mine = {"_v": F.struct(F.lit(False).alias("_filled"), *[p.name for p in props])}
+        pick = [F.min("_v").alias("_v")]
+        read = [F.col(f"_v.{p.name}").alias(p.name) for p in props]
+    rows = vertices.where(F.col("id").isNotNull()).select("id", *[c.alias(n) for n, c in mine.items()])
     if e is None:
-        picked = rows.groupBy("id").agg(F.min(F.struct("_filled", *props)).alias("_v"))
-        return picked.select("id", *[F.col(f"_v.{p}").alias(p) for p in props])
+        return rows.groupBy("id").agg(*pick).select("id", *read) if pick else rows.distinct()
+    counted = [F.sum("_out").alias("_deg")]
+    counted += [F.min(f"_min_{c}").alias(f"_min_{c}") for c in min_columns]
+    counted += [F.sum(f"_nulls_{c}").alias(f"_nulls_{c}") for c in min_columns]
     zero = F.lit(0).cast("long")
-    rows = rows.select(
-        "*",
-        zero.alias("_out"),
-        *[F.lit(None).cast(e.schema[c].dataType).alias(f"_min_{c}") for c in min_columns],
-        *[zero.alias(f"_nulls_{c}") for c in min_columns],
-    )
-    outs = e.select(
-        F.col("src").alias("id"),
-        F.lit(True).alias("_filled"),
-        F.lit(1).cast("long").alias("_out"),
-        *[F.col(c).alias(f"_min_{c}") for c in min_columns],
-        *[F.col(c).isNull().cast("long").alias(f"_nulls_{c}") for c in min_columns],
-    )
-    ins = e.select(
-        F.col("dst").alias("id"),
-        F.lit(True).alias("_filled"),
-        zero.alias("_out"),
-        *[F.lit(None).cast(e.schema[c].dataType).alias(f"_min_{c}") for c in min_columns],
-        *[zero.alias(f"_nulls_{c}") for c in min_columns],
-    )
-    allrows = rows.unionByName(outs, allowMissingColumns=True).unionByName(ins, allowMissingColumns=True)
-    picked = allrows.groupBy("id").agg(
-        F.min(F.struct("_filled", *props)).alias("_v"),
-        F.sum("_out").alias("_deg"),
-        *[F.min(f"_min_{c}").alias(f"_min_{c}") for c in min_columns],
-        *[F.sum(f"_nulls_{c}").alias(f"_nulls_{c}") for c in min_columns],
-    )
-    return picked.select(
-        "id",
-        *[F.col(f"_v.{p}").alias(p) for p in props],
-        "_deg",
-        *[f"_min_{c}" for c in min_columns],
-        *[f"_nulls_{c}" for c in min_columns],
+    ends = F.array(
+        F.struct(
+            F.col("src").alias("id"),
+            F.lit(1).cast("long").alias("_out"),
+            *[F.col(c).alias(f"_min_{c}") for c in min_columns],
+            *[F.col(c).isNull().cast("long").alias(f"_nulls_{c}") for c in min_columns],
+        ),
+        F.struct(
+            F.col("dst").alias("id"),
+            zero.alias("_out"),
+            *[F.lit(None).cast(e.schema[c].dataType).alias(f"_min_{c}") for c in min_columns],
+            *[zero.alias(f"_nulls_{c}") for c in min_columns],
+        ),
     )
+    # one scan of the edges gives both ends
+    both = e.select(F.explode(ends).alias("_end")).select("_end.*")
+    out = rows.unionByName(both, allowMissingColumns=True).groupBy("id").agg(*pick, *counted)
+    nulls = [F.coalesce(f"_nulls_{c}", zero).alias(f"_nulls_{c}") for c in min_columns]
+    return out.select("id", *read, F.coalesce("_deg", zero).alias("_deg"), *[f"_min_{c}" for c in min_columns], *nulls)
 
 
 class _StateStore:
@@ -210,7 +218,9 @@ class _StateStore:
         self.spark = spark
         self.parts = parts
         self.tag = uuid.uuid4().hex[:16]
+        self.tables: list[str] = []
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/pregel-{self.tag}"
+        _OPEN.append(self)
 
     def name(self, key: str) -> str:
         return f"graphloom_pregel_{self.tag}_{key}"
@@ -236,7 +246,8 @@ class _StateStore:
             out = out.select(*columns)
         writer = out.write.format("parquet").option("path", self.path(key))
         if bucket is not None:
-            writer = writer.bucketBy(self.parts, bucket)
+            writer = writer.bucketBy(self.parts, bucket).sortBy(bucket)
+        self.tables.append(key)
         writer.saveAsTable(self.name(key))
         return self.spark.table(self.name(key)), (obs.get if obs is not None else {})
 
@@ -244,10 +255,10 @@ class _StateStore:
         self, df: DataFrame, superstep: int, *metrics: Column, columns: list[str] | None = None
     ) -> tuple[DataFrame, dict]:
         """Write one superstep's state, bucketed on id."""
-        return self.write_table(df, self._step(superstep), *metrics, bucket="id", columns=columns)
+        return self.write_table(df, self.step(superstep), *metrics, bucket="id", columns=columns)
 
     @staticmethod
-    def _step(superstep: int) -> str:
+    def step(superstep: int) -> str:
         return f"superstep_{superstep:06d}"
 
     def _delete(self, path: str) -> None:
@@ -255,39 +266,51 @@ class _StateStore:
             jvm = self.spark.sparkContext._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # cleanup is best effort (e.g. no JVM access)
-            pass
+        except Exception as exc:  # cleanup is best effort, but not silent
+            _log.warning("could not delete %s: %s", path, exc)
 
-    def drop(self, superstep: int) -> None:
-        if superstep < 0:
-            return
-        key = self._step(superstep)
+    def drop(self, key: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(key)}")
+        if key in self.tables:
+            self.tables.remove(key)
         self._delete(self.path(key))
 
     def drop_all(self) -> None:
-        for t in self.spark.catalog.listTables():
-            if t.name.startswith(f"graphloom_pregel_{self.tag}_"):
-                self.spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+        for key in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(key)}")
+        self.tables.clear()
         self._delete(self.base)
+        if self in _OPEN:
+            _OPEN.remove(self)
 
 
-def _superstep(v: DataFrame, edges: _Edges, program: VertexProgram, carry: list[str]) -> DataFrame:
+def _superstep(
+    v: DataFrame, edges: _Edges, program: VertexProgram, carry: list[str], only: list | None = None
+) -> DataFrame:
     """One superstep over state ``v`` (id, state, changed, *carry) ->
-    (id, state, changed, n, *carry); ``n`` = messages received."""
+    (id, state, changed, n, *carry); ``n`` = messages received.  ``only``: the
+    frontier's ids where they are few enough to be pushed into the edge scan."""
     frontier = v.where("changed").select(F.col("id").alias("src"), F.col("state").alias("src_state"))
+    cold = edges.cold if only is None else edges.cold.where(F.col("src").isin(only))
     # co-partitioned with the edges: the join runs where the data is
-    sent = edges.cold.join(frontier.hint("shuffle_hash"), "src")
+    sent = cold.join(frontier, "src")
     if edges.hot is not None:
-        hub_frontier = frontier.join(F.broadcast(edges.hot_ids), "src", "left_semi")
-        sent = sent.unionByName(edges.hot.join(F.broadcast(hub_frontier), "src"))
+        # at most one row per hub
+        hub_frontier = frontier.where(F.col("src").isin(edges.hubs))
+        hot = edges.hot if only is None else edges.hot.where(F.col("src").isin(only))
+        sent = sent.unionByName(hot.join(F.broadcast(hub_frontier), "src"))
+    if program.send_triplet is not None:
+        sent = sent.join(v.select(F.col("id").alias("dst"), F.col("state").alias("dst_state")), "dst")
+        message = program.send_triplet(F.col("src_state"), F.col("dst_state"))
+    else:
+        message = program.send(F.col("src_state"))
     messages = (
-        sent.select(F.col("dst").alias("id"), program.send(F.col("src_state")).alias("msg"))
+        sent.select(F.col("dst").alias("id"), message.alias("msg"))
         .where(F.col("msg").isNotNull())
         .groupBy("id")
         .agg(program.merge(F.col("msg")).alias("msg"), F.count(F.lit(1)).alias("n"))
     )
-    joined = v.select("id", "state", *carry).join(messages.hint("shuffle_hash"), "id", "left")
+    joined = v.select("id", "state", *carry).join(messages, "id", "left")
     new_state = F.when(F.col("msg").isNull(), F.col("state")).otherwise(program.update(F.col("state"), F.col("msg")))
     return joined.select(
         "id",
@@ -309,7 +332,8 @@ def pregel(
     prepare_vertices: Callable[[DataFrame, PropertyGraph], DataFrame] | None = None,
     edge_min_columns: tuple[str, ...] = (),
     validate: Callable[[Row, int], None] | None = None,
-    fuse: int = 2,
+    fuse: int = 1,
+    partitions: int | None = None,
 ) -> PregelResult:
     """Run ``program`` on ``graph`` until no vertex changes (or the cap).
 
@@ -323,22 +347,38 @@ def pregel(
     becomes a vertex with NULL properties (otherwise messages to it are
     dropped); ``prepare_vertices(vertex_table, graph)`` may then add columns
     that ``state`` reads (it should keep the rows partitioned on id: joins on
-    id do); its ``graph`` has the already computed, persisted edges.  A repeated
+    id do); its ``graph`` has the already written edges.  A repeated
     vertex id is kept once.  Edges with a NULL endpoint carry nothing and are
     left out.
 
     ``fuse`` supersteps run in one job (one shuffle each, one state write for
     all of them): the intermediate state stays inside the job, so fewer writes
     and fewer jobs, while results and the per-superstep trace are unchanged.
+    ``partitions`` is the number of buckets (default: the session's shuffle
+    partitions); size it so that a bucket's states and edges fit a task.
     """
     if fuse < 1:
         raise ValueError("fuse must be at least 1")
     spark = graph.vertices.sparkSession
-    parts = shuffle_partitions(spark)
+    parts = partitions or shuffle_partitions(spark)
     store = _StateStore(spark, parts)
-
-    # the edge table is computed once, whatever produced it
-    e = graph.edges.where(not_null("src", "dst")).persist(_LEVEL)
+    try:
+        return _run(
+            graph, program, store, state, active, max_iterations, fill_missing, prepare_vertices,
+            edge_min_columns, validate, fuse,
+        )
+    except BaseException:
+        store.drop_all()
+        raise
+
+
+def _run(
+    graph, program, store, state, active, max_iterations, fill_missing, prepare_vertices, edge_min_columns, validate, fuse
+) -> PregelResult:
+    spark = store.spark
+    # the edge table is computed and written once, whatever produced it; a hot
+    # source's rows are split over several writing tasks
+    e, _ = store.write_table(graph.edges.where(not_null("src", "dst")).hint("rebalance", "src"), "edges", bucket="src")
     stats_cols: list[str] = []
     stat_metrics: list[Column] = []
     if fill_missing:
@@ -378,14 +418,8 @@ def pregel(
     if callable(max_iterations):
         max_iterations = max_iterations(vertex_count)
     if validate is not None:
-        try:
-            validate(stats, vertex_count)
-        except Exception:
-            e.unpersist()
-            store.drop_all()
-            raise
-    edges = _layout_edges(e, parts, stats, degrees, store)
-    e.unpersist()
+        validate(stats, vertex_count)
+    edges = _split_hubs(e, stats, degrees, store)
 
     trace: list[tuple[int, int, int, int, int, float]] = []
     rounds = 0
@@ -399,12 +433,15 @@ def pregel(
         # `steps` supersteps in one job; earlier steps' counters ride along as
         # columns so each superstep still gets its own trace row
         cur = v.select("id", "state", "changed")
+        only = None
+        if n_active <= PUSH_IDS and int(stats["edges"] or 0) >= PUSH_EDGES:
+            only = [r["id"] for r in cur.where("changed").select("id").collect()]  # at most PUSH_IDS
         carry: list[str] = []
         for k in range(1, steps + 1):
             if k > 1:
                 cur = cur.withColumn(f"_changed_{k - 1}", F.col("changed")).withColumn(f"_n_{k - 1}", F.col("n"))
                 carry += [f"_changed_{k - 1}", f"_n_{k - 1}"]
-            cur = _superstep(cur, edges, program, carry)
+            cur = _superstep(cur, edges, program, carry, only if k == 1 else None)
         metrics = []
         for k in range(1, steps + 1):
             changed_col, n_col = ("changed", "n") if k == steps else (f"_changed_{k}", f"_n_{k}")
@@ -417,7 +454,7 @@ def pregel(
         v, row = store.write(cur, key, *metrics)
         written.append(key)
         if len(written) > 2:
-            store.drop(written.pop(0))
+            store.drop(store.step(written.pop(0)))
         elapsed = time.perf_counter() - started
         for k in range(1, steps + 1):
             changed = int(row[f"changed_{k}"] or 0)
@@ -437,8 +474,10 @@ def pregel(
                 converged = True
                 break
 
+    # the final state is all that stays
     for key in written[:-1]:
-        store.drop(key)
+        store.drop(store.step(key))
+    store.drop("edges")
     trace_df = spark.createDataFrame(trace, _TRACE_SCHEMA)
     return PregelResult(
         vertices=v.select("id", "state"),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.graph import PropertyGraph
-from graphloom.operators.joins import lookup_join, not_null, size_bounds
+from graphloom.operators.joins import not_null
 
 
 def describe(graph: PropertyGraph) -> DataFrame:
@@ -35,16 +35,13 @@ def triplets(graph: PropertyGraph) -> DataFrame:
     """Edge + source vertex + destination vertex.
 
     Columns: src, dst, edge properties, ``src_<p>`` and ``dst_<p>`` for each
-    vertex property.  Both lookups go through :func:`lookup_join`, so a hub
-    vertex with a third of all edges does not end up in one task.  Edges whose
-    endpoint is not a vertex drop out (inner join), as in a graph view.
+    vertex property.  A vertex table small enough is broadcast by Catalyst;
+    a larger one takes merge joins whose hot vertices adaptive execution
+    splits.  Either way the edges are evaluated once.  Edges whose endpoint is
+    not a vertex drop out (inner join), as in a graph view.
     """
     e = graph.edges.where(not_null("src", "dst"))
-    src_side = _prefixed(graph.vertices, "src", "src_")
-    dst_side = _prefixed(graph.vertices, "dst", "dst_")
-    bound = size_bounds([src_side])[0]  # both sides are the vertex table
-    with_src = lookup_join(e, src_side, "src", "src", dim_bound=bound)
-    return lookup_join(with_src, dst_side, "dst", "dst", dim_bound=bound)
+    return e.join(_prefixed(graph.vertices, "src", "src_"), "src").join(_prefixed(graph.vertices, "dst", "dst_"), "dst")
 
 
 def endpoint_ids(graph: PropertyGraph) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from graphloom.functions.lines import max_line
-from graphloom.functions.programs import path_start, relax_min, relax_path, spread_max
+from graphloom.functions.programs import path_start, relax_min, relax_path, spread_larger, spread_max
 from graphloom.graph import PropertyGraph
 from graphloom.operators.pregel import PregelResult, pregel
 
@@ -49,15 +49,17 @@ def max_reach(
     value_col: str = "value",
     *,
     max_iterations: int | None = None,
+    guarded: bool = False,
 ) -> PregelResult:
     """For every vertex, the largest ``value_col`` among the vertices that reach
     it along directed edges (itself included).  Result vertices: (id, value_col).
 
-    Endpoints missing from the vertex table join with a NULL value.
+    Endpoints missing from the vertex table join with a NULL value.  With
+    ``guarded`` a vertex sends only to neighbours whose value is smaller.
     """
     res = pregel(
         PropertyGraph(graph.vertices.select("id", value_col), graph.edges.select("src", "dst")),
-        spread_max(),
+        spread_larger() if guarded else spread_max(),
         state=F.col(value_col),
         max_iterations=max_iterations,
     )
@@ -65,10 +67,9 @@ def max_reach(
 
 
 def global_max(graph: PropertyGraph, value_col: str = "value") -> DataFrame:
-    """The maximum value in the graph, from the converged max-reach state:
-    one row (max_value, line)."""
-    res = max_reach(graph, value_col)
-    top = res.vertices.agg(F.max(value_col).alias("max_value"))
+    """The maximum value in the graph: one row (max_value, line).  A converged
+    max-reach state has the same maximum, so one aggregate is enough."""
+    top = graph.vertices.agg(F.max(value_col).alias("max_value"))
     return top.select("max_value", max_line(F.col("max_value")).alias("line"))
 
 
@@ -94,8 +95,13 @@ def _shortest(
     max_iterations: int | None,
     allow_negative: bool,
 ) -> PregelResult:
-    g = PropertyGraph(graph.vertices.select("id"), graph.edges.select("src", "dst", weight_col))
     hook, is_source = _source_flag(sources)
+    vertices = graph.vertices.select("id")
+    if isinstance(sources, Column):
+        # evaluated where the vertex properties are; the smallest flag of a repeated id wins
+        vertices = graph.vertices.select("id", (~is_source).alias("_other"))
+        is_source = ~F.coalesce(F.col("_other"), F.lit(True))
+    g = PropertyGraph(vertices, graph.edges.select("src", "dst", weight_col))
     negative_guard = allow_negative and max_iterations is None
     res = pregel(
         g,

@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.operators.views import dedupe_vertices, preview
 from graphloom.plans.algorithms import global_max, max_reach, sssp, sssp_paths
 from graphloom.plans.report import labelled_costs, path_labels
 from graphloom.sources import tables as t
 
 HOP_LIMIT = 3  # rounds allowed in the capped search
+PREVIEW_ROWS = 20
 
 
 def _path_text(col: str = "path") -> F.Column:
@@ -55,7 +57,7 @@ def q_max_reach_turns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_global_max(spark: SparkSession, sf: str) -> DataFrame:
-    return global_max(t.trade_top3(spark, sf))
+    return global_max(t.trade(spark, sf))
 
 
 def q_sssp_trade(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,7 +75,7 @@ def q_sssp_handoff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sssp_turns(spark: SparkSession, sf: str) -> DataFrame:
-    return sssp(t.turns(spark, sf), t.turn_starts).vertices
+    return sssp(t.turns(spark, sf), t.turn_starts()).vertices
 
 
 def q_sssp_paths_handoff(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,15 +88,33 @@ def q_sssp_hop_limited(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sssp_labelled(spark: SparkSession, sf: str) -> DataFrame:
-    g = t.trade(spark, sf)
-    res = sssp_paths(g, t.smallest_source)
-    return labelled_costs(res.vertices, t.nation_labels(spark, sf))
+    costs = sssp(t.handoff(spark, sf), [t.HANDOFF_SOURCE]).vertices
+    source = F.lit(t.HANDOFF_SOURCE).cast("long").alias("source")
+    return labelled_costs(costs.select("id", "dist", source), t.customer_labels(spark, sf))
 
 
 def q_sssp_path_labels(spark: SparkSession, sf: str) -> DataFrame:
-    g = t.trade_top3(spark, sf)
-    res = sssp_paths(g, t.smallest_source)
-    return path_labels(res.vertices, t.nation_labels(spark, sf))
+    paths = sssp_paths(t.handoff(spark, sf), [t.HANDOFF_SOURCE]).vertices
+    return path_labels(paths, t.customer_labels(spark, sf))
+
+
+def q_max_reach_guarded(spark: SparkSession, sf: str) -> DataFrame:
+    """Max reach whose send reads both ends of an edge."""
+    return max_reach(t.turns(spark, sf), guarded=True).vertices
+
+
+def q_named_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Edge view of a graph with text ids and a text edge property."""
+    return t.nation_names(spark, sf).edges
+
+
+def q_vertex_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    return dedupe_vertices(t.customer_nations(spark, sf)).vertices
+
+
+def q_edge_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """The first edges in key order, as a console preview shows them."""
+    return preview(t.handoff(spark, sf), "edges", PREVIEW_ROWS)
 
 
 def q_superstep_trace(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,4 +144,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sssp_labelled": q_sssp_labelled,
     "sssp_path_labels": q_sssp_path_labels,
     "superstep_trace": q_superstep_trace,
+    "max_reach_guarded": q_max_reach_guarded,
+    "named_edges": q_named_edges,
+    "vertex_dedupe": q_vertex_dedupe,
+    "edge_preview": q_edge_preview,
 }

@@ -6,8 +6,8 @@ non-negative weights); reachability is a recursive UNION (it ends on cycles).
 """
 from __future__ import annotations
 
-from graphloom.plans.catalog import HOP_LIMIT
-from graphloom.sources.tables import FILL_VALUE, HANDOFF_SOURCE, HOLE_REGION, TRADE_TOP_K, TURN_STRIDE
+from graphloom.plans.catalog import HOP_LIMIT, PREVIEW_ROWS
+from graphloom.sources.tables import FILL_VALUE, HANDOFF_SOURCE, HOLE_REGION, TRADE_TOP_K
 
 TRADE_V = """trade_v AS (
   SELECT n.n_nationkey::BIGINT AS id, n.n_name AS name, coalesce(cc.value, 0)::BIGINT AS value
@@ -40,8 +40,8 @@ HANDOFF_E = """handoff_e AS (
   WHERE src IS NOT NULL AND dst IS NOT NULL AND src <> dst
   GROUP BY src, dst)"""
 
-TURNS = f"""turns_c AS (
-  SELECT conv_id, turn, (conv_id * {TURN_STRIDE} + turn)::BIGINT AS id, length(text)::BIGINT AS value,
+TURNS = """turns_c AS (
+  SELECT conv_id, turn, conv_id::VARCHAR || ':' || turn::VARCHAR AS id, length(text)::BIGINT AS value,
          turn - row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS seg
   FROM conversations),
 turns_e AS (
@@ -181,29 +181,37 @@ LEFT JOIN (SELECT conv_id, seg, turn FROM turns_c WHERE turn = 0) s
         recursive=True,
     )
     + "SELECT id, dist FROM costs",
-    "sssp_labelled": _with(TRADE_V, TRADE_E, _paths("trade_e", "trade_v", TRADE_SOURCE, TRADE_HOPS), recursive=True)
-    + """SELECT p.id, l.n_name AS label, s.n_name AS source_label, p.dist,
-       'Minimum cost to get from ' || s.n_name || ' to ' || l.n_name || ' is ' || p.dist::VARCHAR AS line
-FROM paths p
-LEFT JOIN nation l ON l.n_nationkey = p.id
-LEFT JOIN nation s ON s.n_nationkey = p.path[1]""",
+    "sssp_labelled": _with(
+        HANDOFF_V,
+        HANDOFF_E,
+        _costs("handoff_e", "handoff_v", f"SELECT {HANDOFF_SOURCE}::BIGINT AS id", HANDOFF_HOPS),
+        recursive=True,
+    )
+    + f"""SELECT p.id, l.c_name AS label, s.c_name AS source_label, p.dist,
+       'Minimum cost to get from ' || s.c_name || ' to ' || l.c_name || ' is ' || p.dist::VARCHAR AS line
+FROM costs p
+LEFT JOIN customer l ON l.c_custkey = p.id
+LEFT JOIN customer s ON s.c_custkey = {HANDOFF_SOURCE} AND p.dist IS NOT NULL""",
     "sssp_path_labels": _with(
-        TRADE_V, TRADE_E, TOP3_E, _paths("top3_e", "trade_v", TOP3_SOURCE, TRADE_HOPS), recursive=True
+        HANDOFF_V,
+        HANDOFF_E,
+        _paths("handoff_e", "handoff_v", f"SELECT {HANDOFF_SOURCE}::BIGINT AS id", HANDOFF_HOPS),
+        recursive=True,
     )
     + """, named AS (
-  SELECT x.id, string_agg(coalesce(n.n_name, x.step::VARCHAR), '>' ORDER BY x.i) AS path_labels
+  SELECT x.id, string_agg(coalesce(n.c_name, x.step::VARCHAR), '>' ORDER BY x.i) AS path_labels
   FROM (SELECT p.id, u.i, p.path[u.i] AS step
         FROM paths p, unnest(range(1, len(p.path) + 1)) AS u(i)
         WHERE p.path IS NOT NULL) x
-  LEFT JOIN nation n ON n.n_nationkey = x.step
+  LEFT JOIN customer n ON n.c_custkey = x.step
   GROUP BY x.id)
 SELECT p.id, p.dist, named.path_labels,
-       'Minimum cost to get from ' || s.n_name || ' to ' || l.n_name || ' is ['
+       'Minimum cost to get from ' || s.c_name || ' to ' || l.c_name || ' is ['
          || array_to_string(p.path, ', ') || '] with cost ' || p.dist::VARCHAR AS line
 FROM paths p
 LEFT JOIN named ON named.id = p.id
-LEFT JOIN nation l ON l.n_nationkey = p.id
-LEFT JOIN nation s ON s.n_nationkey = p.path[1]""",
+LEFT JOIN customer l ON l.c_custkey = p.id
+LEFT JOIN customer s ON s.c_custkey = p.path[1]""",
     "superstep_trace": _with(
         HANDOFF_V,
         HANDOFF_E,
@@ -218,4 +226,15 @@ LEFT JOIN nation s ON s.n_nationkey = p.path[1]""",
          WHERE c.r = s.r - 1)::BIGINT AS receivers,
        (SELECT count(*) FROM changed c WHERE c.r = s.r)::BIGINT AS changed
 FROM steps s JOIN quiet q ON s.r >= 1 AND s.r <= q.last""",
+    "named_edges": _with(TRADE_E)
+    + """SELECT s.n_name AS src, d.n_name AS dst,
+       CASE WHEN s.n_regionkey = d.n_regionkey THEN 'regional' ELSE 'overseas' END AS relationship
+FROM trade_e e JOIN nation s ON s.n_nationkey = e.src JOIN nation d ON d.n_nationkey = e.dst""",
+    "vertex_dedupe": """SELECT id, customer, name FROM (
+  SELECT c_nationkey::BIGINT AS id, c_custkey AS customer, c_name AS name,
+         row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey, c_name) AS rk FROM customer)
+WHERE rk = 1""",
+    "edge_preview": _with(HANDOFF_E)
+    + f"SELECT src, dst, weight FROM handoff_e ORDER BY src, dst, weight LIMIT {PREVIEW_ROWS}",
 }
+ORACLES["max_reach_guarded"] = ORACLES["max_reach_turns"]

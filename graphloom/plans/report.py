@@ -1,9 +1,9 @@
 """Labelled results: label lookups per row and per path element, result lines.
 
-A label table is measured once (row count and longest label, one job) and
-broadcast only when that bound fits the session's broadcast threshold;
-otherwise the lookups are shuffle joins.  Result rows are unique per id and
-labels are unique per id, so no lookup can be skewed.
+A result row's id is unique, so its label takes a plain join.  The source and
+the steps of a path repeat (with one source, every row has it), so they go
+through the skew-aware lookup join: a label table of measured small size is
+broadcast, beyond it the hot keys are split off.
 """
 from __future__ import annotations
 
@@ -11,33 +11,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.lines import cost_line, path_line
-from graphloom.operators.joins import fits_broadcast, size_bounds
+from graphloom.operators.joins import lookup_join, size_bounds
 
 
-def _sized(labels: DataFrame) -> DataFrame:
-    """``labels(id, label)``, marked for broadcast only under a measured bound."""
-    lab = labels.select("id", "label")
-    if fits_broadcast(lab.sparkSession, size_bounds([lab])[0]):
-        return F.broadcast(lab)
-    return lab.hint("shuffle_hash")
+def with_label(df: DataFrame, labels: DataFrame, key: str = "id", name: str = "label") -> DataFrame:
+    """Left-join ``labels(id, label)`` on a key that is unique in ``df``; a
+    missing label is NULL."""
+    return df.join(labels.select(F.col("id").alias(key), F.col("label").alias(name)), key, "left")
 
 
-def with_label(df: DataFrame, labels: DataFrame, key: str = "id", name: str = "label") -> DataFrame:
-    """Left-join ``labels(id, label)`` on ``key``; a missing label is NULL.
-    Pass labels through :func:`_sized` once when joining them repeatedly."""
+def _repeated_label(df: DataFrame, labels: DataFrame, key: str, name: str, bound: int | None) -> DataFrame:
+    """As :func:`with_label` for a key that many rows may share."""
     lab = labels.select(F.col("id").alias(key), F.col("label").alias(name))
-    return df.join(lab, key, "left")
+    return lookup_join(df, lab, key, key, how="left", dim_bound=bound)
 
 
-def labelled_costs(paths: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, label, source_label, dist, line) from a shortest-path result.
+def labelled_costs(costs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, label, source_label, dist, line) from costs (id, dist, source).
 
-    The source of each row is the first element of its path, so several
-    sources work too.  Unreached vertices keep NULL cost and line.
+    Unreached vertices keep NULL cost, source and line.
     """
-    labels = _sized(labels)
-    with_src = paths.select("id", "dist", F.col("path")[0].alias("source"))
-    out = with_label(with_label(with_src, labels, "id", "label"), labels, "source", "source_label")
+    labels = labels.select("id", "label")
+    reached = costs.select("id", "dist", F.when(F.col("dist").isNotNull(), F.col("source")).alias("source"))
+    out = _repeated_label(with_label(reached, labels), labels, "source", "source_label", size_bounds([labels])[0])
     return out.select(
         "id",
         "label",
@@ -53,18 +49,18 @@ def path_labels(paths: DataFrame, labels: DataFrame, sep: str = ">") -> DataFram
     The path is exploded with positions, labelled through a join and put back
     in order; a group holds exactly one path, which already lived in one row.
     """
-    labels = _sized(labels)
+    labels = labels.select("id", "label")
+    bound = size_bounds([labels])[0]
     steps = paths.select("id", F.posexplode("path").alias("pos", "step"))
-    lab = labels.select(F.col("id").alias("step"), F.coalesce(F.col("label"), F.col("id").cast("string")).alias("name"))
     named = (
-        steps.join(lab, "step", "left")
+        _repeated_label(steps, labels, "step", "name", bound)
         .select("id", "pos", F.coalesce("name", F.col("step").cast("string")).alias("name"))
         .groupBy("id")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("_steps"))
         .select("id", F.array_join(F.col("_steps.name"), sep).alias("path_labels"))
     )
-    head = with_label(paths.select("id", "dist", "path", F.col("path")[0].alias("source")), labels, "id", "label")
-    head = with_label(head, labels, "source", "source_label")
+    head = with_label(paths.select("id", "dist", "path", F.col("path")[0].alias("source")), labels)
+    head = _repeated_label(head, labels, "source", "source_label", bound)
     return head.join(named, "id", "left").select(
         "id",
         "dist",

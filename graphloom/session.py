@@ -1,7 +1,7 @@
 """Session-level settings the library reads (never overrides)."""
 from __future__ import annotations
 
-import tempfile
+import re
 
 from pyspark.sql import SparkSession
 
@@ -24,22 +24,21 @@ def broadcast_threshold(spark: SparkSession) -> int:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Reliable checkpoint directory of the session.
 
-    Uses the directory the context already has, else ``spark.checkpoint.dir``.
-    Only a local-mode session without either gets a fresh temporary folder; on
-    a cluster a shared directory is required, so that case is an error.
+    The directory the context already has, else ``spark.checkpoint.dir``, else
+    (only where the session runs in one process) a folder of the warehouse.
+    A cluster session without a shared folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="graphloom-ckpt-"))
-        return sc.getCheckpointDir()
-    raise RuntimeError(
-        "set spark.checkpoint.dir to a shared (distributed) folder: the iterative "
-        "operators cut lineage with reliable checkpoints"
-    )
+    if not configured and re.fullmatch(r"local(\[.*\])?", sc.master):
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if not configured:
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a shared (distributed) folder: the iterative "
+            "operators cut lineage with reliable checkpoints"
+        )
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()

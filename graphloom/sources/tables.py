@@ -1,16 +1,14 @@
 """Graphs built from the driver's Parquet tables.
 
-Only the needed columns are read (the scans show them in ``ReadSchema``);
-every join to a dimension goes through the skew-aware lookup join and every
-aggregation is partial first.
+Only the needed columns are read (the scans show them in ``ReadSchema``),
+every aggregation is partial first, and building a graph runs no job.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.graph import PropertyGraph
-from graphloom.operators.joins import lookup_join, size_bounds
 from graphloom.operators.sequence import successor_pairs
 from graphloom.operators.topk import top_k_per_group
 
@@ -18,7 +16,6 @@ from graphloom.operators.topk import top_k_per_group
 HANDOFF_SOURCE = 0  # user id the handoff searches start from
 TRADE_TOP_K = 3  # heaviest targets kept per source nation
 HOLE_REGION = 4  # region whose nations are left out of trade_holes
-TURN_STRIDE = 1000  # vertex id of a turn = conv_id * TURN_STRIDE + turn
 FILL_VALUE = 1  # value of a vertex added for a missing endpoint
 
 
@@ -50,21 +47,18 @@ def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier nation -> customer nation, weight = number of lineitems."""
     suppliers = read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     customers = read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    sup_bound, cust_bound = size_bounds([suppliers, customers])  # one job for both
-    items = lookup_join(
-        read(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey"),
-        suppliers,
-        "l_suppkey",
-        "s_suppkey",
-        dim_bound=sup_bound,
-    ).select(F.col("l_orderkey").alias("orderkey"), "s_nationkey")
-    buyers = lookup_join(
-        read(spark, sf_dir, "orders", "o_orderkey", "o_custkey"),
-        customers,
-        "o_custkey",
-        "c_custkey",
-        dim_bound=cust_bound,
-    ).select(F.col("o_orderkey").alias("orderkey"), "c_nationkey")
+    # dimensions small enough are broadcast by Catalyst; larger ones take a
+    # merge join, whose hot keys adaptive execution splits
+    items = (
+        read(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey")
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .select(F.col("l_orderkey").alias("orderkey"), "s_nationkey")
+    )
+    buyers = (
+        read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .select(F.col("o_orderkey").alias("orderkey"), "c_nationkey")
+    )
     # an order has a handful of lineitems: the orderkey join cannot be skewed
     return (
         items.join(buyers, "orderkey")
@@ -100,11 +94,12 @@ def trade_holes(spark: SparkSession, sf_dir: str) -> PropertyGraph:
 # turns ------------------------------------------------------------------------
 def turns(spark: SparkSession, sf_dir: str) -> PropertyGraph:
     """Conversation turns as chains: turn t -> turn t + 1 of the same
-    conversation; value = text length, edge weight = text length of ``dst``."""
+    conversation; value = text length, edge weight = text length of ``dst``.
+    A turn's id is the text ``conv_id:turn``."""
     conv = read(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
         "conv_id",
         "turn",
-        (F.col("conv_id") * TURN_STRIDE + F.col("turn")).cast("long").alias("id"),
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
         F.length("text").cast("long").alias("value"),
     )
     nxt = conv.select(
@@ -115,12 +110,12 @@ def turns(spark: SparkSession, sf_dir: str) -> PropertyGraph:
     )
     # (conv_id, turn) is unique on both sides: a long conversation is no hot key
     edges = conv.select("conv_id", "turn", F.col("id").alias("src")).join(nxt, ["conv_id", "turn"])
-    return PropertyGraph(conv.select("id", "value"), edges.select("src", "dst", "weight"))
+    return PropertyGraph(conv.select("id", "conv_id", "turn", "value"), edges.select("src", "dst", "weight"))
 
 
-def turn_starts(graph: PropertyGraph) -> DataFrame:
+def turn_starts() -> Column:
     """Turn 0 of every conversation (the sources of the turns searches)."""
-    return graph.vertices.where(F.pmod(F.col("id"), F.lit(TURN_STRIDE)) == 0).select("id")
+    return F.col("turn") == 0
 
 
 # handoff ----------------------------------------------------------------------
@@ -136,9 +131,10 @@ def handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_timestamp("ts").alias("sec"),
     )
     # zone-free microseconds since the epoch: grows with ts, so it may cut the
-    # order into slices of equal row count (a hot day or second is spread)
+    # order into slices of equal row count (a hot day or second is spread);
+    # events of one exact time are cut by their id
     micros = F.col("sec") * F.lit(1_000_000) + F.date_format("ts", "SSSSSS").cast("long")
-    pairs = successor_pairs(ev, "day", ["ts", "event_id"], ["user_id", "sec"], slice_key=micros)
+    pairs = successor_pairs(ev, "day", ["ts", "event_id"], ["user_id", "sec"], slice_key=micros, tie_key=F.col("event_id"))
     return (
         pairs.where(
             F.col("cur_user_id").isNotNull()
@@ -160,11 +156,42 @@ def handoff(spark: SparkSession, sf_dir: str) -> PropertyGraph:
     return PropertyGraph(users, handoff_edges(spark, sf_dir))
 
 
-def nation_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, label) for nations."""
-    return read(spark, sf_dir, "nation", "n_nationkey", "n_name").select(
-        F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("label")
+def customer_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, label): names of customers, the users of the handoff graph."""
+    return read(spark, sf_dir, "customer", "c_custkey", "c_name").select(
+        F.col("c_custkey").cast("long").alias("id"), F.col("c_name").alias("label")
+    )
+
+
+def nation_names(spark: SparkSession, sf_dir: str) -> PropertyGraph:
+    """``trade`` by name: text ids, and whether a trade stays in its region as a
+    text edge property."""
+    nation = read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+
+    def side(prefix: str) -> DataFrame:
+        return nation.select(
+            F.col("n_nationkey").cast("long").alias(f"{prefix}_key"),
+            F.col("n_name").alias(prefix),
+            F.col("n_regionkey").alias(f"{prefix}_region"),
+        )
+
+    e = trade_edges(spark, sf_dir).withColumnsRenamed({"src": "src_key", "dst": "dst_key"})
+    near = F.col("src_region") == F.col("dst_region")
+    edges = e.join(side("src"), "src_key").join(side("dst"), "dst_key").select(
+        "src", "dst", F.when(near, "regional").otherwise("overseas").alias("relationship")
+    )
+    vertices = nation.select(F.col("n_name").alias("id"), F.col("n_regionkey").cast("long").alias("region"))
+    return PropertyGraph(vertices, edges)
+
+
+def customer_nations(spark: SparkSession, sf_dir: str) -> PropertyGraph:
+    """One vertex row per customer under its nation's id: ids repeat."""
+    v = read(spark, sf_dir, "customer", "c_nationkey", "c_custkey", "c_name").select(
+        F.col("c_nationkey").cast("long").alias("id"),
+        F.col("c_custkey").cast("long").alias("customer"),
+        F.col("c_name").alias("name"),
     )
+    return PropertyGraph(v, trade_edges(spark, sf_dir))
 
 
 def smallest_source(graph: PropertyGraph) -> DataFrame:
