@@ -360,8 +360,11 @@ def pregel(
     if fuse < 1:
         raise ValueError("fuse must be at least 1")
     spark = graph.vertices.sparkSession
-    parts = partitions or shuffle_partitions(spark)
+    own = str(shuffle_partitions(spark))
+    parts = partitions or int(own)
     store = _StateStore(spark, parts)
+    # messages must be dealt like the buckets; the session's setting is put back
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
         return _run(
             graph, program, store, state, active, max_iterations, fill_missing, prepare_vertices,
@@ -370,6 +373,8 @@ def pregel(
     except BaseException:
         store.drop_all()
         raise
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
 
 
 def _run(

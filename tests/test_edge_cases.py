@@ -137,3 +137,36 @@ def test_hot_message_target(spark):
     got = dict(res.vertices.collect())
     assert got[0] == 36 and got[1] == 36
     assert all(got[i] == i % 37 for i in range(2, n))
+
+
+def test_null_weights_carry_nothing(spark):
+    g = graph(spark, [1, 2, 3], [(1, 2, None), (1, 2, 5), (2, 3, 1)])
+    costs = {r.id: r.dist for r in sssp(g, [1]).vertices.collect()}
+    paths = {r.id: (r.dist, r.path) for r in sssp_paths(g, [1]).vertices.collect()}
+    assert costs == {1: 0, 2: 5, 3: 6}
+    assert paths == {1: (0, [1]), 2: (5, [1, 2]), 3: (6, [1, 2, 3])}
+
+
+def test_sources_by_vertex_property(spark):
+    v = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2), ("a", 5)], "id string, turn int")
+    e = spark.createDataFrame([("a", "b", 2), ("b", "c", 2)], "src string, dst string, weight long")
+    g = PropertyGraph(v, e)
+    assert dict(sssp(g, F.col("turn") == 0).vertices.collect()) == {"a": 0, "b": 2, "c": 4}
+    assert dict(sssp(g, F.col("turn") == 1).vertices.collect()) == {"a": None, "b": 0, "c": 2}
+
+
+def test_long_conversations_keep_their_turns_apart(spark, tmp_path):
+    from graphloom.plans.catalog import QUERIES
+
+    rows = [(1, t, "user", "x" * (t % 7 + 1)) for t in range(1003)] + [(2, t, "user", "yy") for t in range(2)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    edges = QUERIES["turns_edges"](spark, str(tmp_path)).collect()
+    assert len(edges) == 1003 and {("1:999", "1:1000"), ("2:0", "2:1")} <= {(r.src, r.dst) for r in edges}
+    from graphloom.plans.algorithms import max_reach
+    from graphloom.sources import tables as t
+
+    graph_ = t.turns(spark, str(tmp_path))
+    reach = dict(max_reach(graph_, max_iterations=3).vertices.collect())
+    assert len(reach) == 1005 and reach["2:1"] == 2 and reach["1:1000"] == 7
+    costs = dict(sssp(graph_, t.turn_starts(), max_iterations=2).vertices.collect())
+    assert costs["2:0"] == 0 and costs["1:1000"] is None and sum(c == 0 for c in costs.values()) == 2

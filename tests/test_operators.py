@@ -64,18 +64,25 @@ def test_lookup_join_over_threshold_splits_hot_keys(spark):
     assert got == expect
 
 
-def test_labels_without_broadcast(spark):
+def test_labels_without_broadcast(spark, capsys):
     from graphloom.plans.report import labelled_costs
 
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        paths = spark.createDataFrame([(1, 0, [1]), (2, 4, [1, 2]), (3, None, None)], "id long, dist long, path array<long>")
-        labels = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "id long, label string")
-        got = {r.id: r.line for r in labelled_costs(paths, labels).collect()}
+        # one source: every reached row shares the label key
+        costs = spark.createDataFrame([(i, i - 1, 1) for i in range(1, 900)] + [(900, None, 1)], "id long, dist long, source long")
+        labels = spark.createDataFrame([(i, f"L{i}") for i in range(1, 901)], "id long, label string")
+        df = labelled_costs(costs, labels)
+        capsys.readouterr()
+        df.explain()
+        plan = capsys.readouterr().out
+        got = {r.id: r.line for r in df.collect()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert got == {1: "Minimum cost to get from A to A is 0", 2: "Minimum cost to get from A to B is 4", 3: None}
+    assert got[1] == "Minimum cost to get from L1 to L1 is 0" and got[5] == "Minimum cost to get from L1 to L5 is 4"
+    assert got[900] is None and len(got) == 900
+    assert "BroadcastHashJoin" in plan  # the hot source is split off to its one label row
 
 
 def test_size_bound_none_for_nested_columns_falls_back_to_profile(spark):
@@ -88,3 +95,17 @@ def test_size_bound_none_for_nested_columns_falls_back_to_profile(spark):
     fact = spark.createDataFrame([(1, 10), (1, 11), (2, 12)], "k long, x long")
     got = sorted((r.k, r.x, tuple(r.tags) if r.tags else None) for r in lookup_join(fact, nested, "k", "dk", how="left").collect())
     assert got == [(1, 10, (1, 2)), (1, 11, (1, 2)), (2, 12, None)]
+
+
+def test_successor_pairs_split_one_hot_time(spark):
+    """All rows at one key value are cut along the tie key."""
+    from graphloom.operators.sequence import _even_slices, successor_pairs
+
+    rows = [(1, 100, i, i % 11) for i in range(3000)] + [(1, 100 + i, 5000 + i, 3) for i in range(1, 500)] + [(2, 100, 9000, 1)]
+    df = spark.createDataFrame(rows, "g long, ts long, id long, user long").repartition(5)
+    sliced = _even_slices(df.select(F.col("ts").cast("double").alias("_key"), F.col("id").cast("double").alias("_tie")), 16)
+    assert sliced.groupBy("_slice").count().agg(F.max("count")).first()[0] < 1000
+    got = successor_pairs(df, "g", ["ts", "id"], ["id", "user"], F.col("ts"), tie_key=F.col("id"), slices=16).collect()
+    order = sorted((g, ts, i, u) for g, ts, i, u in rows)
+    want = {(a[2], b[2], a[3], b[3]) for a, b in zip(order, order[1:]) if a[0] == b[0]}
+    assert {(r.cur_id, r.next_id, r.cur_user, r.next_user) for r in got} == want and len(got) == len(want)

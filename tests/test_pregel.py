@@ -40,7 +40,7 @@ def test_release_drops_tables(spark):
     res, _, _ = run(spark, 2)
     prefix = f"graphloom_pregel_{res._store.tag}_"
     mine = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
-    assert mine  # edges and the last state
+    assert len(mine) == 1  # the last state is all that stays
     res.release()
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
 
@@ -74,22 +74,102 @@ def test_without_fill_messages_to_unknown_ids_are_dropped(spark):
     assert filled.edge_stats["edges"] == 4 and filled.edge_stats["max_out_degree"] == 2
 
 
-def test_superstep_plan_moves_only_messages(spark, capsys):
-    """State and edges are co-bucketed: the only exchange of a superstep is
-    the message shuffle (partial aggregate before it)."""
+def shipped_plan(spark, capsys, monkeypatch, edges, parts=4, **options):
+    """Plan of the first superstep exactly as the loop runs it."""
     from graphloom.functions.programs import relax_min
-    from graphloom.operators.pregel import _Edges, _superstep
-
-    g = chain_graph(spark)
-    res = pregel(g, relax_min("weight"), state=F.when(F.col("id") == 0, F.lit(0).cast("long")))
-    store = res._store
-    state_tables = [t.name for t in spark.catalog.listTables() if t.name.startswith(store.name("superstep_"))]
-    v = spark.table(sorted(state_tables)[-1]).select("id", "state", "changed")
-    edges = _Edges(spark.table(store.name("edges")), None, None, res.edge_stats)
-    capsys.readouterr()
-    _superstep(v, edges, relax_min("weight"), []).explain()
-    plan = capsys.readouterr().out
+    from graphloom.operators import pregel as module
+
+    seen = []
+    real = module._superstep
+
+    def spy(*args, **kwargs):
+        out = real(*args, **kwargs)
+        if not seen:
+            capsys.readouterr()
+            out.explain()
+            seen.append(capsys.readouterr().out)
+        return out
+
+    monkeypatch.setattr(module, "_superstep", spy)
+    v = spark.createDataFrame([(i,) for i in range(40)], "id long")
+    g = PropertyGraph(v, spark.createDataFrame(edges, "src long, dst long, weight long"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        start = F.when(F.col("id") == 0, F.lit(0).cast("long"))
+        res = module.pregel(g, relax_min("weight"), state=start, partitions=parts, **options)
+        rows = dict(res.vertices.collect())
+        res.release()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return seen[0], rows
+
+
+def test_superstep_moves_only_messages(spark, capsys, monkeypatch):
+    """State and edges are co-bucketed: the only exchange of a superstep is the
+    message shuffle, and no join is forced into memory."""
+    plan, rows = shipped_plan(spark, capsys, monkeypatch, [(i, i + 1, 1) for i in range(39)])
     exchanges = [line for line in plan.splitlines() if "Exchange " in line]
     assert len(exchanges) == 1 and "hashpartitioning(id" in exchanges[0], plan
-    assert "partial_min" in plan
-    res.release()
+    assert "partial_min" in plan and "ShuffledHashJoin" not in plan and "SortMergeJoin" in plan
+    assert rows == {i: i for i in range(40)}
+
+
+def test_superstep_with_hubs(spark, capsys, monkeypatch):
+    edges = [(0, i, i) for i in range(1, 40)] + [(i, i + 1, 1) for i in range(1, 20)]
+    plan, rows = shipped_plan(spark, capsys, monkeypatch, edges)
+    # the hub's edges meet one broadcast frontier row; state and other edges stay
+    exchanges = [line for line in plan.splitlines() if "Exchange " in line and "Broadcast" not in line]
+    assert len(exchanges) == 1 and plan.count("BroadcastExchange") == 1, plan
+    assert rows == {0: 0, **{i: i for i in range(1, 40)}}
+
+
+def test_small_frontier_is_pushed_into_the_edge_scan(spark, capsys, monkeypatch):
+    from graphloom.operators import pregel as module
+
+    monkeypatch.setattr(module, "PUSH_EDGES", 1)
+    plan, rows = shipped_plan(spark, capsys, monkeypatch, [(i, i + 1, 1) for i in range(39)])
+    assert "SelectedBucketsCount: 1 out of 4" in plan and "EqualTo(src,0)" in plan, plan
+    assert rows == {i: i for i in range(40)}
+
+
+def test_failure_leaves_no_tables(spark):
+    import pytest
+
+    from graphloom.operators.pregel import _OPEN, release_all
+
+    release_all()
+    before = {t.name for t in spark.catalog.listTables()}
+
+    def fail(stats, vertices):
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        pregel(chain_graph(spark), relax_path("weight"), state=F.lit(None), validate=fail)
+    with pytest.raises(Exception):
+        pregel(chain_graph(spark), relax_path("missing"), state=F.when(F.col("id") == 0, path_start(F.col("id"))))
+    assert {t.name for t in spark.catalog.listTables()} == before and not _OPEN
+
+
+def test_triplet_send_reads_both_ends(spark):
+    from graphloom import max_reach
+
+    v = spark.createDataFrame([(1, 9), (2, 1), (3, 6), (4, None), (5, 3)], "id long, value long")
+    e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (5, 1)], "src long, dst long")
+    plain, guarded = max_reach(PropertyGraph(v, e)), max_reach(PropertyGraph(v, e), guarded=True)
+    assert dict(guarded.vertices.collect()) == dict(plain.vertices.collect()) == {1: 9, 2: 9, 3: 9, 4: 9, 5: 3}
+    sent = [r.trace.agg(F.sum("messages")).first()[0] for r in (guarded, plain)]
+    assert sent[0] < sent[1]
+
+
+def test_vertex_table_of_one_number_needs_no_sort_aggregate(spark, capsys):
+    from graphloom.operators.pregel import _vertex_table
+
+    v = spark.createDataFrame([(1, 9), (1, 3), (2, None)], "id long, value long")
+    e = spark.createDataFrame([(1, 7, 2), (1, 2, None)], "src long, dst long, weight long")
+    t = _vertex_table(v, e, ("weight",))
+    capsys.readouterr()
+    t.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+    assert {r.id: (r.value, r._deg, r._min_weight, r._nulls_weight) for r in t.collect()} == {
+        1: (3, 2, 2, 1), 2: (None, 0, None, 0), 7: (None, 0, None, 0),
+    }
