@@ -4,8 +4,8 @@
    texts with equal sets are one class from here on.
 2. Classes that agree on a band of registers share a bucket.  Inside a bucket,
    classes are compared with a few leaders only, by maximum likelihood: a class
-   close to a leader is absorbed, any other becomes a leader, and every class
-   keeps an edge to each leader it may be similar to.  Two classes above the
+   close to a leader is absorbed, any other becomes a leader, and a class that
+   may be similar to a leader is connected with it.  Two classes above the
    threshold end up connected through a leader (Jaccard distance is a metric).
 3. Connected classes form clusters of look-alikes; inside a cluster the exact
    sets are compared until every pair of unconnected classes is decided.
@@ -109,7 +109,8 @@ def _central_first(regs: np.ndarray) -> np.ndarray:
 
 
 def _leaders_task(absorb: float, link: float):
-    """Edges of a bucket's classes to its leaders; ``left`` marks classes that no hub absorbed."""
+    """Edges that connect a bucket's classes to the leaders they may be similar to
+    (fewer than classes); ``left`` marks classes that no hub absorbed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["key", "part"]):
@@ -119,6 +120,7 @@ def _leaders_task(absorb: float, link: float):
             order = _central_first(regs)
             order = np.concatenate((order[hub[order]], order[~hub[order]]))
             free = ~hub
+            comp = np.arange(len(node))  # what the edges so far connect
             a, b = [], []
             for i in order.tolist():
                 if hub.any() and not hub[i]:
@@ -126,12 +128,19 @@ def _leaders_task(absorb: float, link: float):
                 if not (hub[i] or free[i]):
                     continue  # absorbed: a leader near it stands for it
                 free[i] = False
-                ll = log_likelihood(regs, size, regs[i], int(size[i]))
-                near = may_reach(ll, link, 8.0)
-                near[i] = False
-                a.extend([int(node[i])] * int(near.sum()))
-                b.extend(node[near].tolist())
-                free &= similarity(ll) < absorb
+                # what is connected already needs no edge (a hub must look at all to absorb)
+                other = np.flatnonzero(np.arange(len(node)) != i if hub.any() else comp != comp[i])
+                if not len(other):
+                    continue
+                ll = log_likelihood(regs[other], size[other], regs[i], int(size[i]))
+                near = other[may_reach(ll, link, 8.0)]
+                joined, at = np.unique(comp[near], return_index=True)
+                for c, k in zip(joined.tolist(), near[at].tolist()):
+                    if c != comp[i]:
+                        a.append(int(node[i]))
+                        b.append(int(node[k]))
+                comp[np.isin(comp, joined)] = comp[i]
+                free[other[similarity(ll) >= absorb]] = False
             left = node[free & ~hub].tolist() if hub.any() else []
             if not a and not left:
                 continue
