@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 
 from graphloom.graph import PropertyGraph
 from graphloom.operators.joins import not_null
-from graphloom.session import checkpoint_dir, shuffle_partitions
+from graphloom.session import checkpoint_dir, on_release, shuffle_partitions
 
 PUSH_IDS = 200  # a frontier of at most this many vertices is pushed into the edge scan
 PUSH_EDGES = 1_000_000  # ... of an edge table of at least this many edges
@@ -57,13 +57,16 @@ _log = logging.getLogger(__name__)
 _OPEN: list["_StateStore"] = []  # runs whose final state has not been released
 
 
-def release_all() -> None:
+def release_states(spark) -> None:
     """Drop the final state of every run that was not released (their results
     can no longer be read)."""
     while _OPEN:
         _OPEN[-1].drop_all()
 
 
+on_release(release_states)
+
+
 @dataclass(frozen=True)
 class VertexProgram:
     """The three user functions of Pregel, as Column builders (no Python UDF).

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +43,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
         )
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+_CLEANERS: list[Callable[[SparkSession], object]] = []
+
+
+def on_release(cleaner: Callable[[SparkSession], object]) -> None:
+    """Register what :func:`release_all` calls to delete one kind of working table."""
+    _CLEANERS.append(cleaner)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete every working table the operators left in the checkpoint folder.
+    Results that still read them must have been written or collected before."""
+    for cleaner in _CLEANERS:
+        cleaner(spark)

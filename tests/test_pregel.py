@@ -135,9 +135,10 @@ def test_small_frontier_is_pushed_into_the_edge_scan(spark, capsys, monkeypatch)
 def test_failure_leaves_no_tables(spark):
     import pytest
 
-    from graphloom.operators.pregel import _OPEN, release_all
+    from graphloom.operators.pregel import _OPEN
+    from graphloom.session import release_all
 
-    release_all()
+    release_all(spark)
     before = {t.name for t in spark.catalog.listTables()}
 
     def fail(stats, vertices):

@@ -3,8 +3,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from graphloom.operators.pregel import release_all
 from graphloom.plans.catalog import QUERIES
+from graphloom.session import release_all
 from tests.conftest import SMALL
 
 GRAPH_QUERIES = sorted(QUERIES)
@@ -31,7 +31,7 @@ def test_query_matches_oracle(spark, duck, name):
     order = sorted(df.columns)
     got = canon([[r[c] for c in order] for r in df.collect()])
     exp = canon([[dict(zip(cols, r))[c] for c in order] for r in res.fetchall()])
-    release_all()  # working tables of the query
+    release_all(spark)  # working tables of the query
     assert got == exp
 
 
