@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.session import checkpoint_dir
+from graphloom.session import checkpoint_dir, on_release
 
 _TABLES: dict[str, list[str]] = {}
 _CATALOG: dict[str, list[str]] = {}
@@ -74,3 +74,6 @@ def release(spark: SparkSession, keep: str | None = None) -> int:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return len(gone)
+
+
+on_release(release)
