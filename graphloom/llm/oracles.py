@@ -55,7 +55,7 @@ b AS (SELECT *, ((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)
               + 4 * (10 * n_symbols > n_words)::INT + 8 * (100 * n_dup_lines > 30 * n_lines)::INT
               + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::INT
               + 32 * (n_words > 100000)::INT)::BIGINT AS fail_bits FROM m)
-SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits & 31 = 0 AS kept FROM b
+SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits & 23 = 0 AS kept FROM b
 """
 
 ORACLES: dict[str, str] = {"op2_mix_sources": OP2, "op3_top_k": OP3, "op9_quality": OP9}

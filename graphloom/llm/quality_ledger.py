@@ -28,7 +28,8 @@ RULES: dict[str, str] = {
 # Policy version -> rules whose failure rejects a document.
 POLICIES: dict[str, tuple[str, ...]] = {
     "v1": ("too_short", "repeats"),
-    "v2": ("too_short", "repeats", "symbols", "dup_lines", "word_length"),
+    "v2": ("too_short", "repeats", "symbols", "word_length"),
+    "strict": tuple(RULES),
 }
 BASE = "v1"
 CURRENT = "v2"
