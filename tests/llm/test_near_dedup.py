@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from graphloom.llm import near_dedup, setsketch
+from graphloom.llm import components, near_dedup, setsketch
 from graphloom.llm.components import connected_components
 from graphloom.llm.near_dedup import _load, _store, near_duplicates
 from tests.llm import brute
@@ -81,8 +81,11 @@ def test_stored_sets_round_trip():
         assert np.array_equal(_load(_store(s)), s >> np.uint64(16))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("per_part", [500_000, 7])
+def test_components(spark, monkeypatch, per_part):
+    monkeypatch.setattr(components, "EDGES_PER_PART", per_part)  # with few edges a part, the star steps decide
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 99), (99, 98), (5, 5), (200, 150), (150, 200), (None, 3)]
-    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(8)
+    got = {r.node: r.root for r in connected_components(frame).collect()}
     assert got == {**{i: 0 for i in range(41)}, 98: 98, 99: 98, 100: 98, 150: 150, 200: 150}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
