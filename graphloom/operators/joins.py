@@ -96,19 +96,15 @@ def fits_broadcast(spark, bound: int | None) -> bool:
 class KeyProfile:
     """Row count of a frame and the keys that hold more than ``threshold`` rows.
 
-    ``hot`` is None when no key is hot; otherwise a persisted frame of at most
-    ``total / threshold`` keys (never more than the partition count), which is
-    what makes broadcasting it safe.
+    ``hot`` holds at most ``total / threshold`` keys (never more than the
+    partition count), which is what makes them safe as literals and their
+    dimension rows safe to broadcast.
     """
 
     total: int
     max_rows: int
     threshold: int
-    hot: DataFrame | None
-
-    def release(self) -> None:
-        if self.hot is not None:
-            self.hot.unpersist()
+    hot: list
 
 
 def profile_keys(df: DataFrame, key: str, *, partitions: int | None = None) -> KeyProfile:
@@ -124,18 +120,17 @@ def profile_keys(df: DataFrame, key: str, *, partitions: int | None = None) -> K
     max_rows = int(row["max_rows"] or 0)
     threshold = max(1, math.ceil(total / parts))
     if total == 0 or max_rows <= threshold or parts == 1:
-        return KeyProfile(total, max_rows, threshold, None)
-    hot = counts.where(F.col("_rows") > threshold).select(key).persist()
-    hot.count()
-    return KeyProfile(total, max_rows, threshold, hot)
+        return KeyProfile(total, max_rows, threshold, [])
+    hot = counts.where(F.col("_rows") > threshold).select(key).collect()
+    return KeyProfile(total, max_rows, threshold, [r[0] for r in hot])
 
 
 def split_hot(df: DataFrame, key: str, profile: KeyProfile) -> tuple[DataFrame, DataFrame | None]:
     """(rows with an ordinary key, rows with a hot key or None)."""
-    if profile.hot is None:
+    if not profile.hot:
         return df, None
-    hot = F.broadcast(profile.hot)
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+    is_hot = F.coalesce(F.col(key).isin(profile.hot), F.lit(False))  # a null key is an ordinary one
+    return df.where(~is_hot), df.where(is_hot)
 
 
 def lookup_join(
@@ -170,7 +165,7 @@ def lookup_join(
     joined = cold.join(d, fact_key, how)
     if hot is None:
         return joined
-    hot_dim = d.join(F.broadcast(prof.hot), fact_key, "left_semi")
+    hot_dim = d.where(F.col(fact_key).isin(prof.hot))
     return joined.unionByName(hot.join(F.broadcast(hot_dim), fact_key, how))
 
 

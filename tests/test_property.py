@@ -35,7 +35,7 @@ graphs = st.integers(min_value=2, max_value=9).flatmap(
 )
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(graphs)
 def test_paths_are_shortest_and_valid(spark, g):
     n, edges = g
