@@ -27,10 +27,13 @@ def _repeated_label(df: DataFrame, labels: DataFrame, key: str, name: str, bound
 
 
 def labelled_costs(costs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, label, source_label, dist, line) from costs (id, dist, source).
+    """(id, label, source_label, dist, line) from costs (id, dist, source), or from
+    paths (id, dist, path), whose first element is the source.
 
     Unreached vertices keep NULL cost, source and line.
     """
+    if "source" not in costs.columns:
+        costs = costs.withColumn("source", F.col("path")[0])
     labels = labels.select("id", "label")
     reached = costs.select("id", "dist", F.when(F.col("dist").isNotNull(), F.col("source")).alias("source"))
     out = _repeated_label(with_label(reached, labels), labels, "source", "source_label", size_bounds([labels])[0])
