@@ -221,7 +221,8 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _verify_task(percent: int):
     """Verified links (a spanning set) between classes of a cluster part that are
-    not connected yet; with outsiders flagged, only pairs with one of them."""
+    not connected yet; where some are not asked, only pairs with an asked one.
+    Those not asked must be connected with each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["key", "part"]):
@@ -245,10 +246,11 @@ def _verify_task(percent: int):
             order = _central_first(regs)
             for i in order[:HUBS].tolist():  # the middle of the cluster connects most of it
                 against(i)
-            # two classes of the largest component need no look: every other pair has one outside it
-            largest = np.bincount(comp).argmax()
+            # two classes of one component need no look: every other pair has a class outside it.
+            # It is the component of those not asked, as all others are asked here
+            of = np.argmin(asked) if not asked.all() else np.argmax(comp == np.bincount(comp).argmax())
             for i in order.tolist():
-                if comp[i] != largest and asked[i]:
+                if comp[i] != comp[of]:
                     against(i)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])

@@ -2,10 +2,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from graphloom.llm import components, near_dedup, setsketch
 from graphloom.llm.components import connected_components
-from graphloom.llm.near_dedup import _load, _store, near_duplicates
+from graphloom.llm.near_dedup import _load, _store, _verified_links, near_duplicates
 from tests.llm import brute
 
 
@@ -89,3 +90,32 @@ def test_components(spark, monkeypatch, per_part):
     got = {r.node: r.root for r in connected_components(frame).collect()}
     assert got == {**{i: 0 for i in range(41)}, 98: 98, 99: 98, 100: 98, 150: 150, 200: 150}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def class_rows(spark, sets):
+    """Classes as the operator stores them, from sets of hashes by node."""
+    rows = [(n, len(s), bytearray(setsketch.registers(s)), bytearray(_store(s))) for n, s in sets.items()]
+    return spark.createDataFrame(rows, "node long, n_shingles long, regs binary, shingles binary")
+
+
+def test_bridge_between_two_large_components_of_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(near_dedup, "HUBS", 1)
+    # the cluster of 30 has two parts; each component has one class that both parts share
+    part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(2))
+    hub = F.pmod(F.xxhash64(F.lit("hub"), "id"), F.lit(1 << 30)) < (1 << 30) / 30
+    dealt = spark.range(2000).select("id", part.alias("part"), hub.alias("hub")).collect()
+    hubs = [r.id for r in dealt if r.hub]
+    halves = [[r.id for r in dealt if not r.hub and r.part == k] for k in (0, 1)]
+    h = np.random.default_rng(5).integers(0, 1 << 64, 300, np.uint64)
+    a, b = h[:100], np.concatenate((h[:70], h[100:130]))
+    x, y = halves[0].pop(), halves[1].pop()  # the only similar pair over the components, in different parts
+    sets = {x: np.concatenate((h[:90], h[100:110])), y: np.concatenate((h[:80], h[100:120]))}
+    mine = [hubs.pop(), *halves[0][:7], *halves[1][:7]]
+    other = [hubs.pop(), *halves[0][7:13], *halves[1][7:13]]
+    for k, (n, core) in enumerate([(n, a) for n in mine] + [(n, b) for n in other]):
+        sets[n] = np.concatenate((core, h[200 + k : 201 + k]))
+    classes = class_rows(spark, {n: np.unique(s) for n, s in sets.items()})
+    clusters = classes.select("node", F.lit(-1).cast("long").alias("root"))
+    roots = connected_components(_verified_links(clusters, classes, 80)).collect()
+    assert len(roots) == 30 and len({r.root for r in roots}) == 1
