@@ -8,7 +8,9 @@
    may be similar to a leader is connected with it.  Two classes above the
    threshold end up connected through a leader (Jaccard distance is a metric).
 3. Connected classes form clusters of look-alikes; inside a cluster the exact
-   sets are compared until every pair of unconnected classes is decided.
+   sets are compared until every pair of unconnected classes is decided.  A
+   cluster too large for one task is compared in parts first; what that leaves
+   unconnected meets by shared rare shingles (prefix filter, exact).
 """
 from __future__ import annotations
 
@@ -31,6 +33,7 @@ BAND_ROWS = 6  # registers of a band: 30 bands
 BUCKET_ROWS = 20_000  # classes of a bucket (or cluster) compared in one task
 STAR_ROWS = 16  # classes of a bucket small enough to be one candidate group unseen
 HUBS = 64  # members of a larger bucket that every part of it is compared with first
+SLOT_BITS = 18  # slots in which the shingles of large clusters are counted
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -120,7 +123,7 @@ def _leaders_task(absorb: float, link: float):
             order = _central_first(regs)
             order = np.concatenate((order[hub[order]], order[~hub[order]]))
             free = ~hub
-            comp = np.arange(len(node))  # what the edges so far connect
+            comp = np.unique(t["label"].to_numpy(), return_inverse=True)[1]  # what the edges so far connect
             a, b = [], []
             for i in order.tolist():
                 if hub.any() and not hub[i]:
@@ -159,6 +162,29 @@ _EDGES = T.StructType(
 )
 
 
+def _meeting(rows: DataFrame) -> DataFrame:
+    """Deal ``key``, ``label``, ``node`` to tasks (``key``, ``part``) of about
+    ``BUCKET_ROWS`` rows, so that any two rows of a key whose labels differ share
+    a task.  Rows of one label are known to be connected: the commonest label's
+    blocks meet no block of their own, and keys of one label are dropped."""
+    weight = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("w"))
+    top = weight.groupBy("key").agg(F.sum("w").alias("n"), F.max(F.struct("w", "label")).alias("top")).where("top.w < n")
+    half = max(1, BUCKET_ROWS // 2)
+    outer = F.ceil((F.col("n") - F.col("top.w")) / half)
+    blocks = top.select(
+        "key", F.col("top.label").alias("common"), (F.col("n") <= BUCKET_ROWS).alias("one"),
+        outer.alias("outer"), (outer + F.ceil(F.col("top.w") / half)).alias("blocks"),
+    )
+    chance, common = F.xxhash64(F.lit("block"), "node"), F.col("label") == F.col("common")
+    block = F.when(common, F.col("outer") + F.pmod(chance, F.col("blocks") - F.col("outer"))).otherwise(F.pmod(chance, F.col("outer")))
+    placed = rows.join(blocks, "key").withColumn("block", F.when(F.col("one"), F.lit(0).cast("long")).otherwise(block))
+    others = F.sequence(F.lit(0).cast("long"), F.when(common, F.col("outer")).otherwise(F.col("blocks")) - 1)
+    met = F.when(F.col("one"), F.array(F.lit(0).cast("long"))).otherwise(F.array_remove(others, F.col("block")))
+    pair = placed.withColumn("other", F.explode(met))
+    part = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
+    return pair.select("key", part.alias("part"), "label", "node")
+
+
 def _candidate_edges(classes: DataFrame, threshold: float) -> DataFrame:
     """Edges that connect every two classes of one bucket that may be similar.
 
@@ -190,23 +216,29 @@ def _candidate_edges(classes: DataFrame, threshold: float) -> DataFrame:
     facts = classes.select("node", "n_shingles", "regs")
 
     def leaders(rows: DataFrame) -> DataFrame:
-        full = rows.join(facts, "node").select("key", "part", "hub", "node", "n_shingles", "regs")
+        full = rows.join(facts, "node").select("key", "part", "label", "hub", "node", "n_shingles", "regs")
         dealt = full.repartition("key", "part").sortWithinPartitions("key", "part", "node")
         return map_arrow(dealt, _leaders_task(absorb, link), _EDGES)
 
-    plain = members.where("parts = 1").select("key", F.lit(0).alias("part"), F.lit(False).alias("hub"), "node")
+    label = F.col("node").alias("label")
+    plain = members.where("parts = 1").select("key", F.lit(0).cast("long").alias("part"), label, F.lit(False).alias("hub"), "node")
     if members.where("parts > 1").isEmpty():
         return ready.unionByName(leaders(plain).select("a", "b"))
-    # a large bucket: its parts meet the same hubs first, and only what no hub absorbs meets again
+    # a large bucket: its parts meet the same hubs first, and what no hub absorbs meets again, two
+    # blocks a task, unless the hubs connect it
     hot = members.where("parts > 1")
     chance = F.pmod(F.xxhash64(F.lit("hub"), "key", "node"), F.lit(1 << 30))
     hot = hot.withColumn("hub", chance < F.lit(1 << 30) / F.col("n") * HUBS)
-    part = F.pmod(F.xxhash64(F.lit("part"), "node"), F.col("parts")).cast("int")
-    spread = hot.where("not hub").select("key", part.alias("part"), "hub", "node").unionByName(
-        hot.where("hub").select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "hub", "node")
+    part = F.pmod(F.xxhash64(F.lit("part"), "node"), F.col("parts"))
+    every_part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1))
+    spread = hot.where("not hub").select("key", part.alias("part"), label, "hub", "node").unionByName(
+        hot.where("hub").select("key", every_part.alias("part"), label, "hub", "node")
     )
     first = materialize(leaders(spread), "hub-edges")
-    rest = first.where("left").select("key", F.lit(0).alias("part"), F.lit(False).alias("hub"), F.col("a").alias("node"))
+    roots = connected_components(first.where("not left"))
+    left = first.where("left").select("key", F.col("a").alias("node")).join(roots, "node", "left")
+    left = materialize(left.select("key", F.coalesce("root", "node").alias("label"), "node"), "left")
+    rest = _meeting(left).withColumn("hub", F.lit(False))
     looked = leaders(plain.unionByName(rest)).unionByName(first.where("not left"))
     return ready.unionByName(looked.select("a", "b"))
 
@@ -221,15 +253,13 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _verify_task(percent: int):
     """Verified links (a spanning set) between classes of a cluster part that are
-    not connected yet; where some are not asked, only pairs with an asked one.
-    Those not asked must be connected with each other."""
+    not connected yet (classes of one label are)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["key", "part"]):
             node, size, regs = t["node"].to_numpy(), t["n_shingles"].to_numpy(), _matrix(t["regs"])
             sets = [_load(s) for s in t["shingles"].to_pylist()]
             comp = np.unique(t["label"].to_numpy(), return_inverse=True)[1]
-            asked = t["asked"].to_numpy()
             a, b = [], []
 
             def against(i: int) -> None:
@@ -246,9 +276,8 @@ def _verify_task(percent: int):
             order = _central_first(regs)
             for i in order[:HUBS].tolist():  # the middle of the cluster connects most of it
                 against(i)
-            # two classes of one component need no look: every other pair has a class outside it.
-            # It is the component of those not asked, as all others are asked here
-            of = np.argmin(asked) if not asked.all() else np.argmax(comp == np.bincount(comp).argmax())
+            # two classes of one component need no look: every other pair has one outside the largest
+            of = np.argmax(comp == np.bincount(comp).argmax())
             for i in order.tolist():
                 if comp[i] != comp[of]:
                     against(i)
@@ -261,38 +290,99 @@ def _verify_task(percent: int):
 _LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
+def _slots(s: np.ndarray) -> np.ndarray:
+    return (mix64(s) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+_SLOT_COUNTS = T.StructType([T.StructField("slot", T.LongType()), T.StructField("n", T.LongType())])
+_PREFIXES = T.StructType([T.StructField(c, T.LongType()) for c in ("root", "label", "node", "shingle")])
+
+
+def _slot_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of the sets fall in each slot."""
+    n = np.zeros(1 << SLOT_BITS, np.int64)
+    for b in batches:
+        for at in range(0, b.num_rows, 1000):
+            sets = [_load(s) for s in b.column("shingles").slice(at, 1000).to_pylist()]
+            n += np.bincount(_slots(np.concatenate(sets)), minlength=len(n))
+    slot = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(n[slot])], names=["slot", "n"])
+
+
+def _prefix_task(percent: int, level: np.ndarray):
+    """The shingles of each set that come first, rare before common ones: as many
+    as it takes that sets above the threshold share one of them, whatever the order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                rows = b.slice(at, 1000)
+                firsts = []
+                for data in rows.column("shingles").to_pylist():
+                    s = _load(data)
+                    order = np.lexsort((s, level[_slots(s)]))
+                    firsts.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]].view(np.int64))
+                index = pa.array(np.repeat(np.arange(len(firsts)), [len(f) for f in firsts]))
+                yield pa.RecordBatch.from_arrays(
+                    [*(rows.column(c).take(index) for c in ("root", "label", "node")), pa.array(np.concatenate(firsts))],
+                    names=_PREFIXES.names,
+                )
+
+    return run
+
+
+def _rare_lists(labelled: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``key``, ``label``, ``node``: classes of a cluster (``root``) by the shingles of
+    their prefixes, lists of one label left out and lists of equal members but one."""
+    full = labelled.join(classes, "node").select("root", "label", "node", "shingles")
+    counts = map_arrow(full.select("shingles"), _slot_task, _SLOT_COUNTS).groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    level = np.zeros(1 << SLOT_BITS, np.uint8)  # doublings of a slot's count: any order is right, rare first keeps lists short
+    level[counts["slot"].to_numpy()] = np.log2(counts["n"].to_numpy()).astype(np.uint8)
+    prefixes = map_arrow(full, _prefix_task(percent, level), _PREFIXES)
+    lists = materialize(prefixes.select(F.xxhash64("root", "shingle").alias("key"), "label", "node"), "prefixes")
+    several = (
+        lists.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"),
+            F.bit_xor(F.xxhash64("node")).alias("sig"), F.min("label").alias("first"), F.max("label").alias("last"),
+        )
+        .where("first <> last")
+        .groupBy("n", "lo", "hi", "sig").agg(F.min("key").alias("key"))
+    )
+    return materialize(lists.join(several.select("key"), "key", "left_semi"), "lists")
+
+
 def _verified_links(clusters: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Links above the threshold that connect each cluster (``node``, ``root``) as
     all its links would."""
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     sized = materialize(
-        clusters.join(sizes, "root").withColumn("parts", F.ceil(F.col("n") / BUCKET_ROWS).cast("int")), "clusters"
+        clusters.join(sizes, "root").withColumn("parts", F.ceil(F.col("n") / BUCKET_ROWS)), "clusters"
     )
 
     def verify(rows: DataFrame) -> DataFrame:
-        full = rows.join(classes, "node").select("key", "part", "label", "asked", "node", "n_shingles", "regs", "shingles")
+        full = rows.join(classes, "node").select("key", "part", "label", "node", "n_shingles", "regs", "shingles")
         dealt = full.repartition("key", "part").sortWithinPartitions("key", "part", "node")
         return map_arrow(dealt, _verify_task(percent), _LINKS)
 
-    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    part = F.pmod(F.xxhash64(F.lit("part"), "node"), F.col("parts")).cast("int").alias("part")
-    key, label, asked = F.col("root").alias("key"), F.col("node").alias("label"), F.lit(True).alias("asked")
+    every_part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    part = F.pmod(F.xxhash64(F.lit("part"), "node"), F.col("parts")).alias("part")
+    key, label = F.col("root").alias("key"), F.col("node").alias("label")
     hub = F.pmod(F.xxhash64(F.lit("hub"), "node"), F.lit(1 << 30)) < F.lit(1 << 30) / F.col("n") * HUBS
-    once = sized.where((F.col("parts") == 1) | ~hub).select(key, part, label, asked, "node")
+    once = sized.where((F.col("parts") == 1) | ~hub).select(key, part, label, "node")
     large = sized.where("parts > 1")
     if large.isEmpty():
         return verify(once)
     # parts of a large cluster share some members, which joins their components
-    links = materialize(verify(once.unionByName(large.where(hub).select(key, every_part, label, asked, "node"))), "links")
-    # whatever is outside the cluster's largest component then meets every part
+    links = materialize(verify(once.unionByName(large.where(hub).select(key, every_part, label, "node"))), "links")
+    # classes not connected yet can be linked only where their prefixes share a shingle
     roots = connected_components(links).select("node", F.col("root").alias("label"))
     labelled = large.join(roots, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    weight = labelled.groupBy("root", "label").agg(F.count(F.lit(1)).alias("w"))
-    largest = weight.groupBy("root").agg(F.max(F.struct("w", "label"))["label"].alias("largest"))
-    labelled = materialize(labelled.join(largest, "root"), "labelled")
-    inside = labelled.where("label = largest").select(key, part, "label", F.lit(False).alias("asked"), "node")
-    outside = labelled.where("label <> largest").select(key, every_part, "label", asked, "node")
-    return links.unionByName(verify(inside.unionByName(outside)))
+    undecided = labelled.groupBy("root").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    labelled = materialize(labelled.join(undecided.select("root"), "root").select("root", "label", "node"), "labelled")
+    if labelled.isEmpty():
+        return links
+    return links.unionByName(verify(_meeting(_rare_lists(labelled, classes, percent))))
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -119,3 +119,30 @@ def test_bridge_between_two_large_components_of_a_cluster(spark, monkeypatch):
     clusters = classes.select("node", F.lit(-1).cast("long").alias("root"))
     roots = connected_components(_verified_links(clusters, classes, 80)).collect()
     assert len(roots) == 30 and len({r.root for r in roots}) == 1
+
+
+def test_tasks_of_large_groups_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(near_dedup, "HUBS", 2)
+    rng = random.Random(6)
+    template = [f"t{i}" for i in range(110)]
+    texts = []
+    for i in range(240):  # one cluster of look-alikes, hardly any of them linked; every eighth has a close copy
+        own = [rng.choice("abcdefgh") + str(rng.randrange(10**6)) for _ in range(40)]
+        texts.append((i, " ".join(template + own)))
+        if i % 8 == 0:
+            texts.append((1000 + i, " ".join(template + own[:-3] + ["x", "y", "z"])))
+    held, plain = [], near_dedup.map_arrow
+
+    def counted(df, task, schema, **options):
+        if "part" in df.columns:
+            rows = near_dedup.materialize(df, "counted")
+            held.extend(r["count"] for r in rows.groupBy("key", "part").count().collect())
+            df = rows.repartition("key", "part").sortWithinPartitions("key", "part", "node")
+        return plain(df, task, schema, **options)
+
+    monkeypatch.setattr(near_dedup, "map_arrow", counted)
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs, width=5, percent=80).collect()}
+    assert got == dict(zip([i for i, _ in texts], brute.near_groups(texts, 5, 80)))
+    assert held and max(held) <= 45  # two blocks of 10 on average, dealt by hash
