@@ -3,8 +3,9 @@
 A text is cut where the gear hash of the last bytes is smaller than at every
 position around it, so cuts depend only on nearby bytes and an insertion moves
 no cut beyond its neighbourhood.  Chunks are compared by digest over all
-documents; a run of chunks that an earlier document already has is a repeated
-passage, and only its first document keeps it.
+documents; a run of chunks that an earlier document already has is the seed of a
+repeated passage, which goes on as far as the bytes agree on both sides.  Only
+its first document keeps it.
 """
 from __future__ import annotations
 
@@ -18,13 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.llm.arrow import map_arrow
-from graphloom.llm.scratch import materialize
+from graphloom.llm.scratch import materialize, row_keyed
 from graphloom.llm.tokens import chunks, mix64
 
 RADIUS = 16  # a cut is the smallest hash within this many bytes on both sides
 WINDOW = 16  # bytes the gear hash remembers (32 bits, two shifted out per byte)
-MIN_WORDS = 25  # words of whole matching chunks that make a repeated passage
+MIN_WORDS = 25  # words of matching bytes that make a repeated passage
 _PAD = WINDOW + RADIUS
+REACH = 96  # bytes beside a seed that are compared first; where all agree, the whole rest is
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _BYTE = mix64(np.arange(1001, 1257, dtype=np.uint64)) | np.uint64(1)
 
@@ -108,29 +110,106 @@ def chunk_documents(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("row", "doc_id", "text"), run, schema)
 
 
+_ENDS = T.StructType(
+    [T.StructField("run", T.LongType()), T.StructField("left", T.BooleanType()), T.StructField("bytes", T.LongType()), T.StructField("more", T.LongType())]
+)
+
+
+def common_end(mine: bytes, other: bytes, left: bool) -> tuple[int, int]:
+    """(bytes, words started in them) on which two texts agree beside a seed: the
+    ends of what comes before it, or the starts of what comes after it.  In the
+    second case ``mine`` has one more byte in front, the seed's last."""
+    raw = np.frombuffer(mine, np.uint8)
+    a, b = (raw[::-1], np.frombuffer(other, np.uint8)[::-1]) if left else (raw[1:], np.frombuffer(other, np.uint8))
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    n = int(differ[0]) if len(differ) else n
+    cut = len(raw) - n if left else 1 + n  # never inside a UTF-8 character
+    while n and cut < len(raw) and raw[cut] & 0xC0 == 0x80:
+        n, cut = n - 1, cut + 1 if left else cut - 1
+    space = (raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D))
+    starts = ~space & np.concatenate(([True], space[:-1]))
+    return n, int((starts[cut:] if left else starts[1:cut]).sum())
+
+
+def _ends_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        left = b.column("left").to_pylist()
+        ends = [common_end(m.as_py(), o.as_py(), s) for m, o, s in zip(b.column("mine"), b.column("other"), left)]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("run"), b.column("left"), pa.array([e[0] for e in ends], pa.int64()), pa.array([e[1] for e in ends], pa.int64())],
+            names=_ENDS.names,
+        )
+
+
+def _ends(asks: DataFrame, texts: DataFrame, reach: int | None) -> DataFrame:
+    """How far the bytes agree on each asked side of a run, within ``reach`` bytes."""
+    data, at = F.col("text").cast("binary"), F.col("at").cast("int")
+    size = F.octet_length(data)
+    first = F.greatest(at - reach, F.lit(0)) if reach else F.lit(0)
+    most = F.lit(reach) + F.col("own").cast("int") if reach else size
+    piece = F.when(F.col("left"), F.substring(data, first + 1, at - first)).otherwise(F.substring(data, at + 1, most))
+    pieces = asks.join(texts, "row").select("run", "left", "own", piece.alias("piece"))
+    mine = pieces.where("own").select("run", "left", F.col("piece").alias("mine"))
+    other = pieces.where("not own").select("run", "left", F.col("piece").alias("other"))
+    return map_arrow(mine.join(other, ["run", "left"]), _ends_task, _ENDS)
+
+
+def _extended(runs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``runs`` with their ends moved as far as the bytes agree with the first
+    document of their first and of their last chunk."""
+    yes, no = F.lit(True), F.lit(False)
+    sides = [
+        (yes, yes, F.col("row"), F.col("start")),
+        (yes, no, F.col("head.first_row"), F.col("head.at")),
+        (no, yes, F.col("row"), F.col("start") + F.col("length") - 1),
+        (no, no, F.col("tail.first_row"), F.col("tail.at")),
+    ]
+    each = [F.struct(a.alias("left"), b.alias("own"), c.alias("row"), d.alias("at")) for a, b, c, d in sides]
+    asks = runs.select("run", F.explode(F.array(*each)).alias("ask")).select("run", "ask.*")
+    ends = materialize(_ends(asks, texts, REACH), "ends")
+    far = ends.where(F.col("bytes") > REACH - 4)  # a cut character may have been left out
+    if not far.isEmpty():
+        again = _ends(asks.join(far.select("run", "left"), ["run", "left"]), texts, None)
+        ends = ends.where(F.col("bytes") <= REACH - 4).unionByName(again)
+    ends = ends.groupBy("run").agg(
+        F.sum(F.when(F.col("left"), F.col("bytes")).otherwise(0)).alias("before"), F.sum("bytes").alias("added"), F.sum("more").alias("more")
+    )
+    return runs.join(ends, "run").select(
+        "row", "doc_id", (F.col("start") - F.col("before")).alias("start"), (F.col("length") + F.col("added")).alias("length"),
+        "n_chunks", (F.col("n_words") + F.col("more")).alias("n_words"), F.col("head.first_doc_id").alias("first_doc_id"),
+    )
+
+
 def repeated_spans(docs: DataFrame, *, row: str | None = None, min_words: int = MIN_WORDS) -> DataFrame:
     """Passages that an earlier document (smaller id) already has.
 
     One row per passage: ``row``, ``doc_id``, ``start`` and ``length`` in bytes
     of the UTF-8 text, ``n_chunks``, ``n_words``, ``first_doc_id`` (where its
     first chunk occurs first).  A passage is a run of neighbouring chunks, each
-    found in an earlier document, that start at least ``min_words`` words.
+    found in an earlier document, and what agrees byte by byte before and after
+    it there; together they start at least ``min_words`` words.  Passages of one
+    text may overlap by such ends.
     Rows are told apart by place (or by the unique column ``row``), so equal
     rows repeat each other; null ids come first; null, empty and unrepeated
     texts give no row; other columns are ignored.
     """
-    named = docs.select(F.col(row).alias("row") if row else F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    if row:
+        named = docs.select(F.col(row).alias("row"), "doc_id", "text")
+    else:  # the texts are read again for the ends, by the same row ids
+        keyed, by = row_keyed(docs.select("doc_id", "text"), "cdc-input")
+        named = keyed.select((F.col(by[0]) if len(by) == 1 else F.xxhash64(*by)).alias("row"), "doc_id", "text")
     found = materialize(chunk_documents(named), "chunks")
-    place = F.struct("doc_id", "row")
+    place = F.struct("doc_id", "row", "start")
     repeated = (
-        found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where(F.col("first.row") != F.col("last.row"))
-        .select("digest", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_doc_id"))
+        found.groupBy("digest").agg(F.min(place).alias("first"), F.min("row").alias("lo"), F.max("row").alias("hi"))
+        .where("lo <> hi")
+        .select("digest", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("at"))
     )
     later = found.join(repeated, "digest").where(F.col("row") != F.col("first_row"))
     by_seq = Window.partitionBy("row").orderBy("seq")
     runs = later.withColumn("island", F.col("seq") - F.row_number().over(by_seq))
-    return (
+    runs = (
         runs.groupBy("row", "island")
         .agg(
             F.first("doc_id").alias("doc_id"),
@@ -138,11 +217,13 @@ def repeated_spans(docs: DataFrame, *, row: str | None = None, min_words: int =
             (F.max(F.col("start") + F.col("length")) - F.min("start")).cast("long").alias("length"),
             F.count(F.lit(1)).alias("n_chunks"),
             F.sum("words").alias("n_words"),
-            F.min(F.struct("seq", "first_doc_id"))["first_doc_id"].alias("first_doc_id"),
+            F.min(F.struct("seq", "first_row", F.col("at").cast("long").alias("at"), "first_doc_id")).alias("head"),
+            F.max(F.struct("seq", "first_row", (F.col("at") + F.col("length")).cast("long").alias("at"))).alias("tail"),
         )
-        .where(F.col("n_words") >= min_words)
         .drop("island")
     )
+    runs = materialize(runs.withColumn("run", F.monotonically_increasing_id()), "runs")
+    return _extended(runs, named.select("row", "text")).where(F.col("n_words") >= min_words)
 
 
 def dedup_documents(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
@@ -159,8 +240,8 @@ def dedup_documents(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame
         "_llm_cuts",
         F.struct(F.lit(0).cast("long").alias("at"), F.lit("").cast("binary").alias("out")),
         lambda acc, c: F.struct(
-            (c["start"] + c["length"]).alias("at"),
-            F.concat(acc["out"], F.substring(data, (acc["at"] + 1).cast("int"), (c["start"] - acc["at"]).cast("int"))).alias("out"),
+            F.greatest(acc["at"], c["start"] + c["length"]).alias("at"),  # ends of passages may overlap
+            F.concat(acc["out"], F.substring(data, (acc["at"] + 1).cast("int"), F.greatest(c["start"] - acc["at"], F.lit(0)).cast("int"))).alias("out"),
         ),
         lambda acc: F.concat(acc["out"], F.substring(data, (acc["at"] + 1).cast("int"), F.octet_length(data))).cast("string"),
     )

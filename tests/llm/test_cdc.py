@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from graphloom.llm.cdc_dedup import chunk_texts, dedup_documents, gear_hash, repeated_spans
+from graphloom.llm.cdc_dedup import chunk_texts, common_end, dedup_documents, gear_hash, repeated_spans
 
 
 def text(rng, n):
@@ -65,3 +65,39 @@ def test_repeated_passages_are_found_and_cut(spark):
     assert kept[0] == rows[0][1] and kept[300] is None and kept[301] == "" and kept[None] == copy
     assert len(kept[200]) < 120 and len(kept[110]) < len(dict(rows)[110]) - 150
     assert repeated_spans(docs.limit(0)).collect() == []
+
+
+def test_common_end_counts_words_and_keeps_characters():
+    assert common_end(b"xx one two ", b"yy one two ", True) == (9, 2)
+    assert common_end(b". three fo", b" three fi", False) == (8, 2)
+    assert common_end("aé".encode(), "a\u0129".encode(), True) == (0, 0)  # the last byte alone agrees
+    assert common_end("-aé".encode(), "aè".encode(), False) == (1, 0)
+    assert common_end(b"", b"abc", True) == (0, 0) and common_end(b"a", b"", False) == (0, 0)
+
+
+def test_passages_of_short_words_are_found_whole(spark):
+    rng = random.Random(9)
+    numbers = lambda n: " ".join(str(rng.randrange(100)) for _ in range(n))
+    rows, passages = [], []
+    for k in range(60):
+        passages.append(numbers(51))
+        rows += [(k, f"{text(rng, 20)} {passages[k]} {text(rng, 20)}"), (100 + k, f"{text(rng, 20)} {passages[k]} {text(rng, 20)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spans = {r.doc_id: r for r in repeated_spans(docs).collect()}
+    assert set(spans) == {100 + k for k in range(60)}
+    texts = dict(rows)
+    for k in range(60):
+        r = spans[100 + k]
+        piece = texts[100 + k].encode()[r.start : r.start + r.length]
+        assert passages[k].encode() in piece and piece in texts[k].encode() and r.n_words >= 51
+    left = {r.doc_id: r.text for r in dedup_documents(docs).collect()}
+    assert not any(passages[k] in left[100 + k] for k in range(60)) and all(left[k] == texts[k] for k in range(60))
+
+
+def test_ends_beyond_the_first_look(spark):
+    rng = random.Random(3)
+    same = "z" * 3000  # no cut inside: one chunk with different surroundings
+    rows = [(k, f"{text(rng, 20)} {same} é{text(random.Random(1), 40)}é {same} {text(rng, 20)}") for k in range(2)]
+    (r,) = repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert r.doc_id == 1 and r.length > 6200
+    assert rows[1][1].encode()[r.start : r.start + r.length] in rows[0][1].encode()
