@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm.cdc_dedup import repeated_spans
+from graphloom.llm.golay_simhash import simhash_groups
 from graphloom.llm.lm_scoring import score_documents
 from graphloom.llm.near_dedup import near_duplicates
 from graphloom.llm.norm_topk import quantized, top_k
 from graphloom.llm.packing import pack_documents
 from graphloom.llm.pii_bootstrap import extract, found_spans, numbered_spans, span_text
 from graphloom.llm.poisson_mixing import mix_sources
+from graphloom.llm.prefix_trie import rebuilt_trie
 from graphloom.llm import pu_toxicity
 from graphloom.llm.quality_ledger import BASE, apply_policy, ledger
 from graphloom.llm.sharding import shard_rows
+from graphloom.llm.structure_repair import damaged, repair_conversations
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -106,6 +109,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(read(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_mix_sources": op2_mix_sources,
@@ -117,4 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_simhash": op11_simhash,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_structure_repair": op13_structure_repair,
 }
