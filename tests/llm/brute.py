@@ -225,6 +225,9 @@ def cheapest_edits(rows):
                 way(1 + 5 * cut, "R", best(i + 1, turn[state], 0))
         return min(ways, default=None)
 
+    for i in range(len(rows), 0, -50):  # from the end, so that no call goes deep
+        for state in range(4):
+            best(i, state, 0)
     return best(0, 0, 0)
 
 

@@ -1,6 +1,5 @@
 """Conversation repair of op13 against an exhaustive search."""
 import random
-import sys
 
 import numpy as np
 import pytest
@@ -49,7 +48,6 @@ def test_undamaged_rows(spark):
 
 
 def test_long_conversation(spark):
-    sys.setrecursionlimit(20_000)
     rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"Turn {t}." if t % 7 else "cut") for t in range(1500)]
     assert result(sr.repair_conversations(sr.damaged(spark.createDataFrame(rows, SCHEMA)))) == brute.repair(rows)
 
