@@ -78,7 +78,7 @@ def chunk_texts(texts: pa.Array) -> tuple[np.ndarray, ...]:
     prior[np.cumsum(sizes)[:-1][np.cumsum(sizes)[:-1] < total]] = True
     starts = (~space) & prior
     at = np.arange(total) - np.repeat(begin, length)
-    weight = mix64(np.arange(int(length.max(initial=0)) + 1, dtype=np.uint64))
+    weight = mix64(np.arange(1, int(length.max(initial=0)) + 1, dtype=np.uint64)) | np.uint64(1)
     parts = _BYTE[raw] * weight[at]
     digest = np.add.reduceat(parts, begin) if len(begin) else np.empty(0, np.uint64)
     digest = mix64(digest + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -143,30 +143,31 @@ def _ends_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ends(asks: DataFrame, texts: DataFrame, reach: int | None) -> DataFrame:
-    """How far the bytes agree on each asked side of a run, within ``reach`` bytes."""
+    """How far the bytes agree on each asked side of a run, within ``reach`` bytes;
+    runs whose own bytes differ from the first document's (equal digests of
+    different chunks) are left out."""
     data, at = F.col("text").cast("binary"), F.col("at").cast("int")
-    size = F.octet_length(data)
+    size, length = F.octet_length(data), F.col("length").cast("int")
     first = F.greatest(at - reach, F.lit(0)) if reach else F.lit(0)
+    after = at + length
     most = F.lit(reach) + F.col("own").cast("int") if reach else size
-    piece = F.when(F.col("left"), F.substring(data, first + 1, at - first)).otherwise(F.substring(data, at + 1, most))
-    pieces = asks.join(texts, "row").select("run", "left", "own", piece.alias("piece"))
-    mine = pieces.where("own").select("run", "left", F.col("piece").alias("mine"))
-    other = pieces.where("not own").select("run", "left", F.col("piece").alias("other"))
-    return map_arrow(mine.join(other, ["run", "left"]), _ends_task, _ENDS)
+    piece = F.when(F.col("left"), F.substring(data, first + 1, at - first)).otherwise(
+        F.substring(data, after - F.col("own").cast("int") + 1, most)  # with the seed's last byte in front
+    )
+    seed = F.md5(F.substring(data, at + 1, length))
+    pieces = asks.join(texts, "row").select("run", "left", "own", piece.alias("piece"), seed.alias("seed"))
+    mine = pieces.where("own").select("run", "left", "seed", F.col("piece").alias("mine"))
+    other = pieces.where("not own").select("run", "left", "seed", F.col("piece").alias("other"))
+    return map_arrow(mine.join(other, ["run", "left", "seed"]).drop("seed"), _ends_task, _ENDS)
 
 
 def _extended(runs: DataFrame, texts: DataFrame) -> DataFrame:
     """``runs`` with their ends moved as far as the bytes agree with the first
-    document of their first and of their last chunk."""
+    document; runs that become one and the same passage are one row."""
     yes, no = F.lit(True), F.lit(False)
-    sides = [
-        (yes, yes, F.col("row"), F.col("start")),
-        (yes, no, F.col("head.first_row"), F.col("head.at")),
-        (no, yes, F.col("row"), F.col("start") + F.col("length") - 1),
-        (no, no, F.col("tail.first_row"), F.col("tail.at")),
-    ]
-    each = [F.struct(a.alias("left"), b.alias("own"), c.alias("row"), d.alias("at")) for a, b, c, d in sides]
-    asks = runs.select("run", F.explode(F.array(*each)).alias("ask")).select("run", "ask.*")
+    places = [(yes, F.col("row"), F.col("start")), (no, F.col("first_row"), F.col("at"))]
+    each = [F.struct(left.alias("left"), own.alias("own"), row.alias("row"), at.alias("at")) for left in (yes, no) for own, row, at in places]
+    asks = runs.select("run", "length", F.explode(F.array(*each)).alias("ask")).select("run", "length", "ask.*")
     ends = materialize(_ends(asks, texts, REACH), "ends")
     far = ends.where(F.col("bytes") > REACH - 4)  # a cut character may have been left out
     if not far.isEmpty():
@@ -175,10 +176,15 @@ def _extended(runs: DataFrame, texts: DataFrame) -> DataFrame:
     ends = ends.groupBy("run").agg(
         F.sum(F.when(F.col("left"), F.col("bytes")).otherwise(0)).alias("before"), F.sum("bytes").alias("added"), F.sum("more").alias("more")
     )
-    return runs.join(ends, "run").select(
+    grown = runs.join(ends, "run").select(
         "row", "doc_id", (F.col("start") - F.col("before")).alias("start"), (F.col("length") + F.col("added")).alias("length"),
-        "n_chunks", (F.col("n_words") + F.col("more")).alias("n_words"), F.col("head.first_doc_id").alias("first_doc_id"),
+        "n_chunks", (F.col("n_words") + F.col("more")).alias("n_words"), F.struct("first_doc_id", "first_row").alias("first"),
     )
+    # seeds of one passage, parted by a chunk that occurs elsewhere first, meet again
+    one = grown.groupBy("row", "start", "length").agg(
+        F.first("doc_id").alias("doc_id"), F.sum("n_chunks").alias("n_chunks"), F.max("n_words").alias("n_words"), F.min("first").alias("first")
+    )
+    return one.withColumn("first_doc_id", F.col("first.first_doc_id")).drop("first")
 
 
 def repeated_spans(docs: DataFrame, *, row: str | None = None, min_words: int = MIN_WORDS) -> DataFrame:
@@ -186,10 +192,10 @@ def repeated_spans(docs: DataFrame, *, row: str | None = None, min_words: int =
 
     One row per passage: ``row``, ``doc_id``, ``start`` and ``length`` in bytes
     of the UTF-8 text, ``n_chunks``, ``n_words``, ``first_doc_id`` (where its
-    first chunk occurs first).  A passage is a run of neighbouring chunks, each
-    found in an earlier document, and what agrees byte by byte before and after
-    it there; together they start at least ``min_words`` words.  Passages of one
-    text may overlap by such ends.
+    first chunk occurs first).  A passage is a run of neighbouring chunks that
+    stand in the same order in one earlier document, and what agrees byte by byte
+    before and after it there: that document has the whole passage, byte for byte.
+    It starts at least ``min_words`` words.  Passages of one text may overlap.
     Rows are told apart by place (or by the unique column ``row``), so equal
     rows repeat each other; null ids come first; null, empty and unrepeated
     texts give no row; other columns are ignored.
@@ -200,27 +206,31 @@ def repeated_spans(docs: DataFrame, *, row: str | None = None, min_words: int =
         keyed, by = row_keyed(docs.select("doc_id", "text"), "cdc-input")
         named = keyed.select((F.col(by[0]) if len(by) == 1 else F.xxhash64(*by)).alias("row"), "doc_id", "text")
     found = materialize(chunk_documents(named), "chunks")
-    place = F.struct("doc_id", "row", "start")
+    # digests of several rows first, by two numbers each (a hash aggregate); only
+    # their chunks are looked at further
+    several = found.groupBy("digest").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo <> hi").select("digest")
+    shared = materialize(found.join(several, "digest"), "shared-chunks")
     repeated = (
-        found.groupBy("digest").agg(F.min(place).alias("first"), F.min("row").alias("lo"), F.max("row").alias("hi"))
-        .where("lo <> hi")
+        shared.groupBy("digest").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"))
         .select("digest", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("at"))
     )
-    later = found.join(repeated, "digest").where(F.col("row") != F.col("first_row"))
-    by_seq = Window.partitionBy("row").orderBy("seq")
-    runs = later.withColumn("island", F.col("seq") - F.row_number().over(by_seq))
+    later = shared.join(repeated, "digest").where(F.col("row") != F.col("first_row"))
+    # a run goes on while its chunks follow each other here and in one first document
+    shift = F.col("start") - F.col("at")
+    by_seq = Window.partitionBy("row", "first_row", "shift").orderBy("seq")
+    runs = later.withColumn("shift", shift).withColumn("island", F.col("seq") - F.row_number().over(by_seq))
     runs = (
-        runs.groupBy("row", "island")
+        runs.groupBy("row", "first_row", "shift", "island")
         .agg(
             F.first("doc_id").alias("doc_id"),
+            F.first("first_doc_id").alias("first_doc_id"),
             F.min("start").cast("long").alias("start"),
-            (F.max(F.col("start") + F.col("length")) - F.min("start")).cast("long").alias("length"),
+            F.sum("length").cast("long").alias("length"),
             F.count(F.lit(1)).alias("n_chunks"),
             F.sum("words").alias("n_words"),
-            F.min(F.struct("seq", "first_row", F.col("at").cast("long").alias("at"), "first_doc_id")).alias("head"),
-            F.max(F.struct("seq", "first_row", (F.col("at") + F.col("length")).cast("long").alias("at"))).alias("tail"),
         )
-        .drop("island")
+        .withColumn("at", F.col("start") - F.col("shift"))
+        .drop("island", "shift")
     )
     runs = materialize(runs.withColumn("run", F.monotonically_increasing_id()), "runs")
     return _extended(runs, named.select("row", "text")).where(F.col("n_words") >= min_words)
@@ -229,8 +239,9 @@ def repeated_spans(docs: DataFrame, *, row: str | None = None, min_words: int =
 def dedup_documents(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with every repeated passage cut out of all but its first document.
 
-    Rows without a repeated passage are unchanged.  An input column named
-    ``row`` is kept apart and returned.
+    Rows without a repeated passage, null and empty texts are unchanged; a row equal
+    to an earlier one is left empty; an empty frame gives an empty frame.  An input
+    column named ``row`` is kept apart and returned.
     """
     base = materialize(docs.withColumn("_llm_row", F.monotonically_increasing_id()), "dedup-input")
     spans = repeated_spans(base.select("_llm_row", "doc_id", "text"), row="_llm_row", min_words=min_words)

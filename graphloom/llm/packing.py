@@ -28,8 +28,8 @@ END_ID = 1
 BLOCK_WINDOWS = 64  # windows partitioned together
 MAX_PIECE = 256  # remainders are cut into pieces of at most this many ids
 SLACK = 8  # ids per window a block is planned below capacity
-WORD_CACHE = 400_000  # words (and as many word parts) whose ids a Python worker remembers
-CHUNK_BYTES = 8 << 20  # text a task tokenizes at once
+CACHE_BYTES = 12 << 20  # what a task remembers of words and their ids, and as much of word parts
+CHUNK_BYTES = 1 << 20  # text a task tokenizes at once
 _SEQUENCE_SHIFT = 40  # sequence_id = partition << 40 | number in the partition
 
 
@@ -148,8 +148,19 @@ class WordTokenizer:
         table |= {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in table)}
         self.alphabet = {b: chr(c) for b, c in table.items()}
         self.numbers = list(range(self.whole.get_vocab_size()))  # one shared object per id
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the memory of words; a worker outlives its task."""
         self.parts: dict[str, tuple[int, ...]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.room = [CACHE_BYTES, CACHE_BYTES]
+
+    def _keep(self, kind: int, key: str, ids: tuple[int, ...]) -> None:
+        size = 230 + 2 * len(key) + 8 * len(ids)  # entry, text and tuple, about
+        if self.room[kind] >= size:
+            self.room[kind] -= size
+            (self.words, self.parts)[kind][key] = ids
 
     def part(self, s: str) -> tuple[int, ...]:
         ids = self.parts.get(s)
@@ -157,8 +168,7 @@ class WordTokenizer:
             mapped = s if s.isascii() else "".join(map(self.alphabet.__getitem__, s.encode()))
             numbers = self.numbers
             ids = tuple([numbers[t.id] for t in self.model.tokenize(mapped)])
-            if len(self.parts) < WORD_CACHE:
-                self.parts[s] = ids
+            self._keep(1, s, ids)
         return ids
 
     def word(self, w: str) -> tuple[int, ...]:
@@ -168,8 +178,7 @@ class WordTokenizer:
             ids = tuple(self.whole.encode(w, add_special_tokens=False).ids)
         else:
             ids = tuple([i for p in self.split(w.lower()) for i in self.part(p)])
-        if len(self.words) < WORD_CACHE:
-            self.words[w] = ids
+        self._keep(0, w, ids)
         return ids
 
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,19 +236,22 @@ def _packed(path: str, key: str, text: str, with_ids: bool, end_id: int, limits:
             return pa.RecordBatch.from_pydict(cols)
 
         kind = None
-        for batch in chunks(batches, text, CHUNK_BYTES):
-            kind = batch.column(key).type
-            ids, bounds = tokenizer(batch.column(text).fill_null(""), end_id)
-            pieces: list[tuple] = []
-            for k, a, b in zip(batch.column(key).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
-                pieces.extend(packer.add(k, ids[a:b]))
-            # pieces held over must not keep the whole chunk's ids alive
-            packer.items = [(k, s, x.copy(), n) for k, s, x, n in packer.items]
-            if pieces:
-                yield out(pieces, kind)
-        last = list(packer.flush())
-        if last:
-            yield out(last, kind)
+        try:
+            for batch in chunks(batches, text, CHUNK_BYTES):
+                kind = batch.column(key).type
+                ids, bounds = tokenizer(batch.column(text).fill_null(""), end_id)
+                pieces: list[tuple] = []
+                for k, a, b in zip(batch.column(key).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                    pieces.extend(packer.add(k, ids[a:b]))
+                # pieces held over must not keep the whole chunk's ids alive
+                packer.items = [(k, s, x.copy(), n) for k, s, x, n in packer.items]
+                if pieces:
+                    yield out(pieces, kind)
+            last = list(packer.flush())
+            if last:
+                yield out(last, kind)
+        finally:
+            tokenizer.forget()
 
     return run
 

@@ -7,6 +7,9 @@ later passes read only the columns they need.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +17,24 @@ from pyspark.sql import functions as F
 
 from graphloom.session import checkpoint_dir, on_release
 
-_TABLES: dict[str, list[str]] = {}
-_CATALOG: dict[str, list[str]] = {}
+_OWNER: ContextVar[str] = ContextVar("owner", default="")
+_TABLES: dict[tuple[str, str], list[str]] = {}  # (application, owner) -> paths
+_CATALOG: dict[tuple[str, str], list[str]] = {}
+
+
+@contextmanager
+def owned(owner: str) -> Iterator[str]:
+    """Tables written inside belong to ``owner`` (to the owner around, if there is
+    one), whom :func:`release` can delete them for without touching any other's."""
+    token = _OWNER.set(_OWNER.get() or owner)
+    try:
+        yield _OWNER.get()
+    finally:
+        _OWNER.reset(token)
+
+
+def _mine(spark: SparkSession) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, _OWNER.get()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -23,7 +42,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _TABLES.setdefault(_mine(spark), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -34,8 +53,8 @@ def table(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     at = f"llm-{name}-{uuid.uuid4().hex}"
     path, table_name = f"{checkpoint_dir(spark)}/{at}", at.replace("-", "_")
     df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(table_name)
-    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
-    _CATALOG.setdefault(spark.sparkContext.applicationId, []).append(table_name)
+    _TABLES.setdefault(_mine(spark), []).append(path)
+    _CATALOG.setdefault(_mine(spark), []).append(table_name)
     return spark.table(table_name)
 
 
@@ -57,23 +76,26 @@ def row_keyed(df: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
         return materialize(df.withColumn(place, F.monotonically_increasing_id()), name), [place]
 
 
-def release(spark: SparkSession, keep: str | None = None) -> int:
-    """Delete the tables this application materialised, but those whose name
-    starts with ``keep``; results that still read them must have been written or
-    collected before.  Returns how many were deleted."""
+def release(spark: SparkSession, keep: str | None = None, owner: str | None = None) -> int:
+    """Delete the tables this application materialised (those of ``owner``, if
+    given), but those whose name starts with ``keep``; results that still read them
+    must have been written or collected before.  Returns how many were deleted."""
     app = spark.sparkContext.applicationId
-    for name in _CATALOG.pop(app, []):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    paths = _TABLES.pop(app, [])
-    kept = [p for p in paths if keep and p.rsplit("/", 1)[1].startswith(f"llm-{keep}")]
-    if kept:
-        _TABLES[app] = kept
-    gone = [p for p in paths if p not in kept]
     jvm = spark._jvm
-    for p in gone:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return len(gone)
+    gone = 0
+    for key in [k for k in {*_TABLES, *_CATALOG} if k[0] == app and owner in (None, k[1])]:
+        for name in _CATALOG.pop(key, []):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        paths = _TABLES.pop(key, [])
+        kept = [p for p in paths if keep and p.rsplit("/", 1)[1].startswith(f"llm-{keep}")]
+        if kept:
+            _TABLES[key] = kept
+        for p in paths:
+            if p not in kept:
+                path = jvm.org.apache.hadoop.fs.Path(p)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+                gone += 1
+    return gone
 
 
 on_release(release)

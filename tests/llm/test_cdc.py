@@ -1,9 +1,12 @@
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 
 from graphloom.llm.cdc_dedup import chunk_texts, common_end, dedup_documents, gear_hash, repeated_spans
+from graphloom.llm.queries import QUERIES
+from tests.conftest import SMALL
 
 
 def text(rng, n):
@@ -101,3 +104,65 @@ def test_ends_beyond_the_first_look(spark):
     (r,) = repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert r.doc_id == 1 and r.length > 6200
     assert rows[1][1].encode()[r.start : r.start + r.length] in rows[0][1].encode()
+
+
+def test_first_byte_is_part_of_the_digest():
+    rng = random.Random(2)
+    for _ in range(100):
+        t = text(rng, 30)
+        a, b = (chunk_texts(pa.array([c + t]))[-1][0] for c in "AZ")
+        assert a != b
+
+
+def test_texts_that_differ_in_their_first_byte(spark):
+    rng = random.Random(6)
+    rows = []
+    for k in range(20):
+        t = text(rng, 40)
+        rows += [(2 * k, "A" + t), (2 * k + 1, "Z" + t)]
+    for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        piece = dict(rows)[r.doc_id].encode()[r.start : r.start + r.length]
+        assert r.start == 1 and piece in dict(rows)[r.first_doc_id].encode()
+
+
+def test_pieces_of_two_documents_are_no_passage(spark):
+    """P (doc 1) and Q (doc 2), 15 words each, side by side in doc 3."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(30):
+        p, q = text(rng, 15), text(rng, 15)
+        rows += [(10 * k + 1, p), (10 * k + 2, q), (10 * k + 3, f"{p} {q}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert repeated_spans(docs).collect() == []
+    assert sorted(map(tuple, dedup_documents(docs).collect())) == sorted(rows)
+
+
+def test_a_common_chunk_inside_does_not_split_a_passage(spark):
+    rng = random.Random(12)
+    stock = text(rng, 9)
+    passage = f"{text(rng, 20)} {stock} {text(rng, 20)}"
+    rows = [(1, f"{text(rng, 10)} {stock} {text(rng, 10)}"), (2, passage), (3, f"{text(rng, 10)} {passage} {text(rng, 9)}")]
+    spans = [r for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id == 3]
+    assert len(spans) == 1 and spans[0].first_doc_id == 2 and spans[0].n_words >= 49
+
+
+def test_whole_small_table_against_brute_force(spark):
+    """Every passage stands in its first document; shared passages of 51 words are found."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    texts = {i: (t or "") for i, t in rows}
+    covered = {}
+    for r in QUERIES["op10_substring_dedup"](spark, SMALL).collect():
+        raw = texts[r.doc_id].encode()
+        assert raw[r.start : r.start + r.length] in texts[r.first_doc_id].encode() and r.first_doc_id < r.doc_id
+        assert len(raw[r.start : r.start + r.length].split()) >= r.n_words >= 25
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.length))
+    first, missed, shared = {}, 0, 0
+    for i in sorted(texts):
+        raw = texts[i].encode()
+        words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+        for a in range(len(words) - 50):
+            window = raw[words[a][0] : words[a + 50][1]]
+            if first.setdefault(window, i) != i:
+                shared += 1
+                missed += not covered.get(i, set()).issuperset(range(words[a][0], words[a + 50][1]))
+    assert shared > 0 and missed <= 0.01 * shared
