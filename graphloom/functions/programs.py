@@ -1,15 +1,15 @@
-"""The three vertex programs, written as JVM-side Column expressions.
+"""The vertex programs, written as JVM-side Column expressions.
 
-All messages go from ``src`` to ``dst`` of an out-edge.  Vertex states only
-ever improve (max grows, cost shrinks), so ``update`` is a lattice join and a
-vertex is active in the next round exactly when its state changed.
+Where states only ever improve (max grows, cost shrinks), ``update`` is a lattice
+join and a vertex is active in the next round exactly when its state changed;
+sums are active where a message arrived.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from graphloom.operators.pregel import VertexProgram
+from graphloom.operators.pregel import VertexProgram, messages
 
 
 def spread_max() -> VertexProgram:
@@ -38,6 +38,41 @@ def spread_larger() -> VertexProgram:
     )
 
 
+def spread_larger_both() -> VertexProgram:
+    """As :func:`spread_larger` over undirected edges: an edge sends the larger of
+    its ends' values to the other end, whichever that is."""
+    return VertexProgram(
+        send=None,
+        merge=F.max,
+        update=lambda state, msg: F.greatest(state, msg),
+        send_all=lambda src, dst: messages(
+            to_dst=F.when(dst.isNull() | (src > dst), src), to_src=F.when(src.isNull() | (dst > src), dst)
+        ),
+    )
+
+
+def sum_both_ends(weight_col: str = "weight") -> VertexProgram:
+    """Every edge sends its weight to both of its ends; messages are added up."""
+    return VertexProgram(
+        send=None,
+        merge=F.sum,
+        update=lambda state, msg: state + msg,
+        send_all=lambda src, dst: messages(to_src=F.col(weight_col), to_dst=F.col(weight_col)),
+        active_on="received",
+    )
+
+
+def add_walks() -> VertexProgram:
+    """State ``struct(total, fresh)``: walks so far, and those that arrived in the last
+    round, which are sent on."""
+    return VertexProgram(
+        send=lambda state: state["fresh"],
+        merge=F.sum,
+        update=lambda state, msg: F.struct((state["total"] + msg).alias("total"), msg.alias("fresh")),
+        active_on="received",
+    )
+
+
 def relax_min(weight_col: str = "weight") -> VertexProgram:
     """Shortest cost: send cost + weight, keep the minimum (strict improvement)."""
     return VertexProgram(

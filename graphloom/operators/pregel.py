@@ -24,14 +24,18 @@ Each superstep is then
 3. **merge** -- ``groupBy(dst).agg(merge)``: the only shuffle of the round,
    after partial aggregation, so a vertex receiving a third of all messages
    is already combined map-side.
-4. **update** -- the bucketed state joined with the merged messages; the
+4. **update** -- the merged messages meet the receivers' current state; the
    merge output is hash-partitioned into the same ``P`` partitions, so the
    state does not move either.
 
-The new state is written as the next bucketed table, its counters observed
-during that same write; it survives the loss of any executor.  ``fuse`` runs
-several supersteps in one query, which saves state writes but computes each
-earlier superstep once per branch that reads it.
+The state is log-structured: a base table with all vertices and a few deltas
+with the rows that changed since, all bucketed alike, the newest last.  A round
+writes the rows that changed (and takes over deltas that are not larger, so
+their number stays small); where that would come near the number of vertices, or
+where the vertices are few anyway, it writes a new base instead.  Every table survives the loss of any executor, and
+its counters are observed during the write.  ``fuse`` runs several supersteps in
+one query, which saves writes but computes each earlier superstep once per
+branch that reads it; fused rounds write bases.
 """
 from __future__ import annotations
 
@@ -40,6 +44,7 @@ import math
 import time
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, Row
@@ -50,8 +55,13 @@ from graphloom.graph import PropertyGraph
 from graphloom.operators.joins import not_null
 from graphloom.session import checkpoint_dir, on_release, shuffle_partitions
 
+DIRECTIONS = ("out", "in", "either")
+
 PUSH_IDS = 200  # a frontier of at most this many vertices is pushed into the edge scan
 PUSH_EDGES = 1_000_000  # ... of an edge table of at least this many edges
+MAX_DELTAS = 4  # delta tables a superstep reads beside the base
+BASE_ROWS = 100_000  # a base of at most this many vertices is written anew rather than read with deltas
+BASE_SHARE = 2  # rows to write that are more than 1 / this of all vertices make a new base
 
 _log = logging.getLogger(__name__)
 _OPEN: list["_StateStore"] = []  # runs whose final state has not been released
@@ -71,19 +81,36 @@ on_release(release_states)
 class VertexProgram:
     """The three user functions of Pregel, as Column builders (no Python UDF).
 
-    * ``send(src_state)`` -> message column, evaluated per out-edge of an
-      active vertex over columns ``src``, ``dst``, the edge properties and
-      ``src_state``; NULL = no message.
+    * ``send(state)`` -> message column, evaluated per edge of an active vertex
+      over columns ``src``, ``dst``, the edge properties and the active vertex's
+      state; the message goes to the other end.  NULL = no message.
     * ``merge(msg)`` -> aggregate column; must be commutative and associative.
     * ``update(state, msg)`` -> new state; only called where a message arrived.
     * ``send_triplet(src_state, dst_state)``, if given, replaces ``send`` and may
-      read the destination's state: its edges then meet the state once more.
+      read both ends' states: its edges then meet the state once more.
+    * ``send_all(src_state, dst_state)``, if given, replaces both: an array of any
+      number of messages to either end (see :func:`messages`).
+    * ``active_on``: which vertices send in the next round, those whose state
+      ``"changed"`` or all that ``"received"`` a message (for sums and counts).
     """
 
-    send: Callable[[Column], Column]
+    send: Callable[[Column], Column] | None
     merge: Callable[[Column], Column]
     update: Callable[[Column, Column], Column]
     send_triplet: Callable[[Column, Column], Column] | None = None
+    send_all: Callable[[Column, Column], Column] | None = None
+    active_on: str = "changed"
+
+    def __post_init__(self) -> None:
+        if self.active_on not in ("changed", "received"):
+            raise ValueError("active_on must be 'changed' or 'received'")
+
+
+def messages(*, to_src: Column | None = None, to_dst: Column | None = None) -> Column:
+    """Messages of one edge for ``send_all``; a NULL message is not sent."""
+    sent = [(F.col("src"), to_src), (F.col("dst"), to_dst)]
+    made = F.array(*[F.struct(target.alias("id"), msg.alias("msg")) for target, msg in sent if msg is not None])
+    return F.filter(made, lambda m: m["msg"].isNotNull())
 
 
 _TRACE_SCHEMA = T.StructType(
@@ -105,6 +132,8 @@ class PregelResult:
     converged: bool
     trace: DataFrame  # superstep, active, messages, receivers, changed, seconds
     edge_stats: Row | None = None
+    edges: DataFrame | None = None  # the written edges, with ``keep_edges``
+    settled: DataFrame | None = None  # id, state, since: the superstep of its last change
     _store: "_StateStore | None" = field(default=None, repr=False)
 
     def release(self) -> None:
@@ -117,43 +146,52 @@ class PregelResult:
 
 @dataclass
 class _Edges:
-    cold: DataFrame  # bucketed on src into P buckets
+    key: str  # "src" or "dst": the end whose vertex is active
+    cold: DataFrame  # bucketed on the key into P buckets
     hot: DataFrame | None  # hubs' edges, read by file splits
     hubs: list  # at most P ids
     stats: Row
 
+    @property
+    def other(self) -> str:
+        return "dst" if self.key == "src" else "src"
+
 
 def _edge_stats(e: DataFrame, min_columns: tuple[str, ...]) -> tuple[Row, DataFrame]:
-    """Edge count, largest out-degree and, for each column in ``min_columns``,
-    its minimum and NULL count -- one job; plus the out-degree per source.
-    Only used when endpoints are not filled (the vertex table gives them
-    otherwise)."""
-    per_src = [F.count(F.lit(1)).alias("_deg")]
-    per_src += [F.min(c).alias(f"min_{c}") for c in min_columns]
-    per_src += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in min_columns]
-    deg = e.groupBy("src").agg(*per_src)
-    totals = [F.sum("_deg").alias("edges"), F.max("_deg").alias("max_out_degree")]
-    totals += [F.min(f"min_{c}").alias(f"min_{c}") for c in min_columns]
-    totals += [F.sum(f"nulls_{c}").alias(f"nulls_{c}") for c in min_columns]
-    return deg.agg(*totals).first(), deg.select("src", "_deg")
-
-
-def _split_hubs(e: DataFrame, stats: Row, degrees: DataFrame, store: "_StateStore") -> _Edges:
-    """Set hubs apart in the one written edge table.
-
-    A source with more edges than an average partition is a hub: at most
+    """Edge count, largest degrees and, for each column in ``min_columns``, its
+    minimum and NULL count; plus the degrees per id.  Only used when endpoints are
+    not filled (the vertex table gives them otherwise)."""
+    per = _vertex_table(e.select(F.col("src").alias("id")).limit(0), e, min_columns)
+    return per.agg(*_stat_columns(min_columns)).first(), per.select("id", "_deg", "_indeg")
+
+
+def _stat_columns(min_columns: tuple[str, ...]) -> list[Column]:
+    """The statistics of all edges from the vertex table's columns."""
+    return [
+        F.sum("_deg").alias("edges"),
+        F.max("_deg").alias("max_out_degree"),
+        F.max("_indeg").alias("max_in_degree"),
+        *[F.min(f"_min_{c}").alias(f"min_{c}") for c in min_columns],
+        *[F.sum(f"_nulls_{c}").alias(f"nulls_{c}") for c in min_columns],
+    ]
+
+
+def _split_hubs(e: DataFrame, path: str, key: str, stats: Row, degrees: DataFrame, parts: int) -> _Edges:
+    """Set hubs apart in one written edge table, bucketed on ``key``.
+
+    A vertex with more edges than an average partition is a hub: at most
     ``parts`` of them exist, so their ids may be literals of a filter.  The
     other edges are read by bucket, co-partitioned with the state; the hubs'
     edges are read from the same files by file split, so their bucket is not
     one task's work.
     """
-    n_edges, parts = int(stats["edges"] or 0), store.parts
-    threshold = max(1, math.ceil(n_edges / parts))
-    if parts <= 1 or int(stats["max_out_degree"] or 0) <= threshold:
-        return _Edges(e, None, [], stats)
-    hubs = sorted(r["src"] for r in degrees.where(F.col("_deg") > threshold).select("src").collect())
-    files = store.spark.read.schema(e.schema).parquet(store.path("edges"))
-    return _Edges(e.where(~F.col("src").isin(hubs)), files.where(F.col("src").isin(hubs)), hubs, stats)
+    threshold = max(1, math.ceil(int(stats["edges"] or 0) / parts))
+    degree, most = ("_deg", "max_out_degree") if key == "src" else ("_indeg", "max_in_degree")
+    if parts <= 1 or int(stats[most] or 0) <= threshold:
+        return _Edges(key, e, None, [], stats)
+    hubs = sorted(r["id"] for r in degrees.where(F.col(degree) > threshold).select("id").collect())
+    files = e.sparkSession.read.schema(e.schema).parquet(path)
+    return _Edges(key, e.where(~F.col(key).isin(hubs)), files.where(F.col(key).isin(hubs)), hubs, stats)
 
 
 def _vertex_table(vertices: DataFrame, e: DataFrame | None, min_columns: tuple[str, ...] = ()) -> DataFrame:
@@ -183,7 +221,7 @@ def _vertex_table(vertices: DataFrame, e: DataFrame | None, min_columns: tuple[s
     rows = vertices.where(F.col("id").isNotNull()).select("id", *[c.alias(n) for n, c in mine.items()])
     if e is None:
         return rows.groupBy("id").agg(*pick).select("id", *read) if pick else rows.distinct()
-    counted = [F.sum("_out").alias("_deg")]
+    counted = [F.sum("_out").alias("_deg"), F.sum("_in").alias("_indeg")]
     counted += [F.min(f"_min_{c}").alias(f"_min_{c}") for c in min_columns]
     counted += [F.sum(f"_nulls_{c}").alias(f"_nulls_{c}") for c in min_columns]
     zero = F.lit(0).cast("long")
@@ -191,12 +229,14 @@ def _vertex_table(vertices: DataFrame, e: DataFrame | None, min_columns: tuple[s
         F.struct(
             F.col("src").alias("id"),
             F.lit(1).cast("long").alias("_out"),
+            zero.alias("_in"),
             *[F.col(c).alias(f"_min_{c}") for c in min_columns],
             *[F.col(c).isNull().cast("long").alias(f"_nulls_{c}") for c in min_columns],
         ),
         F.struct(
             F.col("dst").alias("id"),
             zero.alias("_out"),
+            F.lit(1).cast("long").alias("_in"),
             *[F.lit(None).cast(e.schema[c].dataType).alias(f"_min_{c}") for c in min_columns],
             *[zero.alias(f"_nulls_{c}") for c in min_columns],
         ),
@@ -205,7 +245,8 @@ def _vertex_table(vertices: DataFrame, e: DataFrame | None, min_columns: tuple[s
     both = e.select(F.explode(ends).alias("_end")).select("_end.*")
     out = rows.unionByName(both, allowMissingColumns=True).groupBy("id").agg(*pick, *counted)
     nulls = [F.coalesce(f"_nulls_{c}", zero).alias(f"_nulls_{c}") for c in min_columns]
-    return out.select("id", *read, F.coalesce("_deg", zero).alias("_deg"), *[f"_min_{c}" for c in min_columns], *nulls)
+    degrees = [F.coalesce(c, zero).alias(c) for c in ("_deg", "_indeg")]
+    return out.select("id", *read, *degrees, *[f"_min_{c}" for c in min_columns], *nulls)
 
 
 class _StateStore:
@@ -238,13 +279,17 @@ class _StateStore:
         *metrics: Column,
         bucket: str | None = None,
         columns: list[str] | None = None,
+        keep: Column | None = None,
     ) -> tuple[DataFrame, dict]:
         """Write ``df`` as table ``key`` (bucketed on ``bucket`` into ``parts``
         buckets when given; ``df`` should then already be hash-partitioned on
         it) and return the table read back plus the observed metrics.  The
-        metrics see all of ``df``; only ``columns`` (default: all) are kept."""
+        metrics see all of ``df``; only ``columns`` (default: all) of the rows
+        where ``keep`` holds (default: all) are written."""
         obs = Observation(f"pregel-{self.tag}-{key}") if metrics else None
         out = df.observe(obs, *metrics) if obs is not None else df
+        if keep is not None:
+            out = out.where(keep)
         if columns is not None:
             out = out.select(*columns)
         writer = out.write.format("parquet").option("path", self.path(key))
@@ -255,10 +300,10 @@ class _StateStore:
         return self.spark.table(self.name(key)), (obs.get if obs is not None else {})
 
     def write(
-        self, df: DataFrame, superstep: int, *metrics: Column, columns: list[str] | None = None
+        self, df: DataFrame, superstep: int, *metrics: Column, columns: list[str] | None = None, keep: Column | None = None
     ) -> tuple[DataFrame, dict]:
         """Write one superstep's state, bucketed on id."""
-        return self.write_table(df, self.step(superstep), *metrics, bucket="id", columns=columns)
+        return self.write_table(df, self.step(superstep), *metrics, bucket="id", columns=columns, keep=keep)
 
     @staticmethod
     def step(superstep: int) -> str:
@@ -287,63 +332,202 @@ class _StateStore:
             _OPEN.remove(self)
 
 
-def _superstep(
-    v: DataFrame, edges: _Edges, program: VertexProgram, carry: list[str], only: list | None = None
-) -> DataFrame:
-    """One superstep over state ``v`` (id, state, changed, *carry) ->
-    (id, state, changed, n, *carry); ``n`` = messages received.  ``only``: the
-    frontier's ids where they are few enough to be pushed into the edge scan."""
-    frontier = v.where("changed").select(F.col("id").alias("src"), F.col("state").alias("src_state"))
-    cold = edges.cold if only is None else edges.cold.where(F.col("src").isin(only))
+@dataclass
+class _Level:
+    """One table of the log-structured state."""
+
+    table: DataFrame  # id, state, changed, n, since
+    key: int  # the superstep that wrote it
+    rows: int
+
+
+def _newest(rows: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``rows`` (with ``id``) plus the newest ``state`` and ``since`` of their
+    vertices; rows that are no vertex drop out.  All levels are bucketed alike."""
+    state, since = F.col("_s0"), F.col("_t0")
+    for k, level in enumerate(levels):
+        own = level.select("id", F.col("state").alias(f"_s{k}"), F.col("since").alias(f"_t{k}"))
+        rows = rows.join(own, "id", "left" if k else "inner")
+        if k:
+            state = F.when(F.col(f"_t{k}").isNotNull(), F.col(f"_s{k}")).otherwise(state)
+            since = F.coalesce(F.col(f"_t{k}"), since)
+    out = rows.select("*", state.alias("state"), since.alias("since"))
+    return out.drop(*[f"_{c}{k}" for k in range(len(levels)) for c in "st"])
+
+
+def _current(levels: list[DataFrame], *carry: str) -> DataFrame:
+    """(id, state, since, *carry) of every vertex."""
+    if len(levels) == 1:
+        return levels[0].select("id", "state", "since", *carry)
+    return _newest(levels[0].select("id", *carry), levels)
+
+
+def _sent(frontier: DataFrame, levels: list[DataFrame], edges: _Edges, program: VertexProgram, only: list | None, once: bool) -> DataFrame:
+    """(id, msg): what the active vertices send along their edges on one side.
+    ``once``: leave out edges whose other end is active too (it sends them)."""
+    key, other = edges.key, edges.other
+    active = frontier.select(F.col("id").alias(key), F.col("state").alias(f"{key}_state"))
+    cold = edges.cold if only is None else edges.cold.where(F.col(key).isin(only))
     # co-partitioned with the edges: the join runs where the data is
-    sent = cold.join(frontier, "src")
+    sent = cold.join(active, key)
     if edges.hot is not None:
         # at most one row per hub
-        hub_frontier = frontier.where(F.col("src").isin(edges.hubs))
-        hot = edges.hot if only is None else edges.hot.where(F.col("src").isin(only))
-        sent = sent.unionByName(hot.join(F.broadcast(hub_frontier), "src"))
-    if program.send_triplet is not None:
-        sent = sent.join(v.select(F.col("id").alias("dst"), F.col("state").alias("dst_state")), "dst")
-        message = program.send_triplet(F.col("src_state"), F.col("dst_state"))
+        hub_frontier = active.where(F.col(key).isin(edges.hubs))
+        hot = edges.hot if only is None else edges.hot.where(F.col(key).isin(only))
+        sent = sent.unionByName(hot.join(F.broadcast(hub_frontier), key))
+    if once:
+        sent = sent.join(frontier.select(F.col("id").alias(other)), other, "left_anti")
+    if program.send_triplet is None and program.send_all is None:
+        message = program.send(F.col(f"{key}_state"))
+        return sent.select(F.col(other).alias("id"), message.alias("msg")).where(F.col("msg").isNotNull())
+    far = _current(levels).select(F.col("id").alias(other), F.col("state").alias(f"{other}_state"))
+    both = sent.join(far, other)
+    if program.send_all is not None:
+        return both.select(F.explode(program.send_all(F.col("src_state"), F.col("dst_state"))).alias("_m")).select("_m.id", "_m.msg")
+    message = program.send_triplet(F.col("src_state"), F.col("dst_state"))
+    return both.select(F.col(other).alias("id"), message.alias("msg")).where(F.col("msg").isNotNull())
+
+
+def _superstep(
+    frontier: DataFrame,
+    levels: list[DataFrame],
+    sides: list[_Edges],
+    program: VertexProgram,
+    round_: int,
+    carry: list[str],
+    only: list | None = None,
+    take_over: int | None = None,
+) -> DataFrame:
+    """One superstep over the state in ``levels`` with the active ``frontier`` (id,
+    state) -> (id, state, changed, n, since, *carry, _kept); ``n`` = messages
+    received, ``changed`` = active in the next round.
+
+    ``take_over`` = None gives every vertex.  A number gives the receivers and the
+    rows of so many newest levels, where ``_kept`` marks the latter.  ``only``: the
+    frontier's ids where they are few enough to be pushed into the edge scan.
+    """
+    sent = None
+    for i, edges in enumerate(sides):
+        part = _sent(frontier, levels, edges, program, only, once=i > 0 and program.send_all is not None)
+        sent = part if sent is None else sent.unionByName(part)
+    received = sent.groupBy("id").agg(program.merge(F.col("msg")).alias("msg"), F.count(F.lit(1)).alias("n"))
+    kept = F.lit(False)
+    if take_over is None:
+        joined = _current(levels, *carry).join(received, "id", "left")
+        kept = F.lit(True)
+    elif take_over == 0:
+        joined = _newest(received, levels)
     else:
-        message = program.send(F.col("src_state"))
-    messages = (
-        sent.select(F.col("dst").alias("id"), message.alias("msg"))
-        .where(F.col("msg").isNotNull())
-        .groupBy("id")
-        .agg(program.merge(F.col("msg")).alias("msg"), F.count(F.lit(1)).alias("n"))
-    )
-    joined = v.select("id", "state", *carry).join(messages, "id", "left")
-    new_state = F.when(F.col("msg").isNull(), F.col("state")).otherwise(program.update(F.col("state"), F.col("msg")))
+        old = levels[-take_over].select("id")
+        for level in levels[len(levels) - take_over + 1 :]:
+            old = old.join(level.select("id"), "id", "full")
+        joined = _newest(old.withColumn("_old", F.lit(True)).join(received, "id", "full"), levels)
+        kept = F.col("_old").isNotNull()
+    got = F.col("msg").isNotNull()
+    new_state = F.when(got, program.update(F.col("state"), F.col("msg"))).otherwise(F.col("state"))
+    different = got & ~new_state.eqNullSafe(F.col("state"))
     return joined.select(
         "id",
         new_state.alias("state"),
-        (F.col("msg").isNotNull() & ~new_state.eqNullSafe(F.col("state"))).alias("changed"),
+        (got if program.active_on == "received" else different).alias("changed"),
         F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+        F.when(different, F.lit(round_)).otherwise(F.col("since")).alias("since"),
         *carry,
+        kept.alias("_kept"),
     )
 
 
+class PreparedGraph:
+    """A graph whose edges and vertex table are written once, for several runs.
+
+    Holds the edges bucketed on ``src`` (and, with ``directions`` "in" or
+    "either", on ``dst``), the vertex table with its degrees, the hubs and the
+    edge statistics.  Give it to :func:`pregel` or to an algorithm in place of a
+    graph; :meth:`release` deletes what it wrote.
+    """
+
+    def __init__(self, graph: PropertyGraph, *, directions: tuple[str, ...] = ("out",), edge_min_columns: tuple[str, ...] = (), partitions: int | None = None):
+        spark = graph.vertices.sparkSession
+        self.store = _StateStore(spark, partitions or shuffle_partitions(spark))
+        self.edge_min_columns = tuple(edge_min_columns)
+        try:
+            with _dealt_like(spark, self.store.parts):
+                self.edges = _write_edges(self.store, graph.edges, "src")
+                table = _vertex_table(graph.vertices, self.edges, self.edge_min_columns)
+                self.vertices, seen = self.store.write_table(
+                    table, "vertices", F.count(F.lit(1)).alias("vertices"), *_stat_columns(self.edge_min_columns), bucket="id"
+                )
+                self.stats = Row(**{k: v for k, v in seen.items() if k != "vertices"})
+                self.vertex_count = int(seen["vertices"])
+                self._sides: dict[str, _Edges] = {}
+                for direction in directions:
+                    self.sides(direction)
+        except BaseException:
+            self.release()
+            raise
+
+    def sides(self, direction: str) -> list[_Edges]:
+        """The adjacencies of a direction; one that is missing is written now."""
+        return [self._side(key) for key in _KEYS[direction]]
+
+    def _side(self, key: str) -> _Edges:
+        if key not in self._sides:
+            e = self.edges if key == "src" else _write_edges(self.store, self.edges, "dst")
+            path = self.store.path("edges" if key == "src" else "edges_in")
+            self._sides[key] = _split_hubs(e, path, key, self.stats, self.vertices, self.store.parts)
+        return self._sides[key]
+
+    def release(self) -> None:
+        self.store.drop_all()
+
+
+_KEYS = {"out": ["src"], "in": ["dst"], "either": ["src", "dst"]}
+
+
+def _write_edges(store: "_StateStore", edges: DataFrame, key: str) -> DataFrame:
+    """Edges bucketed on one end.  They are computed and written once, whatever
+    produced them; a hot end's rows are split over several writing tasks."""
+    name = "edges" if key == "src" else "edges_in"
+    return store.write_table(edges.where(not_null("src", "dst")).hint("rebalance", key), name, bucket=key)[0]
+
+
+@contextmanager
+def _dealt_like(spark, parts: int):
+    """Within it, shuffles deal rows like the buckets; the session's own number of
+    shuffle partitions holds again afterwards."""
+    own = str(shuffle_partitions(spark))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
+
+
 def pregel(
-    graph: PropertyGraph,
+    graph: PropertyGraph | PreparedGraph,
     program: VertexProgram,
     *,
     state: Column,
     active: Column | None = None,
     max_iterations: int | Callable[[int], int] | None = None,
+    direction: str = "out",
     fill_missing: bool = True,
     prepare_vertices: Callable[[DataFrame, PropertyGraph], DataFrame] | None = None,
     edge_min_columns: tuple[str, ...] = (),
     validate: Callable[[Row, int], None] | None = None,
     fuse: int = 1,
     partitions: int | None = None,
+    keep_edges: bool = False,
 ) -> PregelResult:
-    """Run ``program`` on ``graph`` until no vertex changes (or the cap).
+    """Run ``program`` on ``graph`` until no vertex is active (or the cap).
 
     ``state`` is the start state, a column over the vertex table (superstep 0).
     ``active`` selects the vertices that send in the first round (default:
     state is not NULL).  ``max_iterations`` caps the message rounds (None =
     until convergence; a function gets the vertex count).
+    ``direction``: an active vertex sends along its out-edges, its in-edges or
+    either (an edge with two active ends is then used from both, but by
+    ``send_all`` once).
     ``validate(edge_stats, vertex_count)`` may raise before the first round.
 
     With ``fill_missing`` every edge endpoint missing from the vertex table
@@ -358,44 +542,47 @@ def pregel(
     all of them): the intermediate state stays inside the job, so fewer writes
     and fewer jobs, while results and the per-superstep trace are unchanged.
     ``partitions`` is the number of buckets (default: the session's shuffle
-    partitions); size it so that a bucket's states and edges fit a task.
+    partitions); size it so that a bucket's states and edges fit a task.  A
+    :class:`PreparedGraph` brings its own and fills missing endpoints.
+    ``keep_edges`` leaves the written edges to the result until it is released.
     """
     if fuse < 1:
         raise ValueError("fuse must be at least 1")
+    if direction not in DIRECTIONS:
+        raise ValueError(f"direction must be one of {DIRECTIONS}")
     spark = graph.vertices.sparkSession
-    own = str(shuffle_partitions(spark))
-    parts = partitions or int(own)
+    prepared = isinstance(graph, PreparedGraph)
+    if prepared and not set(edge_min_columns) <= set(graph.edge_min_columns):
+        raise ValueError(f"the graph was prepared without statistics of {edge_min_columns}")
+    parts = graph.store.parts if prepared else partitions or shuffle_partitions(spark)
     store = _StateStore(spark, parts)
-    # messages must be dealt like the buckets; the session's setting is put back
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        return _run(
-            graph, program, store, state, active, max_iterations, fill_missing, prepare_vertices,
-            edge_min_columns, validate, fuse,
-        )
+        with _dealt_like(spark, parts):
+            return _run(
+                graph, program, store, state, active, max_iterations, direction, fill_missing or prepared, prepare_vertices,
+                edge_min_columns, validate, fuse, keep_edges,
+            )
     except BaseException:
         store.drop_all()
         raise
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", own)
 
 
 def _run(
-    graph, program, store, state, active, max_iterations, fill_missing, prepare_vertices, edge_min_columns, validate, fuse
+    graph, program, store, state, active, max_iterations, direction, fill_missing, prepare_vertices, edge_min_columns, validate, fuse, keep_edges
 ) -> PregelResult:
     spark = store.spark
-    # the edge table is computed and written once, whatever produced it; a hot
-    # source's rows are split over several writing tasks
-    e, _ = store.write_table(graph.edges.where(not_null("src", "dst")).hint("rebalance", "src"), "edges", bucket="src")
+    prepared = graph if isinstance(graph, PreparedGraph) else None
+    e = prepared.edges if prepared else _write_edges(store, graph.edges, "src")
     stats_cols: list[str] = []
     stat_metrics: list[Column] = []
-    if fill_missing:
+    degree_cols = ["_deg", "_indeg"] if fill_missing and not prepared else []
+    if prepared:
+        vertices, stats = prepared.vertices, prepared.stats
+    elif fill_missing:
         # edge statistics ride along with the vertex table (no job of their own)
         vertices = _vertex_table(graph.vertices, e, edge_min_columns)
-        stats_cols = ["_deg", *[f"_min_{c}" for c in edge_min_columns], *[f"_nulls_{c}" for c in edge_min_columns]]
-        stat_metrics = [F.sum("_deg").alias("edges"), F.max("_deg").alias("max_out_degree")]
-        stat_metrics += [F.min(f"_min_{c}").alias(f"min_{c}") for c in edge_min_columns]
-        stat_metrics += [F.sum(f"_nulls_{c}").alias(f"nulls_{c}") for c in edge_min_columns]
+        stats_cols = [*degree_cols, *[f"_min_{c}" for c in edge_min_columns], *[f"_nulls_{c}" for c in edge_min_columns]]
+        stat_metrics = _stat_columns(edge_min_columns)
     else:
         stats, degrees = _edge_stats(e, edge_min_columns)
         vertices = _vertex_table(graph.vertices, None)
@@ -407,49 +594,63 @@ def _run(
         state.alias("state"),
         F.coalesce(start_active, F.lit(False)).alias("changed"),
         F.lit(0).cast("long").alias("n"),
+        F.lit(0).alias("since"),
         *stats_cols,
     )
-    v, first = store.write(
+    base, first = store.write(
         start,
         0,
         F.count(F.lit(1)).alias("vertices"),
         F.count_if("changed").alias("active"),
         *stat_metrics,
-        columns=["id", "state", "changed", "n", *(["_deg"] if fill_missing else [])],
+        columns=["id", "state", "changed", "n", "since", *degree_cols],
     )
-    if fill_missing:
-        stats = Row(**{m: first[m] for m in ["edges", "max_out_degree"]
-                       + [f"min_{c}" for c in edge_min_columns] + [f"nulls_{c}" for c in edge_min_columns]})
-        degrees = v.select(F.col("id").alias("src"), "_deg")
+    if stat_metrics:
+        stats = Row(**{k: v for k, v in first.items() if k not in ("vertices", "active")})
+        degrees = base.select("id", *degree_cols)
     vertex_count = int(first["vertices"])
     n_active = int(first["active"])
     if callable(max_iterations):
         max_iterations = max_iterations(vertex_count)
     if validate is not None:
         validate(stats, vertex_count)
-    edges = _split_hubs(e, stats, degrees, store)
+    if prepared:
+        sides = prepared.sides(direction)
+    else:
+        sides = []
+        for key in _KEYS[direction]:
+            table = e if key == "src" else _write_edges(store, e, "dst")
+            sides.append(_split_hubs(table, store.path("edges" if key == "src" else "edges_in"), key, stats, degrees, store.parts))
 
     trace: list[tuple[int, int, int, int, int, float]] = []
     rounds = 0
     converged = n_active == 0
-    written = [0]  # state tables still on disk; the last one is the result
+    levels = [_Level(base, 0, vertex_count)]
     while not converged:
         if max_iterations is not None and rounds >= max_iterations:
             break
         started = time.perf_counter()
         steps = fuse if max_iterations is None else max(1, min(fuse, max_iterations - rounds))
-        # `steps` supersteps in one job; earlier steps' counters ride along as
-        # columns so each superstep still gets its own trace row
-        cur = v.select("id", "state", "changed")
+        tables = [level.table for level in levels]
+        frontier = tables[-1].where("changed").select("id", "state")
         only = None
         if n_active <= PUSH_IDS and int(stats["edges"] or 0) >= PUSH_EDGES:
-            only = [r["id"] for r in cur.where("changed").select("id").collect()]  # at most PUSH_IDS
+            only = [r["id"] for r in frontier.select("id").collect()]  # at most PUSH_IDS
+        # the rows written last tell how many this round is about to write
+        taken, expected = 0, n_active
+        for level in reversed(levels[1:]):
+            if level.rows > expected and len(levels) - taken <= MAX_DELTAS:
+                break
+            taken, expected = taken + 1, expected + level.rows
+        full = steps > 1 or vertex_count <= BASE_ROWS or expected * BASE_SHARE >= vertex_count
+        # `steps` supersteps in one job; earlier steps' counters ride along as
+        # columns so each superstep still gets its own trace row
         carry: list[str] = []
-        for k in range(1, steps + 1):
-            if k > 1:
-                cur = cur.withColumn(f"_changed_{k - 1}", F.col("changed")).withColumn(f"_n_{k - 1}", F.col("n"))
-                carry += [f"_changed_{k - 1}", f"_n_{k - 1}"]
-            cur = _superstep(cur, edges, program, carry, only if k == 1 else None)
+        cur = _superstep(frontier, tables, sides, program, rounds + 1, carry, only, None if full else taken)
+        for k in range(2, steps + 1):
+            cur = cur.withColumn(f"_changed_{k - 1}", F.col("changed")).withColumn(f"_n_{k - 1}", F.col("n"))
+            carry += [f"_changed_{k - 1}", f"_n_{k - 1}"]
+            cur = _superstep(cur.where("changed").select("id", "state"), [cur], sides, program, rounds + k, carry)
         metrics = []
         for k in range(1, steps + 1):
             changed_col, n_col = ("changed", "n") if k == steps else (f"_changed_{k}", f"_n_{k}")
@@ -458,11 +659,14 @@ def _run(
                 F.sum(n_col).alias(f"messages_{k}"),
                 F.count_if(F.col(n_col) > 0).alias(f"receivers_{k}"),
             ]
+        metrics.append(F.count_if(F.col("_kept") | F.col("changed")).alias("rows"))
         key = rounds + steps
-        v, row = store.write(cur, key, *metrics)
-        written.append(key)
-        if len(written) > 2:
-            store.drop(store.step(written.pop(0)))
+        keep = None if full else F.col("_kept") | F.col("changed")
+        table, row = store.write(cur, key, *metrics, columns=["id", "state", "changed", "n", "since"], keep=keep)
+        gone = levels if full else levels[len(levels) - taken :]
+        levels = [*([] if full else levels[: len(levels) - taken]), _Level(table, key, int(row["rows"] or 0))]
+        for level in gone:
+            store.drop(store.step(level.key))
         elapsed = time.perf_counter() - started
         for k in range(1, steps + 1):
             changed = int(row[f"changed_{k}"] or 0)
@@ -482,16 +686,18 @@ def _run(
                 converged = True
                 break
 
-    # the final state is all that stays
-    for key in written[:-1]:
-        store.drop(store.step(key))
-    store.drop("edges")
+    # the state is all that stays
+    for key in [k for k in store.tables if k.startswith("edges") and not keep_edges]:
+        store.drop(key)
     trace_df = spark.createDataFrame(trace, _TRACE_SCHEMA)
+    settled = _current([level.table for level in levels])
     return PregelResult(
-        vertices=v.select("id", "state"),
+        vertices=settled.select("id", "state"),
+        settled=settled,
         rounds=rounds,
         converged=converged,
         trace=trace_df,
-        edge_stats=edges.stats,
+        edge_stats=stats,
+        edges=e if keep_edges else None,
         _store=store,
     )

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from graphloom.functions.lines import max_line
-from graphloom.functions.programs import path_start, relax_min, relax_path, spread_larger, spread_max
+from graphloom.functions.programs import add_walks, path_start, relax_min, relax_path, spread_larger, spread_larger_both, spread_max, sum_both_ends
 from graphloom.graph import PropertyGraph
-from graphloom.operators.pregel import PregelResult, pregel
+from graphloom.operators.pregel import PregelResult, PreparedGraph, pregel
+from graphloom.plans.paths import paths
 
 Sources = Union[Iterable[Any], DataFrame, Column, Callable[[PropertyGraph], DataFrame]]
 
@@ -45,24 +46,27 @@ def _renamed(result: PregelResult, vertices: DataFrame) -> PregelResult:
 
 
 def max_reach(
-    graph: PropertyGraph,
+    graph: PropertyGraph | PreparedGraph,
     value_col: str = "value",
     *,
     max_iterations: int | None = None,
     guarded: bool = False,
+    direction: str = "out",
 ) -> PregelResult:
     """For every vertex, the largest ``value_col`` among the vertices that reach
     it along directed edges (itself included).  Result vertices: (id, value_col).
 
+    ``direction``: "in" takes the edges backwards (the largest value that a vertex
+    reaches), "either" both ways (the largest of its weak component).
     Endpoints missing from the vertex table join with a NULL value.  With
     ``guarded`` a vertex sends only to neighbours whose value is smaller.
     """
-    res = pregel(
-        PropertyGraph(graph.vertices.select("id", value_col), graph.edges.select("src", "dst")),
-        spread_larger() if guarded else spread_max(),
-        state=F.col(value_col),
-        max_iterations=max_iterations,
-    )
+    if not isinstance(graph, PreparedGraph):
+        graph = PropertyGraph(graph.vertices.select("id", value_col), graph.edges.select("src", "dst"))
+    program = spread_max()
+    if guarded:
+        program = spread_larger() if direction != "either" else spread_larger_both()
+    res = pregel(graph, program, state=F.col(value_col), max_iterations=max_iterations, direction=direction)
     return _renamed(res, res.vertices.select("id", F.col("state").alias(value_col)))
 
 
@@ -86,7 +90,7 @@ def _check_weights(weight_col: str, allow_negative: bool):
 
 
 def _shortest(
-    graph: PropertyGraph,
+    graph: PropertyGraph | PreparedGraph,
     sources: Sources,
     weight_col: str,
     program,
@@ -94,14 +98,18 @@ def _shortest(
     null_state: Column,
     max_iterations: int | None,
     allow_negative: bool,
+    direction: str,
+    keep_edges: bool = False,
 ) -> PregelResult:
     hook, is_source = _source_flag(sources)
-    vertices = graph.vertices.select("id")
-    if isinstance(sources, Column):
-        # evaluated where the vertex properties are; the smallest flag of a repeated id wins
-        vertices = graph.vertices.select("id", (~is_source).alias("_other"))
-        is_source = ~F.coalesce(F.col("_other"), F.lit(True))
-    g = PropertyGraph(vertices, graph.edges.select("src", "dst", weight_col))
+    g = graph
+    if not isinstance(graph, PreparedGraph):
+        vertices = graph.vertices.select("id")
+        if isinstance(sources, Column):
+            # evaluated where the vertex properties are; the smallest flag of a repeated id wins
+            vertices = graph.vertices.select("id", (~is_source).alias("_other"))
+            is_source = ~F.coalesce(F.col("_other"), F.lit(True))
+        g = PropertyGraph(vertices, graph.edges.select("src", "dst", weight_col))
     negative_guard = allow_negative and max_iterations is None
     res = pregel(
         g,
@@ -112,6 +120,8 @@ def _shortest(
         prepare_vertices=hook,
         edge_min_columns=(weight_col,),
         validate=_check_weights(weight_col, allow_negative),
+        direction=direction,
+        keep_edges=keep_edges,
     )
     if negative_guard and not res.converged:
         res.release()
@@ -120,16 +130,19 @@ def _shortest(
 
 
 def sssp(
-    graph: PropertyGraph,
+    graph: PropertyGraph | PreparedGraph,
     sources: Sources,
     weight_col: str = "weight",
     *,
     max_iterations: int | None = None,
     allow_negative: bool = False,
+    direction: str = "out",
 ) -> PregelResult:
     """Cheapest cost from the nearest source.  Result vertices: (id, dist);
     ``dist`` is NULL where no source reaches the vertex.  With
-    ``max_iterations = k`` the cost uses walks of at most ``k`` edges."""
+    ``max_iterations = k`` the cost uses walks of at most ``k`` edges.
+    ``direction`` "in" follows the edges backwards (the cost to the nearest
+    source), "either" both ways."""
     res = _shortest(
         graph,
         sources,
@@ -139,12 +152,13 @@ def sssp(
         F.lit(None).cast("long"),
         max_iterations,
         allow_negative,
+        direction,
     )
     return _renamed(res, res.vertices.select("id", F.col("state").alias("dist")))
 
 
 def sssp_paths(
-    graph: PropertyGraph,
+    graph: PropertyGraph | PreparedGraph,
     sources: Sources,
     weight_col: str = "weight",
     *,
@@ -155,18 +169,21 @@ def sssp_paths(
 
     Result vertices: (id, dist, hops, path).  Among equal costs the path with
     fewer hops wins, then the lexicographically smaller one.
+
+    The search keeps costs only and the paths are made after it.  With
+    ``max_iterations = k`` a vertex's path may go by an older, longer way than its
+    predecessor's, so states carry their paths, of at most k edges.
     """
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    if max_iterations is None:
+        res = _shortest(graph, sources, weight_col, relax_min(weight_col), zero, none, None, allow_negative, "out", keep_edges=True)
+        try:
+            return _renamed(res, paths(res, weight_col))
+        except BaseException:
+            res.release()
+            raise
     start = path_start(F.col("id"))
-    res = _shortest(
-        graph,
-        sources,
-        weight_col,
-        relax_path(weight_col),
-        start,
-        F.lit(None),
-        max_iterations,
-        allow_negative,
-    )
+    res = _shortest(graph, sources, weight_col, relax_path(weight_col), start, F.lit(None), max_iterations, allow_negative, "out")
     v = res.vertices.select(
         "id",
         F.col("state.dist").alias("dist"),
@@ -174,3 +191,35 @@ def sssp_paths(
         F.col("state.path").alias("path"),
     )
     return _renamed(res, v)
+
+
+def strength(graph: PropertyGraph | PreparedGraph, weight_col: str = "weight") -> PregelResult:
+    """Sum of the weights of a vertex's edges, at both ends (a self-loop counts
+    twice; 0 without edges): one superstep in which every edge sends a message to
+    each end.  Result vertices: (id, strength)."""
+    g = graph
+    if not isinstance(graph, PreparedGraph):
+        g = PropertyGraph(graph.vertices.select("id"), graph.edges.select("src", "dst", weight_col))
+    res = pregel(g, sum_both_ends(weight_col), state=F.lit(0).cast("long"), active=F.lit(True), max_iterations=1)
+    return _renamed(res, res.vertices.select("id", F.col("state").alias("strength")))
+
+
+def walk_counts(graph: PropertyGraph | PreparedGraph, sources: Sources, length: int) -> PregelResult:
+    """Number of walks of 1 to ``length`` edges from any source to each vertex.
+
+    Messages are summed, and a vertex sends on what it received in the last
+    round, changed or not.  Parallel edges make walks of their own.  Result
+    vertices: (id, walks).
+    """
+    hook, is_source = _source_flag(sources)
+    g = graph
+    if not isinstance(graph, PreparedGraph):
+        vertices = graph.vertices.select("id")
+        if isinstance(sources, Column):
+            vertices = graph.vertices.select("id", (~is_source).alias("_other"))
+            is_source = ~F.coalesce(F.col("_other"), F.lit(True))
+        g = PropertyGraph(vertices, graph.edges.select("src", "dst"))
+    fresh = F.when(is_source, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    state = F.struct(F.lit(0).cast("long").alias("total"), fresh.alias("fresh"))
+    res = pregel(g, add_walks(), state=state, active=is_source, max_iterations=length, prepare_vertices=hook)
+    return _renamed(res, res.vertices.select("id", F.col("state.total").alias("walks")))

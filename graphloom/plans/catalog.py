@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.operators.pregel import PreparedGraph
 from graphloom.operators.views import dedupe_vertices, preview
-from graphloom.plans.algorithms import global_max, max_reach, sssp, sssp_paths
+from graphloom.plans.algorithms import global_max, max_reach, sssp, sssp_paths, strength, walk_counts
 from graphloom.plans.report import labelled_costs, path_labels
 from graphloom.sources import tables as t
 
@@ -121,10 +122,43 @@ def q_superstep_trace(spark: SparkSession, sf: str) -> DataFrame:
     """Per superstep of the shortest-path search: active senders, messages,
     receivers and changed vertices (the timing column is left out: it is the
     only non-repeatable one)."""
-    res = sssp_paths(t.handoff(spark, sf), [t.HANDOFF_SOURCE])
+    res = sssp(t.handoff(spark, sf), [t.HANDOFF_SOURCE])
     return res.trace.select("superstep", "active", "messages", "receivers", "changed")
 
 
+def q_reach_back_handoff(spark: SparkSession, sf: str) -> DataFrame:
+    """The largest event count among the users that a user's handoffs reach: the
+    edges taken backwards."""
+    return max_reach(t.handoff_counts(spark, sf), direction="in").vertices
+
+
+def q_max_component_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """The longest text among connected turns: edges taken both ways, each sending to
+    whichever end is behind."""
+    return max_reach(t.turns(spark, sf), direction="either", guarded=True).vertices
+
+
+def q_handoff_strength(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of a user's handoffs, in and out: messages to both ends of an edge."""
+    return strength(t.handoff(spark, sf)).vertices
+
+
+def q_walk_counts_trade(spark: SparkSession, sf: str) -> DataFrame:
+    """Walks of at most three edges from the smallest source: messages are summed, and
+    whoever receives sends on."""
+    return walk_counts(t.trade_top3(spark, sf), t.smallest_source, HOP_LIMIT).vertices
+
+
+def q_cost_there_and_back(spark: SparkSession, sf: str) -> DataFrame:
+    """Cheapest cost from the source to each user and back to it: two searches, along
+    and against the edges, over one prepared graph."""
+    graph = PreparedGraph(t.handoff(spark, sf), directions=("out", "in"), edge_min_columns=("weight",))
+    there = sssp(graph, [t.HANDOFF_SOURCE]).vertices.withColumnRenamed("dist", "there")
+    back = sssp(graph, [t.HANDOFF_SOURCE], direction="in").vertices.withColumnRenamed("dist", "back")
+    graph.release()
+    return there.join(back, "id").select("id", "there", "back", (F.col("there") + F.col("back")).alias("round_trip"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trade_vertices": q_trade_vertices,
     "trade_edges": q_trade_edges,
@@ -148,4 +182,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "named_edges": q_named_edges,
     "vertex_dedupe": q_vertex_dedupe,
     "edge_preview": q_edge_preview,
+    "reach_back_handoff": q_reach_back_handoff,
+    "max_component_turns": q_max_component_turns,
+    "handoff_strength": q_handoff_strength,
+    "walk_counts_trade": q_walk_counts_trade,
+    "cost_there_and_back": q_cost_there_and_back,
 }

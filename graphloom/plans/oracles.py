@@ -226,6 +226,47 @@ LEFT JOIN customer s ON s.c_custkey = p.path[1]""",
          WHERE c.r = s.r - 1)::BIGINT AS receivers,
        (SELECT count(*) FROM changed c WHERE c.r = s.r)::BIGINT AS changed
 FROM steps s JOIN quiet q ON s.r >= 1 AND s.r <= q.last""",
+    "reach_back_handoff": _with(
+        HANDOFF_V,
+        HANDOFF_E,
+        "counted AS (SELECT user_id AS id, count(*)::BIGINT AS value FROM events WHERE user_id IS NOT NULL GROUP BY user_id)",
+        """reach(a, b) AS (
+  SELECT id, id FROM handoff_v
+  UNION
+  SELECT r.a, e.dst FROM reach r JOIN handoff_e e ON r.b = e.src)""",
+        recursive=True,
+    )
+    + "SELECT r.a AS id, max(c.value)::BIGINT AS value FROM reach r LEFT JOIN counted c ON c.id = r.b GROUP BY r.a",
+    "max_component_turns": _with(TURNS)
+    + "SELECT id, max(value) OVER (PARTITION BY conv_id, seg)::BIGINT AS value FROM turns_c",
+    "handoff_strength": _with(HANDOFF_V, HANDOFF_E)
+    + """SELECT v.id, coalesce(sum(x.weight), 0)::BIGINT AS strength FROM handoff_v v
+LEFT JOIN (SELECT src AS id, weight FROM handoff_e UNION ALL SELECT dst, weight FROM handoff_e) x ON x.id = v.id
+GROUP BY v.id""",
+    "walk_counts_trade": _with(
+        TRADE_V,
+        TRADE_E,
+        TOP3_E,
+        f"""walk(hop, id, n) AS (
+  SELECT 0, id, 1::HUGEINT FROM ({TOP3_SOURCE}) s
+  UNION ALL
+  SELECT w.hop + 1, e.dst, sum(w.n) FROM walk w JOIN top3_e e ON w.id = e.src
+  WHERE w.hop < {HOP_LIMIT} GROUP BY w.hop + 1, e.dst)""",
+        recursive=True,
+    )
+    + """SELECT v.id, coalesce(w.n, 0)::BIGINT AS walks FROM trade_v v
+LEFT JOIN (SELECT id, sum(n) AS n FROM walk WHERE hop > 0 GROUP BY id) w ON w.id = v.id""",
+    "cost_there_and_back": _with(
+        HANDOFF_V,
+        HANDOFF_E,
+        "back_e AS (SELECT dst AS src, src AS dst, weight FROM handoff_e)",
+        _costs("handoff_e", "handoff_v", f"SELECT {HANDOFF_SOURCE}::BIGINT AS id", HANDOFF_HOPS),
+        _costs("back_e", "handoff_v", f"SELECT {HANDOFF_SOURCE}::BIGINT AS id", HANDOFF_HOPS)
+        .replace("bf", "bb").replace("costs AS", "backs AS"),
+        recursive=True,
+    )
+    + """SELECT c.id, c.dist AS there, b.dist AS back, c.dist + b.dist AS round_trip
+FROM costs c JOIN backs b ON b.id = c.id""",
     "named_edges": _with(TRADE_E)
     + """SELECT s.n_name AS src, d.n_name AS dst,
        CASE WHEN s.n_regionkey = d.n_regionkey THEN 'regional' ELSE 'overseas' END AS relationship

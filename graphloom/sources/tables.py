@@ -156,6 +156,13 @@ def handoff(spark: SparkSession, sf_dir: str) -> PropertyGraph:
     return PropertyGraph(users, handoff_edges(spark, sf_dir))
 
 
+def handoff_counts(spark: SparkSession, sf_dir: str) -> PropertyGraph:
+    """``handoff`` with each user's number of events as ``value``."""
+    users = read(spark, sf_dir, "events", "user_id").where(F.col("user_id").isNotNull())
+    counted = users.groupBy(F.col("user_id").alias("id")).agg(F.count(F.lit(1)).alias("value"))
+    return PropertyGraph(counted, handoff_edges(spark, sf_dir))
+
+
 def customer_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, label): names of customers, the users of the handoff graph."""
     return read(spark, sf_dir, "customer", "c_custkey", "c_name").select(
