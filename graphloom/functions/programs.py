@@ -26,15 +26,19 @@ def spread_max() -> VertexProgram:
     )
 
 
-def spread_larger() -> VertexProgram:
+def spread_larger(*, backwards: bool = False) -> VertexProgram:
     """As :func:`spread_max`, but the send reads the receiver's value too and sends
     only what is larger: fewer messages are merged, for one more look at the
-    receivers' states."""
+    receivers' states.  ``backwards``: from ``dst`` to ``src``."""
+
+    def larger(sender: Column, receiver: Column) -> Column:
+        return F.when(receiver.isNull() | (sender > receiver), sender)
+
     return VertexProgram(
         send=lambda src: src,
         merge=F.max,
         update=lambda state, msg: F.greatest(state, msg),
-        send_triplet=lambda src, dst: F.when(dst.isNull() | (src > dst), src),
+        send_triplet=lambda src, dst: larger(dst, src) if backwards else larger(src, dst),
     )
 
 

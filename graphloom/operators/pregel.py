@@ -136,6 +136,13 @@ class PregelResult:
     settled: DataFrame | None = None  # id, state, since: the superstep of its last change
     _store: "_StateStore | None" = field(default=None, repr=False)
 
+    def release_edges(self) -> None:
+        """Drop the edges that ``keep_edges`` left, if any."""
+        if self._store is not None:
+            for key in [k for k in self._store.tables if k.startswith("edges")]:
+                self._store.drop(key)
+        self.edges = None
+
     def release(self) -> None:
         """Drop the written edge sets and state (after this ``vertices`` can
         no longer be read)."""
@@ -452,7 +459,7 @@ class PreparedGraph:
         self.edge_min_columns = tuple(edge_min_columns)
         try:
             with _dealt_like(spark, self.store.parts):
-                self.edges = _write_edges(self.store, graph.edges, "src")
+                self.edges, _ = _write_edges(self.store, graph.edges, "src")
                 table = _vertex_table(graph.vertices, self.edges, self.edge_min_columns)
                 self.vertices, seen = self.store.write_table(
                     table, "vertices", F.count(F.lit(1)).alias("vertices"), *_stat_columns(self.edge_min_columns), bucket="id"
@@ -472,7 +479,7 @@ class PreparedGraph:
 
     def _side(self, key: str) -> _Edges:
         if key not in self._sides:
-            e = self.edges if key == "src" else _write_edges(self.store, self.edges, "dst")
+            e = self.edges if key == "src" else _write_edges(self.store, self.edges, "dst")[0]
             path = self.store.path("edges" if key == "src" else "edges_in")
             self._sides[key] = _split_hubs(e, path, key, self.stats, self.vertices, self.store.parts)
         return self._sides[key]
@@ -484,11 +491,12 @@ class PreparedGraph:
 _KEYS = {"out": ["src"], "in": ["dst"], "either": ["src", "dst"]}
 
 
-def _write_edges(store: "_StateStore", edges: DataFrame, key: str) -> DataFrame:
-    """Edges bucketed on one end.  They are computed and written once, whatever
+def _write_edges(store: "_StateStore", edges: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """(edges bucketed on one end, their number).  They are computed and written once, whatever
     produced them; a hot end's rows are split over several writing tasks."""
     name = "edges" if key == "src" else "edges_in"
-    return store.write_table(edges.where(not_null("src", "dst")).hint("rebalance", key), name, bucket=key)[0]
+    table, seen = store.write_table(edges.where(not_null("src", "dst")).hint("rebalance", key), name, F.count(F.lit(1)).alias("edges"), bucket=key)
+    return table, int(seen["edges"])
 
 
 @contextmanager
@@ -505,9 +513,9 @@ def _dealt_like(spark, parts: int):
 
 def pregel(
     graph: PropertyGraph | PreparedGraph,
-    program: VertexProgram,
+    program: VertexProgram | None,
     *,
-    state: Column,
+    state: Column | None,
     active: Column | None = None,
     max_iterations: int | Callable[[int], int] | None = None,
     direction: str = "out",
@@ -518,6 +526,7 @@ def pregel(
     fuse: int = 1,
     partitions: int | None = None,
     keep_edges: bool = False,
+    by_size: Callable[[int], tuple[VertexProgram, Column]] | None = None,
 ) -> PregelResult:
     """Run ``program`` on ``graph`` until no vertex is active (or the cap).
 
@@ -545,6 +554,8 @@ def pregel(
     partitions); size it so that a bucket's states and edges fit a task.  A
     :class:`PreparedGraph` brings its own and fills missing endpoints.
     ``keep_edges`` leaves the written edges to the result until it is released.
+    ``by_size(edges)``, if given, picks the program and the start state by the
+    number of edges.
     """
     if fuse < 1:
         raise ValueError("fuse must be at least 1")
@@ -560,7 +571,7 @@ def pregel(
         with _dealt_like(spark, parts):
             return _run(
                 graph, program, store, state, active, max_iterations, direction, fill_missing or prepared, prepare_vertices,
-                edge_min_columns, validate, fuse, keep_edges,
+                edge_min_columns, validate, fuse, keep_edges, by_size,
             )
     except BaseException:
         store.drop_all()
@@ -568,11 +579,13 @@ def pregel(
 
 
 def _run(
-    graph, program, store, state, active, max_iterations, direction, fill_missing, prepare_vertices, edge_min_columns, validate, fuse, keep_edges
+    graph, program, store, state, active, max_iterations, direction, fill_missing, prepare_vertices, edge_min_columns, validate, fuse, keep_edges, by_size
 ) -> PregelResult:
     spark = store.spark
     prepared = graph if isinstance(graph, PreparedGraph) else None
-    e = prepared.edges if prepared else _write_edges(store, graph.edges, "src")
+    e, edge_count = (prepared.edges, int(prepared.stats["edges"] or 0)) if prepared else _write_edges(store, graph.edges, "src")
+    if by_size is not None:
+        program, state = by_size(edge_count)
     stats_cols: list[str] = []
     stat_metrics: list[Column] = []
     degree_cols = ["_deg", "_indeg"] if fill_missing and not prepared else []
@@ -619,7 +632,7 @@ def _run(
     else:
         sides = []
         for key in _KEYS[direction]:
-            table = e if key == "src" else _write_edges(store, e, "dst")
+            table = e if key == "src" else _write_edges(store, e, "dst")[0]
             sides.append(_split_hubs(table, store.path("edges" if key == "src" else "edges_in"), key, stats, degrees, store.parts))
 
     trace: list[tuple[int, int, int, int, int, float]] = []

@@ -7,12 +7,13 @@ from typing import Any, Union
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from graphloom.functions.lines import max_line
 from graphloom.functions.programs import add_walks, path_start, relax_min, relax_path, spread_larger, spread_larger_both, spread_max, sum_both_ends
 from graphloom.graph import PropertyGraph
-from graphloom.operators.pregel import PregelResult, PreparedGraph, pregel
-from graphloom.plans.paths import paths
+from graphloom.operators.pregel import PregelResult, PreparedGraph, VertexProgram, pregel
+from graphloom.plans import paths
 
 Sources = Union[Iterable[Any], DataFrame, Column, Callable[[PropertyGraph], DataFrame]]
 
@@ -65,7 +66,7 @@ def max_reach(
         graph = PropertyGraph(graph.vertices.select("id", value_col), graph.edges.select("src", "dst"))
     program = spread_max()
     if guarded:
-        program = spread_larger() if direction != "either" else spread_larger_both()
+        program = spread_larger_both() if direction == "either" else spread_larger(backwards=direction == "in")
     res = pregel(graph, program, state=F.col(value_col), max_iterations=max_iterations, direction=direction)
     return _renamed(res, res.vertices.select("id", F.col("state").alias(value_col)))
 
@@ -93,9 +94,7 @@ def _shortest(
     graph: PropertyGraph | PreparedGraph,
     sources: Sources,
     weight_col: str,
-    program,
-    start: Column,
-    null_state: Column,
+    by_size: Callable[[int], tuple[VertexProgram, Column, Column]],
     max_iterations: int | None,
     allow_negative: bool,
     direction: str,
@@ -111,10 +110,16 @@ def _shortest(
             is_source = ~F.coalesce(F.col("_other"), F.lit(True))
         g = PropertyGraph(vertices, graph.edges.select("src", "dst", weight_col))
     negative_guard = allow_negative and max_iterations is None
+
+    def chosen(edges: int) -> tuple[VertexProgram, Column]:
+        program, start, none = by_size(edges)
+        return program, F.when(is_source, start).otherwise(none)
+
     res = pregel(
         g,
-        program,
-        state=F.when(is_source, start).otherwise(null_state),
+        None,
+        state=None,
+        by_size=chosen,
         # Bellman-Ford settles in |V| - 1 rounds unless a negative cycle is reachable
         max_iterations=(lambda vertices: vertices) if negative_guard else max_iterations,
         prepare_vertices=hook,
@@ -129,6 +134,10 @@ def _shortest(
     return res
 
 
+def _costs_only(weight_col: str) -> tuple[VertexProgram, Column, Column]:
+    return relax_min(weight_col), F.lit(0).cast("long"), F.lit(None).cast("long")
+
+
 def sssp(
     graph: PropertyGraph | PreparedGraph,
     sources: Sources,
@@ -147,9 +156,7 @@ def sssp(
         graph,
         sources,
         weight_col,
-        relax_min(weight_col),
-        F.lit(0).cast("long"),
-        F.lit(None).cast("long"),
+        lambda _edges: _costs_only(weight_col),
         max_iterations,
         allow_negative,
         direction,
@@ -170,27 +177,28 @@ def sssp_paths(
     Result vertices: (id, dist, hops, path).  Among equal costs the path with
     fewer hops wins, then the lexicographically smaller one.
 
-    The search keeps costs only and the paths are made after it.  With
-    ``max_iterations = k`` a vertex's path may go by an older, longer way than its
-    predecessor's, so states carry their paths, of at most k edges.
+    The states of a large graph keep costs only, and the paths are made after the
+    search (:mod:`graphloom.plans.paths`); those of a small one carry their paths.
+    So do states under ``max_iterations = k``, where a vertex's path may go by an
+    older, longer way than its predecessor's: they have at most k edges.
     """
-    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
-    if max_iterations is None:
-        res = _shortest(graph, sources, weight_col, relax_min(weight_col), zero, none, None, allow_negative, "out", keep_edges=True)
-        try:
-            return _renamed(res, paths(res, weight_col))
-        except BaseException:
-            res.release()
-            raise
-    start = path_start(F.col("id"))
-    res = _shortest(graph, sources, weight_col, relax_path(weight_col), start, F.lit(None), max_iterations, allow_negative, "out")
-    v = res.vertices.select(
-        "id",
-        F.col("state.dist").alias("dist"),
-        F.col("state.hops").alias("hops"),
-        F.col("state.path").alias("path"),
-    )
-    return _renamed(res, v)
+
+    def by_size(edges: int) -> tuple[VertexProgram, Column, Column]:
+        if max_iterations is None and edges > paths.CARRY_EDGES:
+            return _costs_only(weight_col)
+        return relax_path(weight_col), path_start(F.col("id")), F.lit(None)
+
+    keep = max_iterations is None
+    res = _shortest(graph, sources, weight_col, by_size, max_iterations, allow_negative, "out", keep_edges=keep)
+    if isinstance(res.settled.schema["state"].dataType, StructType):
+        res.release_edges()
+        v = res.vertices.select("id", "state.dist", "state.hops", "state.path")
+        return _renamed(res, v)
+    try:
+        return _renamed(res, paths.paths(res, weight_col))
+    except BaseException:
+        res.release()
+        raise
 
 
 def strength(graph: PropertyGraph | PreparedGraph, weight_col: str = "weight") -> PregelResult:

@@ -6,6 +6,9 @@ settled state has cost and hops; the predecessors of a vertex are the sources of
 its tight edges (cost + weight = cost, hops + 1 = hops).  No state or message
 grows with the length of a path.
 
+Up to ``CARRY_EDGES`` edges, counted as they are written, the states carry their
+paths instead, which takes fewer jobs.
+
 Several predecessors are settled by the order of their paths.  Paths of equally
 many hops compare like (rank of the predecessor's path, own id), so a layer of
 vertices is ranked from the layer before it, up to the last layer with a tie.
@@ -18,8 +21,7 @@ from pyspark.sql import functions as F
 
 from graphloom.operators.pregel import PregelResult
 
-LAYERS_AT_ONCE = 4  # layers of ties ranked in one job
-STEPS_AT_ONCE = 3  # doublings in one job
+CARRY_EDGES = 1_000_000  # up to so many edges a search carries its paths in the states
 SORT_ROWS = 200_000  # rows of all layers that one task may sort
 
 
@@ -67,20 +69,14 @@ def predecessors(result: PregelResult, weight_col: str) -> tuple[DataFrame, int]
     first = result.settled.where(F.col("state").isNotNull() & (F.col("since") == 0)).select("id")
     # sources may be many, but their ids are their order
     ranks = first.select("id", F.col("id").alias("rank"))
-    done = []
+    out = chosen.where(F.col("hop") > tied)
     for hop in range(1, tied + 1):
         met = layers.where(F.col("hop") == hop).join(ranks.select(F.col("id").alias("pred"), F.col("rank").alias("_before")), "pred")
         best = met.groupBy("id", "hop").agg(F.min(F.struct("_before", "pred")).alias("_best"))
         layer = _ranked(best.select("id", "hop", "_best.pred", "_best._before"), ["_before", "id"], small).drop("_before")
-        if hop % LAYERS_AT_ONCE == 0 or hop == tied or not small:
-            layer, _ = store.write_table(layer, f"layer_{hop}")
-            done.append((hop, layer))
-        else:
-            done.append((hop, layer))
-        ranks = layer.select("id", "rank")
-    out = chosen.where(F.col("hop") > tied)
-    for _, layer in done:
+        layer, _ = store.write_table(layer, f"layer_{hop}")
         out = out.unionByName(layer.select("id", "hop", "pred"))
+        ranks = layer.select("id", "rank")
     out, _ = store.write_table(out, "chosen", bucket="id")
     for key in [k for k in store.tables if k == "tight" or k.startswith("layer_")]:
         store.drop(key)
@@ -101,7 +97,7 @@ def paths(result: PregelResult, weight_col: str) -> DataFrame:
         above = pieces.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"))
         longer = open_.join(above, "up").select("id", F.col("_up").alias("up"), F.concat("_path", "path").alias("path"))
         pieces = pieces.where(F.col("up").isNull()).unionByName(longer)
-        if k % STEPS_AT_ONCE == 0 and k < steps:
+        if k < steps:
             pieces, _ = store.write_table(pieces, f"pieces_{k}", bucket="id")
     pieces, _ = store.write_table(pieces.select("id", F.col("path").alias("_path")), "paths", bucket="id")
     for key in [k for k in store.tables if k.startswith(("pieces_", "edges", "predecessors", "chosen"))]:
