@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,17 +90,17 @@ def chunk_texts(texts: pa.Array) -> tuple[np.ndarray, ...]:
 
 
 def chunk_documents(docs: DataFrame) -> DataFrame:
-    """One row per chunk of each text: ``row``, ``doc_id``, ``seq``, ``start``,
-    ``length`` (bytes), ``words``, ``digest``.  Empty and null texts have none."""
+    """One row per chunk of each text: ``row``, ``doc_id``, ``start``, ``length``
+    (bytes), ``digest``.  Empty and null texts have none."""
     schema = T.StructType(
         [T.StructField("row", T.LongType()), T.StructField("doc_id", docs.schema["doc_id"].dataType)]
-        + [T.StructField(c, T.IntegerType()) for c in ("seq", "start", "length", "words")]
+        + [T.StructField(c, T.IntegerType()) for c in ("start", "length")]
         + [T.StructField("digest", T.LongType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
-            text, *ints, digest = chunk_texts(b.column("text"))
+            text, _, *ints, _, digest = chunk_texts(b.column("text"))
             at = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [b.column("row").take(at), b.column("doc_id").take(at), *(pa.array(x.astype(np.int32)) for x in ints), pa.array(digest)],
@@ -111,35 +111,48 @@ def chunk_documents(docs: DataFrame) -> DataFrame:
 
 
 _ENDS = T.StructType(
-    [T.StructField("run", T.LongType()), T.StructField("left", T.BooleanType()), T.StructField("bytes", T.LongType()), T.StructField("more", T.LongType())]
+    [T.StructField("run", T.LongType()), T.StructField("left", T.BooleanType()), T.StructField("bytes", T.LongType())]
 )
 
 
-def common_end(mine: bytes, other: bytes, left: bool) -> tuple[int, int]:
-    """(bytes, words started in them) on which two texts agree beside a seed: the
-    ends of what comes before it, or the starts of what comes after it.  In the
-    second case ``mine`` has one more byte in front, the seed's last."""
+def common_end(mine: bytes, other: bytes, left: bool) -> int:
+    """Bytes on which two texts agree beside a seed: the ends of what comes before
+    it, or the starts of what comes after it; never a part of a UTF-8 character."""
     raw = np.frombuffer(mine, np.uint8)
-    a, b = (raw[::-1], np.frombuffer(other, np.uint8)[::-1]) if left else (raw[1:], np.frombuffer(other, np.uint8))
+    a, b = (raw[::-1], np.frombuffer(other, np.uint8)[::-1]) if left else (raw, np.frombuffer(other, np.uint8))
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     n = int(differ[0]) if len(differ) else n
-    cut = len(raw) - n if left else 1 + n  # never inside a UTF-8 character
+    cut = len(raw) - n if left else n
     while n and cut < len(raw) and raw[cut] & 0xC0 == 0x80:
         n, cut = n - 1, cut + 1 if left else cut - 1
-    space = (raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D))
-    starts = ~space & np.concatenate(([True], space[:-1]))
-    return n, int((starts[cut:] if left else starts[1:cut]).sum())
+    return n
 
 
 def _ends_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         left = b.column("left").to_pylist()
         ends = [common_end(m.as_py(), o.as_py(), s) for m, o, s in zip(b.column("mine"), b.column("other"), left)]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("run"), b.column("left"), pa.array([e[0] for e in ends], pa.int64()), pa.array([e[1] for e in ends], pa.int64())],
-            names=_ENDS.names,
-        )
+        yield pa.RecordBatch.from_arrays([b.column("run"), b.column("left"), pa.array(ends, pa.int64())], names=_ENDS.names)
+
+
+def words_started(text: bytes, start: int, length: int) -> int:
+    """Words that start in a span of a text."""
+    raw = np.frombuffer(text, np.uint8)[max(start - 1, 0) : start + length]
+    space = (raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D))
+    starts = ~space & np.concatenate(([True], space[:-1]))
+    return int(starts[1 if start else 0 :].sum())
+
+
+def _words_task(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches):
+            texts = [t.as_buffer() for t in b.column("text").cast(pa.large_binary())]
+            spans = zip(texts, b.column("start").to_pylist(), b.column("length").to_pylist())
+            n = pa.array([words_started(*s) for s in spans], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names[:-1]), n], names=names)
+
+    return run
 
 
 def _ends(asks: DataFrame, texts: DataFrame, reach: int | None) -> DataFrame:
@@ -149,11 +162,8 @@ def _ends(asks: DataFrame, texts: DataFrame, reach: int | None) -> DataFrame:
     data, at = F.col("text").cast("binary"), F.col("at").cast("int")
     size, length = F.octet_length(data), F.col("length").cast("int")
     first = F.greatest(at - reach, F.lit(0)) if reach else F.lit(0)
-    after = at + length
-    most = F.lit(reach) + F.col("own").cast("int") if reach else size
-    piece = F.when(F.col("left"), F.substring(data, first + 1, at - first)).otherwise(
-        F.substring(data, after - F.col("own").cast("int") + 1, most)  # with the seed's last byte in front
-    )
+    after = F.substring(data, at + length + 1, F.lit(reach) if reach else size)
+    piece = F.when(F.col("left"), F.substring(data, first + 1, at - first)).otherwise(after)
     seed = F.md5(F.substring(data, at + 1, length))
     pieces = asks.join(texts, "row").select("run", "left", "own", piece.alias("piece"), seed.alias("seed"))
     mine = pieces.where("own").select("run", "left", "seed", F.col("piece").alias("mine"))
@@ -161,29 +171,57 @@ def _ends(asks: DataFrame, texts: DataFrame, reach: int | None) -> DataFrame:
     return map_arrow(mine.join(other, ["run", "left", "seed"]).drop("seed"), _ends_task, _ENDS)
 
 
+def _asked(runs: DataFrame, sides: Column) -> DataFrame:
+    """Both texts of every run on the asked sides (``sides``: array of "is left")."""
+
+    def place(own: bool, row: str, at: Column) -> Column:
+        return F.struct(F.lit(own).alias("own"), F.col(row).alias("row"), at.alias("at"))
+
+    places = F.array(place(True, "row", F.col("start")), place(False, "first_row", F.col("start") - F.col("shift")))
+    each = runs.select("*", F.explode(sides).alias("left"))
+    return each.select("run", "length", "left", F.explode(places).alias("place")).select("run", "length", "left", "place.*")
+
+
+def _per_run(ends: DataFrame) -> DataFrame:
+    side = lambda left: F.max(F.when(F.col("left") == left, F.col("bytes")))
+    return ends.groupBy("run").agg(side(True).alias("before"), side(False).alias("behind"))
+
+
 def _extended(runs: DataFrame, texts: DataFrame) -> DataFrame:
     """``runs`` with their ends moved as far as the bytes agree with the first
     document; runs that become one and the same passage are one row."""
-    yes, no = F.lit(True), F.lit(False)
-    places = [(yes, F.col("row"), F.col("start")), (no, F.col("first_row"), F.col("at"))]
-    each = [F.struct(left.alias("left"), own.alias("own"), row.alias("row"), at.alias("at")) for left in (yes, no) for own, row, at in places]
-    asks = runs.select("run", "length", F.explode(F.array(*each)).alias("ask")).select("run", "length", "ask.*")
-    ends = materialize(_ends(asks, texts, REACH), "ends")
-    far = ends.where(F.col("bytes") > REACH - 4)  # a cut character may have been left out
-    if not far.isEmpty():
-        again = _ends(asks.join(far.select("run", "left"), ["run", "left"]), texts, None)
-        ends = ends.where(F.col("bytes") <= REACH - 4).unionByName(again)
-    ends = ends.groupBy("run").agg(
-        F.sum(F.when(F.col("left"), F.col("bytes")).otherwise(0)).alias("before"), F.sum("bytes").alias("added"), F.sum("more").alias("more")
-    )
+    both = F.array(F.lit(True), F.lit(False))
+    ends = _per_run(_ends(_asked(runs, both), texts, REACH))
+    far = F.lit(REACH - 4)  # a cut character may have been left out
     grown = runs.join(ends, "run").select(
-        "row", "doc_id", (F.col("start") - F.col("before")).alias("start"), (F.col("length") + F.col("added")).alias("length"),
-        "n_chunks", (F.col("n_words") + F.col("more")).alias("n_words"), F.struct("first_doc_id", "first_row").alias("first"),
+        "row", "first_row", "shift", "doc_id", "first_doc_id", "n_chunks",
+        (F.col("start") - F.col("before")).alias("start"),
+        (F.col("start") + F.col("length") + F.col("behind")).alias("end"),
+        (F.col("before") > far).alias("more_before"),
+        (F.col("behind") > far).alias("more_behind"),
     )
-    # seeds of one passage, parted by a chunk that occurs elsewhere first, meet again
-    one = grown.groupBy("row", "start", "length").agg(
-        F.first("doc_id").alias("doc_id"), F.sum("n_chunks").alias("n_chunks"), F.max("n_words").alias("n_words"), F.min("first").alias("first")
-    )
+    # what agrees on both sides of a chunk that occurs elsewhere first is one run again
+    here = Window.partitionBy("row", "first_row", "shift").orderBy("start", "end")
+    reach = F.max("end").over(here.rowsBetween(Window.unboundedPreceding, -1))
+    parted = grown.withColumn("new", F.when(reach.isNull() | (F.col("start") > reach), 1).otherwise(0))
+    parted = parted.withColumn("piece", F.sum("new").over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = parted.groupBy("row", "first_row", "shift", "piece").agg(
+        F.first("doc_id").alias("doc_id"), F.first("first_doc_id").alias("first_doc_id"), F.sum("n_chunks").alias("n_chunks"),
+        F.min("start").alias("start"), F.max("end").alias("end"),
+        F.min(F.struct("start", ~F.col("more_before")))["col2"].alias("whole_before"),
+        F.max(F.struct("end", ~F.col("more_behind")))["col2"].alias("whole_behind"),
+    )
+    merged = joined.withColumn("run", F.monotonically_increasing_id()).withColumn("length", F.col("end") - F.col("start"))
+    merged = materialize(merged, "merged-runs")
+    open_ = F.array_compact(F.array(F.when(~F.col("whole_before"), True), F.when(~F.col("whole_behind"), False)))
+    rest = materialize(_per_run(_ends(_asked(merged.where("not whole_before or not whole_behind"), open_), texts, None)), "far-ends")
+    none = F.lit(0).cast("long")
+    out = merged.join(rest, "run", "left").select(
+        "row", "doc_id", F.struct("first_doc_id", "first_row").alias("first"), "n_chunks",
+        (F.col("start") - F.coalesce("before", none)).alias("start"),
+        (F.col("length") + F.coalesce("before", none) + F.coalesce("behind", none)).alias("length"),
+    )
+    one = out.groupBy("row", "start", "length").agg(F.first("doc_id").alias("doc_id"), F.sum("n_chunks").alias("n_chunks"), F.min("first").alias("first"))
     return one.withColumn("first_doc_id", F.col("first.first_doc_id")).drop("first")
 
 
@@ -215,10 +253,11 @@ def repeated_spans(docs: DataFrame, *, row: str | None = None, min_words: int =
         .select("digest", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("at"))
     )
     later = shared.join(repeated, "digest").where(F.col("row") != F.col("first_row"))
-    # a run goes on while its chunks follow each other here and in one first document
-    shift = F.col("start") - F.col("at")
-    by_seq = Window.partitionBy("row", "first_row", "shift").orderBy("seq")
-    runs = later.withColumn("shift", shift).withColumn("island", F.col("seq") - F.row_number().over(by_seq))
+    # a run goes on while its chunks follow each other here and in one first document:
+    # then start less the bytes of the chunks before it stays the same
+    along = Window.partitionBy("row", "first_row", "shift").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    runs = later.withColumn("shift", F.col("start") - F.col("at"))
+    runs = runs.withColumn("island", F.col("start") - F.coalesce(F.sum("length").over(along), F.lit(0)))
     runs = (
         runs.groupBy("row", "first_row", "shift", "island")
         .agg(
@@ -227,13 +266,16 @@ def repeated_spans(docs: DataFrame, *, row: str | None = None, min_words: int =
             F.min("start").cast("long").alias("start"),
             F.sum("length").cast("long").alias("length"),
             F.count(F.lit(1)).alias("n_chunks"),
-            F.sum("words").alias("n_words"),
         )
-        .withColumn("at", F.col("start") - F.col("shift"))
-        .drop("island", "shift")
+        .drop("island")
     )
     runs = materialize(runs.withColumn("run", F.monotonically_increasing_id()), "runs")
-    return _extended(runs, named.select("row", "text")).where(F.col("n_words") >= min_words)
+    texts = named.select("row", "text")
+    spans = materialize(_extended(runs, texts).where(F.col("length") >= 2 * min_words - 1), "spans")  # shorter ones cannot hold the words
+    names = ["row", "doc_id", "start", "length", "n_chunks", "first_doc_id", "n_words"]
+    schema = T.StructType([spans.schema[c] for c in names[:-1]] + [T.StructField("n_words", T.LongType())])
+    counted = map_arrow(spans.join(texts, "row").select(*names[:-1], "text"), _words_task(names), schema)
+    return counted.where(F.col("n_words") >= min_words)
 
 
 def dedup_documents(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:

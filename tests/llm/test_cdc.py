@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from graphloom.llm.cdc_dedup import chunk_texts, common_end, dedup_documents, gear_hash, repeated_spans
+from graphloom.llm.cdc_dedup import chunk_texts, common_end, dedup_documents, gear_hash, repeated_spans, words_started
 from graphloom.llm.queries import QUERIES
 from tests.conftest import SMALL
 
@@ -70,12 +70,17 @@ def test_repeated_passages_are_found_and_cut(spark):
     assert repeated_spans(docs.limit(0)).collect() == []
 
 
-def test_common_end_counts_words_and_keeps_characters():
-    assert common_end(b"xx one two ", b"yy one two ", True) == (9, 2)
-    assert common_end(b". three fo", b" three fi", False) == (8, 2)
-    assert common_end("aé".encode(), "a\u0129".encode(), True) == (0, 0)  # the last byte alone agrees
-    assert common_end("-aé".encode(), "aè".encode(), False) == (1, 0)
-    assert common_end(b"", b"abc", True) == (0, 0) and common_end(b"a", b"", False) == (0, 0)
+def test_common_end_keeps_characters():
+    assert common_end(b"xx one two ", b"yy one two ", True) == 9
+    assert common_end(b" three fo", b" three fi", False) == 8
+    assert common_end("aé".encode(), "a\u0129".encode(), True) == 0  # the last byte alone agrees
+    assert common_end("aé".encode(), "aè".encode(), False) == 1
+    assert common_end(b"", b"abc", True) == 0 and common_end(b"", b"", False) == 0
+
+
+def test_words_started():
+    text = "one two  thrée".encode()
+    assert [words_started(text, *s) for s in [(0, 15), (1, 14), (3, 5), (4, 3), (0, 0)]] == [3, 2, 1, 1, 0]
 
 
 def test_passages_of_short_words_are_found_whole(spark):
