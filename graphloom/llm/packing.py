@@ -28,7 +28,7 @@ END_ID = 1
 BLOCK_WINDOWS = 64  # windows partitioned together
 MAX_PIECE = 256  # remainders are cut into pieces of at most this many ids
 SLACK = 8  # ids per window a block is planned below capacity
-CACHE_BYTES = 12 << 20  # what a task remembers of words and their ids, and as much of word parts
+CACHE_BYTES = 40 << 20  # what a task remembers of word parts and their ids, and as much of other words
 CHUNK_BYTES = 1 << 20  # text a task tokenizes at once
 _SEQUENCE_SHIFT = 40  # sequence_id = partition << 40 | number in the partition
 
@@ -173,8 +173,8 @@ class WordTokenizer:
 
     def word(self, w: str) -> tuple[int, ...]:
         if w.isascii() and w.isalpha():
-            ids = self.part(w.lower())
-        elif "<|" in w or not self.plain(w):
+            return self.part(w.lower())  # remembered there
+        if "<|" in w or not self.plain(w):
             ids = tuple(self.whole.encode(w, add_special_tokens=False).ids)
         else:
             ids = tuple([i for p in self.split(w.lower()) for i in self.part(p)])
@@ -186,8 +186,8 @@ class WordTokenizer:
         if not pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens are case-sensitive
             texts = pc.ascii_lower(texts)
         distinct, index, starts = words(texts)
-        known, word = self.words.get, self.word
-        per_word = [known(w) or word(w) for w in distinct.to_pylist()]
+        plain, known, word = self.parts.get, self.words.get, self.word
+        per_word = [plain(w) or known(w) or word(w) for w in distinct.to_pylist()]
         per_word.append((end_id,))
         lens = np.fromiter(map(len, per_word), np.int64, len(per_word))
         flat = np.fromiter(chain.from_iterable(per_word), np.uint32, int(lens.sum()))
