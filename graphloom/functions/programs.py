@@ -86,6 +86,23 @@ def relax_min(weight_col: str = "weight") -> VertexProgram:
     )
 
 
+def relax_min_guarded(weight_col: str = "weight", *, backwards: bool = False) -> VertexProgram:
+    """As :func:`relax_min`, but the relaxation is tested on the edge: only a cost that
+    improves the receiver's is sent, for one more look at the receivers' states.
+    ``backwards``: from ``dst`` to ``src``."""
+
+    def relaxed(sender: Column, receiver: Column) -> Column:
+        cost = sender + F.col(weight_col)
+        return F.when(receiver.isNull() | (cost < receiver), cost)
+
+    return VertexProgram(
+        send=lambda src: src + F.col(weight_col),
+        merge=F.min,
+        update=lambda state, msg: F.least(state, msg),
+        send_triplet=lambda src, dst: relaxed(dst, src) if backwards else relaxed(src, dst),
+    )
+
+
 def relax_path(weight_col: str = "weight") -> VertexProgram:
     """Shortest cost with path: state ``struct(dist, hops, path)``.
 

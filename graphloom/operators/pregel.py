@@ -28,6 +28,9 @@ Each superstep is then
    merge output is hash-partitioned into the same ``P`` partitions, so the
    state does not move either.
 
+A run that is given a name leaves a manifest beside its tables after every round
+and can be resumed from there after its driver was lost.
+
 The state is log-structured: a base table with all vertices and a few deltas
 with the rows that changed since, all bucketed alike, the newest last.  A round
 writes the rows that changed (and takes over deltas that are not larger, so
@@ -39,8 +42,10 @@ branch that reads it; fused rounds write bases.
 """
 from __future__ import annotations
 
+import json
 import logging
 import math
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -151,6 +156,18 @@ class PregelResult:
             self._store = None
 
 
+@dataclass(frozen=True)
+class Progress:
+    """A run after one of its rounds."""
+
+    rounds: int
+    vertex_count: int
+    edge_stats: Row
+    settled: DataFrame  # id, state, since
+    edges: DataFrame  # the written edges
+    store: "_StateStore"  # tables written with it are dropped with the run
+
+
 @dataclass
 class _Edges:
     key: str  # "src" or "dst": the end whose vertex is active
@@ -197,6 +214,12 @@ def _split_hubs(e: DataFrame, path: str, key: str, stats: Row, degrees: DataFram
     if parts <= 1 or int(stats[most] or 0) <= threshold:
         return _Edges(key, e, None, [], stats)
     hubs = sorted(r["id"] for r in degrees.where(F.col(degree) > threshold).select("id").collect())
+    return _parted(e, path, key, hubs, stats)
+
+
+def _parted(e: DataFrame, path: str, key: str, hubs: list, stats: Row) -> _Edges:
+    if not hubs:
+        return _Edges(key, e, None, [], stats)
     files = e.sparkSession.read.schema(e.schema).parquet(path)
     return _Edges(key, e.where(~F.col(key).isin(hubs)), files.where(F.col(key).isin(hubs)), hubs, stats)
 
@@ -265,12 +288,19 @@ class _StateStore:
     for the bucket spec) and dropped, files included, as the loop moves on.
     """
 
-    def __init__(self, spark, parts: int) -> None:
+    def __init__(self, spark, parts: int, run: str | None = None) -> None:
+        if run is not None and not re.fullmatch("[a-z0-9_]+", run):
+            raise ValueError("the name of a run has lower-case letters, digits and underscores only")
         self.spark = spark
         self.parts = parts
-        self.tag = uuid.uuid4().hex[:16]
+        self.run = run
+        self.saved = False  # a manifest is there
+        self.tag = run or uuid.uuid4().hex[:16]
         self.tables: list[str] = []
+        self.specs: dict[str, tuple[str, str | None]] = {}  # schema and bucket column of each table
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/pregel-{self.tag}"
+        for other in [o for o in _OPEN if run is not None and o.run == run]:
+            _OPEN.remove(other)  # it failed; its tables are this one's now
         _OPEN.append(self)
 
     def name(self, key: str) -> str:
@@ -303,6 +333,7 @@ class _StateStore:
         if bucket is not None:
             writer = writer.bucketBy(self.parts, bucket).sortBy(bucket)
         self.tables.append(key)
+        self.specs[key] = (out.schema.json(), bucket)
         writer.saveAsTable(self.name(key))
         return self.spark.table(self.name(key)), (obs.get if obs is not None else {})
 
@@ -316,11 +347,60 @@ class _StateStore:
     def step(superstep: int) -> str:
         return f"superstep_{superstep:06d}"
 
+    def _fs(self, path: str):
+        """(file system, path) as Spark sees them."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _listed(self) -> list[str]:
+        fs, base = self._fs(self.base)
+        return sorted(s.getPath().getName() for s in fs.listStatus(base)) if fs.exists(base) else []
+
+    def save(self, step: int, manifest: dict, tables: list[str]) -> None:
+        """Write the run's manifest: complete under its final name, the one before it
+        deleted afterwards."""
+        manifest = manifest | {"parts": self.parts, "tables": {key: self.specs[key] for key in tables}}
+        name = f"manifest-{step:06d}.json"
+        fs, draft = self._fs(f"{self.base}/{name}.draft")
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(manifest).encode()))
+        out.close()
+        final = self._fs(f"{self.base}/{name}")[1]
+        fs.delete(final, False)
+        fs.rename(draft, final)
+        self.saved = True
+        for old in self._listed():
+            if old.startswith("manifest-") and old != name:
+                self._delete(f"{self.base}/{old}")
+
+    def load(self) -> dict | None:
+        """The manifest of the run of this name, if any, with its tables registered
+        again.  What an unfinished round left is deleted."""
+        done = [f for f in self._listed() if re.fullmatch(r"manifest-\d+\.json", f)]
+        manifest = json.loads(self.spark.read.text(f"{self.base}/{done[-1]}", wholetext=True).first()[0]) if done else {"tables": {}}
+        for left in self._listed():
+            if left not in manifest["tables"] and left not in done[-1:]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(left)}") if re.fullmatch("[a-z0-9_]+", left) else None
+                self._delete(f"{self.base}/{left}")
+        if not done:
+            return None
+        self.saved, self.parts = True, int(manifest["parts"])
+        there = set(self._listed())
+        for key, (schema, bucket) in manifest["tables"].items():
+            if key not in there:  # edges of a run that has ended
+                continue
+            columns = self.spark.sparkContext._jvm.org.apache.spark.sql.types.DataType.fromJson(schema).toDDL()
+            dealt = f"CLUSTERED BY (`{bucket}`) SORTED BY (`{bucket}`) INTO {self.parts} BUCKETS" if bucket else ""
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(key)}")
+            self.spark.sql(f"CREATE TABLE {self.name(key)} ({columns}) USING parquet {dealt} LOCATION '{self.path(key)}'")
+            self.tables.append(key)
+            self.specs[key] = (schema, bucket)
+        return manifest
+
     def _delete(self, path: str) -> None:
         try:
-            jvm = self.spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            fs, p = self._fs(path)
+            fs.delete(p, True)
         except Exception as exc:  # cleanup is best effort, but not silent
             _log.warning("could not delete %s: %s", path, exc)
 
@@ -527,6 +607,8 @@ def pregel(
     partitions: int | None = None,
     keep_edges: bool = False,
     by_size: Callable[[int], tuple[VertexProgram, Column]] | None = None,
+    after_round: Callable[[Progress], None] | None = None,
+    resume: str | None = None,
 ) -> PregelResult:
     """Run ``program`` on ``graph`` until no vertex is active (or the cap).
 
@@ -555,7 +637,16 @@ def pregel(
     :class:`PreparedGraph` brings its own and fills missing endpoints.
     ``keep_edges`` leaves the written edges to the result until it is released.
     ``by_size(edges)``, if given, picks the program and the start state by the
-    number of edges.
+    number of edges.  ``after_round(progress)`` may raise to end the run.
+
+    ``resume`` names the run (lower-case letters, digits, underscores; ids must be
+    numbers or texts).  After every round a manifest in the checkpoint folder says
+    which tables hold it, and a call with the same name, in this session or
+    after the driver was lost, goes on from the last complete round with the same
+    results and trace; the graph is not read again.  Give the same program and
+    options.  The run's tables stay until its result is released, or until an
+    error of the data (a ``ValueError``) ends it.  Two calls must not share a name
+    at the same time.
     """
     if fuse < 1:
         raise ValueError("fuse must be at least 1")
@@ -565,30 +656,49 @@ def pregel(
     prepared = isinstance(graph, PreparedGraph)
     if prepared and not set(edge_min_columns) <= set(graph.edge_min_columns):
         raise ValueError(f"the graph was prepared without statistics of {edge_min_columns}")
+    if prepared and resume is not None:
+        raise ValueError("a run over a prepared graph cannot be resumed: its edges go with the driver")
     parts = graph.store.parts if prepared else partitions or shuffle_partitions(spark)
-    store = _StateStore(spark, parts)
+    store = _StateStore(spark, parts, resume)
     try:
-        with _dealt_like(spark, parts):
+        manifest = store.load() if resume is not None else None
+        with _dealt_like(spark, store.parts):
             return _run(
                 graph, program, store, state, active, max_iterations, direction, fill_missing or prepared, prepare_vertices,
-                edge_min_columns, validate, fuse, keep_edges, by_size,
+                edge_min_columns, validate, fuse, keep_edges, by_size, after_round, manifest,
             )
-    except BaseException:
-        store.drop_all()
+    except BaseException as exc:
+        if not store.saved or isinstance(exc, ValueError):
+            store.drop_all()
         raise
 
 
-def _run(
-    graph, program, store, state, active, max_iterations, direction, fill_missing, prepare_vertices, edge_min_columns, validate, fuse, keep_edges, by_size
-) -> PregelResult:
-    spark = store.spark
+@dataclass
+class _Start:
+    """What the rounds of a run go on from."""
+
+    edges: DataFrame
+    edge_count: int
+    stats: Row
+    vertex_count: int
+    sides: list[_Edges]
+    levels: list[_Level]
+    n_active: int
+    rounds: int
+    trace: list[tuple]
+
+
+def _begin(graph, store, state, active, direction, fill_missing, prepare_vertices, edge_min_columns, by_size) -> tuple[_Start, Callable]:
+    """(state of superstep 0, what gives the edges by the end they are bucketed on).
+    The sides are added after the caller has looked at the statistics."""
     prepared = graph if isinstance(graph, PreparedGraph) else None
     e, edge_count = (prepared.edges, int(prepared.stats["edges"] or 0)) if prepared else _write_edges(store, graph.edges, "src")
     if by_size is not None:
-        program, state = by_size(edge_count)
+        state = by_size(edge_count)[1]
     stats_cols: list[str] = []
     stat_metrics: list[Column] = []
     degree_cols = ["_deg", "_indeg"] if fill_missing and not prepared else []
+    degrees = None
     if prepared:
         vertices, stats = prepared.vertices, prepared.stats
     elif fill_missing:
@@ -622,26 +732,78 @@ def _run(
         stats = Row(**{k: v for k, v in first.items() if k not in ("vertices", "active")})
         degrees = base.select("id", *degree_cols)
     vertex_count = int(first["vertices"])
-    n_active = int(first["active"])
+
+    def sides() -> list[_Edges]:
+        if prepared:
+            return prepared.sides(direction)
+        out = []
+        for key in _KEYS[direction]:
+            table = e if key == "src" else _write_edges(store, e, "dst")[0]
+            out.append(_split_hubs(table, store.path("edges" if key == "src" else "edges_in"), key, stats, degrees, store.parts))
+        return out
+
+    return _Start(e, edge_count, stats, vertex_count, [], [_Level(base, 0, vertex_count)], int(first["active"]), 0, []), sides
+
+
+def _manifest(run: _Start) -> dict:
+    """The run as JSON, but for its tables."""
+    plain = {k: v if v is None or isinstance(v, (int, float, str)) else str(v) for k, v in run.stats.asDict().items()}
+    return {
+        "edge_count": run.edge_count,
+        "stats": plain,
+        "vertex_count": run.vertex_count,
+        "hubs": {side.key: side.hubs for side in run.sides},
+        "levels": [[level.key, level.rows] for level in run.levels],
+        "n_active": run.n_active,
+        "rounds": run.rounds,
+        "trace": run.trace,
+    }
+
+
+def _resumed(store: _StateStore, manifest: dict) -> _Start:
+    def table(key: str) -> DataFrame | None:
+        return store.spark.table(store.name(key)) if key in store.tables else None
+
+    stats = Row(**manifest["stats"])
+    edges = table("edges")
+    sides = []
+    for key, hubs in manifest["hubs"].items():
+        name = "edges" if key == "src" else "edges_in"
+        if table(name) is not None:
+            sides.append(_parted(table(name), store.path(name), key, hubs, stats))
+    levels = [_Level(table(store.step(key)), key, rows) for key, rows in manifest["levels"]]
+    trace = [tuple(row) for row in manifest["trace"]]
+    return _Start(edges, manifest["edge_count"], stats, manifest["vertex_count"], sides, levels, manifest["n_active"], manifest["rounds"], trace)
+
+
+def _run(
+    graph, program, store, state, active, max_iterations, direction, fill_missing, prepare_vertices, edge_min_columns, validate, fuse, keep_edges, by_size,
+    after_round, manifest,
+) -> PregelResult:
+    spark = store.spark
+    sides_of = None
+    if manifest is None:
+        run, sides_of = _begin(graph, store, state, active, direction, fill_missing, prepare_vertices, edge_min_columns, by_size)
+    else:
+        run = _resumed(store, manifest)
+    if by_size is not None:
+        program = by_size(run.edge_count)[0]
+    vertex_count, stats, e = run.vertex_count, run.stats, run.edges
     if callable(max_iterations):
         max_iterations = max_iterations(vertex_count)
     if validate is not None:
         validate(stats, vertex_count)
-    if prepared:
-        sides = prepared.sides(direction)
-    else:
-        sides = []
-        for key in _KEYS[direction]:
-            table = e if key == "src" else _write_edges(store, e, "dst")[0]
-            sides.append(_split_hubs(table, store.path("edges" if key == "src" else "edges_in"), key, stats, degrees, store.parts))
-
-    trace: list[tuple[int, int, int, int, int, float]] = []
-    rounds = 0
+    if sides_of is not None:
+        run.sides = sides_of()
+        if store.run is not None:
+            store.save(0, _manifest(run), list(store.tables))
+    sides, levels, trace, rounds, n_active = run.sides, run.levels, run.trace, run.rounds, run.n_active
     converged = n_active == 0
-    levels = [_Level(base, 0, vertex_count)]
     while not converged:
         if max_iterations is not None and rounds >= max_iterations:
             break
+        if not sides:
+            raise RuntimeError("the run has ended and its edges are gone: it cannot take more rounds")
         started = time.perf_counter()
         steps = fuse if max_iterations is None else max(1, min(fuse, max_iterations - rounds))
         tables = [level.table for level in levels]
@@ -678,8 +840,6 @@ def _run(
         table, row = store.write(cur, key, *metrics, columns=["id", "state", "changed", "n", "since"], keep=keep)
         gone = levels if full else levels[len(levels) - taken :]
         levels = [*([] if full else levels[: len(levels) - taken]), _Level(table, key, int(row["rows"] or 0))]
-        for level in gone:
-            store.drop(store.step(level.key))
         elapsed = time.perf_counter() - started
         for k in range(1, steps + 1):
             changed = int(row[f"changed_{k}"] or 0)
@@ -698,8 +858,19 @@ def _run(
             if changed == 0:
                 converged = True
                 break
+        if store.run is not None:
+            run.levels, run.rounds, run.n_active = levels, rounds, n_active
+            held = {store.step(level.key) for level in levels}
+            store.save(key, _manifest(run), [t for t in store.tables if t.startswith("edges") or t in held])
+        for level in gone:
+            store.drop(store.step(level.key))
+        if after_round is not None and not converged:
+            after_round(Progress(rounds, vertex_count, stats, _current([level.table for level in levels]), e, store))
 
     # the state is all that stays
+    if store.run is not None and not keep_edges:
+        run.sides = []
+        store.save(rounds, _manifest(run), [store.step(level.key) for level in levels])
     for key in [k for k in store.tables if k.startswith("edges") and not keep_edges]:
         store.drop(key)
     trace_df = spark.createDataFrame(trace, _TRACE_SCHEMA)

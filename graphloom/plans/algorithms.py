@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from graphloom.functions.lines import max_line
-from graphloom.functions.programs import add_walks, path_start, relax_min, relax_path, spread_larger, spread_larger_both, spread_max, sum_both_ends
+from graphloom.functions.programs import add_walks, path_start, relax_min, relax_min_guarded, relax_path, spread_larger, spread_larger_both, spread_max, sum_both_ends
 from graphloom.graph import PropertyGraph
-from graphloom.operators.pregel import PregelResult, PreparedGraph, VertexProgram, pregel
-from graphloom.plans import paths
+from graphloom.operators.pregel import PregelResult, PreparedGraph, Progress, VertexProgram, pregel
+from graphloom.plans import cycles, paths
 
 Sources = Union[Iterable[Any], DataFrame, Column, Callable[[PropertyGraph], DataFrame]]
 
@@ -84,7 +84,7 @@ def _check_weights(weight_col: str, allow_negative: bool):
         if low is not None and low < 0 and not allow_negative:
             raise ValueError(
                 f"negative edge weight {low} in '{weight_col}'; pass allow_negative=True "
-                "to run Bellman-Ford with a |V|-round limit"
+                "to run Bellman-Ford, which raises NegativeCycle on a negative cycle"
             )
 
     return check
@@ -99,6 +99,7 @@ def _shortest(
     allow_negative: bool,
     direction: str,
     keep_edges: bool = False,
+    resume: str | None = None,
 ) -> PregelResult:
     hook, is_source = _source_flag(sources)
     g = graph
@@ -111,6 +112,11 @@ def _shortest(
         g = PropertyGraph(vertices, graph.edges.select("src", "dst", weight_col))
     negative_guard = allow_negative and max_iterations is None
 
+    def watch(now: Progress) -> None:
+        low = now.edge_stats[f"min_{weight_col}"]
+        if low is not None and low < 0:
+            cycles.raise_on_negative_cycle(now, weight_col, direction)
+
     def chosen(edges: int) -> tuple[VertexProgram, Column]:
         program, start, none = by_size(edges)
         return program, F.when(is_source, start).otherwise(none)
@@ -120,22 +126,20 @@ def _shortest(
         None,
         state=None,
         by_size=chosen,
-        # Bellman-Ford settles in |V| - 1 rounds unless a negative cycle is reachable
-        max_iterations=(lambda vertices: vertices) if negative_guard else max_iterations,
+        max_iterations=max_iterations,
+        after_round=watch if negative_guard else None,
         prepare_vertices=hook,
         edge_min_columns=(weight_col,),
         validate=_check_weights(weight_col, allow_negative),
         direction=direction,
         keep_edges=keep_edges,
+        resume=resume,
     )
-    if negative_guard and not res.converged:
-        res.release()
-        raise ValueError("negative cycle reachable from a source: costs still fall after |V| rounds")
     return res
 
 
-def _costs_only(weight_col: str) -> tuple[VertexProgram, Column, Column]:
-    return relax_min(weight_col), F.lit(0).cast("long"), F.lit(None).cast("long")
+def _costs_only(weight_col: str, program: VertexProgram | None = None) -> tuple[VertexProgram, Column, Column]:
+    return program or relax_min(weight_col), F.lit(0).cast("long"), F.lit(None).cast("long")
 
 
 def sssp(
@@ -146,20 +150,32 @@ def sssp(
     max_iterations: int | None = None,
     allow_negative: bool = False,
     direction: str = "out",
+    guarded: bool = False,
+    resume: str | None = None,
 ) -> PregelResult:
     """Cheapest cost from the nearest source.  Result vertices: (id, dist);
     ``dist`` is NULL where no source reaches the vertex.  With
     ``max_iterations = k`` the cost uses walks of at most ``k`` edges.
     ``direction`` "in" follows the edges backwards (the cost to the nearest
-    source), "either" both ways."""
+    source), "either" both ways.
+
+    With ``allow_negative`` weights may be negative; a negative cycle that a source
+    reaches raises :class:`~graphloom.plans.cycles.NegativeCycle` soon after costs
+    have gone around it.  With ``guarded`` a vertex sends only costs that improve
+    the receiver's.  ``resume`` names the run, which then goes on after a loss of
+    the driver (see :func:`~graphloom.operators.pregel.pregel`)."""
+    if guarded and direction == "either":
+        raise ValueError("a guarded search follows the edges in one direction")
+    program = relax_min_guarded(weight_col, backwards=direction == "in") if guarded else None
     res = _shortest(
         graph,
         sources,
         weight_col,
-        lambda _edges: _costs_only(weight_col),
+        lambda _edges: _costs_only(weight_col, program),
         max_iterations,
         allow_negative,
         direction,
+        resume=resume,
     )
     return _renamed(res, res.vertices.select("id", F.col("state").alias("dist")))
 
@@ -171,6 +187,7 @@ def sssp_paths(
     *,
     max_iterations: int | None = None,
     allow_negative: bool = False,
+    resume: str | None = None,
 ) -> PregelResult:
     """Cheapest cost and the path achieving it (starting with its source).
 
@@ -189,7 +206,7 @@ def sssp_paths(
         return relax_path(weight_col), path_start(F.col("id")), F.lit(None)
 
     keep = max_iterations is None
-    res = _shortest(graph, sources, weight_col, by_size, max_iterations, allow_negative, "out", keep_edges=keep)
+    res = _shortest(graph, sources, weight_col, by_size, max_iterations, allow_negative, "out", keep_edges=keep, resume=resume)
     if isinstance(res.settled.schema["state"].dataType, StructType):
         res.release_edges()
         v = res.vertices.select("id", "state.dist", "state.hops", "state.path")

@@ -159,6 +159,17 @@ def q_cost_there_and_back(spark: SparkSession, sf: str) -> DataFrame:
     return there.join(back, "id").select("id", "there", "back", (F.col("there") + F.col("back")).alias("round_trip"))
 
 
+def q_sssp_guarded_handoff(spark: SparkSession, sf: str) -> DataFrame:
+    """Shortest costs whose relaxation is tested on the edge, before the shuffle."""
+    return sssp(t.handoff(spark, sf), [t.HANDOFF_SOURCE], guarded=True).vertices
+
+
+def q_sssp_signed_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Cheapest cost over weights of either sign (how much longer a turn's text is than
+    the one before it), watched for negative cycles."""
+    return sssp(t.signed_turns(spark, sf), t.turn_starts(), allow_negative=True).vertices
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trade_vertices": q_trade_vertices,
     "trade_edges": q_trade_edges,
@@ -187,4 +198,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "handoff_strength": q_handoff_strength,
     "walk_counts_trade": q_walk_counts_trade,
     "cost_there_and_back": q_cost_there_and_back,
+    "sssp_guarded_handoff": q_sssp_guarded_handoff,
+    "sssp_signed_turns": q_sssp_signed_turns,
 }

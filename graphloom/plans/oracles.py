@@ -279,3 +279,7 @@ WHERE rk = 1""",
     + f"SELECT src, dst, weight FROM handoff_e ORDER BY src, dst, weight LIMIT {PREVIEW_ROWS}",
 }
 ORACLES["max_reach_guarded"] = ORACLES["max_reach_turns"]
+ORACLES["sssp_guarded_handoff"] = ORACLES["sssp_handoff"]
+ORACLES["sssp_signed_turns"] = _with(TURNS) + """SELECT c.id, CASE WHEN s.conv_id IS NOT NULL AND c.turn >= 0 THEN c.value - s.value END AS dist
+FROM turns_c c
+LEFT JOIN (SELECT conv_id, seg, value FROM turns_c WHERE turn = 0) s ON c.conv_id = s.conv_id AND c.seg = s.seg"""

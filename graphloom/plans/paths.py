@@ -100,7 +100,8 @@ def paths(result: PregelResult, weight_col: str) -> DataFrame:
         if k < steps:
             pieces, _ = store.write_table(pieces, f"pieces_{k}", bucket="id")
     pieces, _ = store.write_table(pieces.select("id", F.col("path").alias("_path")), "paths", bucket="id")
-    for key in [k for k in store.tables if k.startswith(("pieces_", "edges", "predecessors", "chosen"))]:
+    done = ("pieces_", "predecessors", "chosen", *(() if store.run else ("edges",)))  # a named run may be asked again
+    for key in [k for k in store.tables if k.startswith(done)]:
         store.drop(key)
     reached = F.col("state").isNotNull()
     joined = result.settled.join(pieces, "id", "left")

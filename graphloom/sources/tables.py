@@ -92,10 +92,9 @@ def trade_holes(spark: SparkSession, sf_dir: str) -> PropertyGraph:
 
 
 # turns ------------------------------------------------------------------------
-def turns(spark: SparkSession, sf_dir: str) -> PropertyGraph:
-    """Conversation turns as chains: turn t -> turn t + 1 of the same
-    conversation; value = text length, edge weight = text length of ``dst``.
-    A turn's id is the text ``conv_id:turn``."""
+def _turn_graph(spark: SparkSession, sf_dir: str, weight: Column) -> PropertyGraph:
+    """Conversation turns as chains: turn t -> turn t + 1 of the same conversation;
+    value = text length.  ``weight`` reads both ends' (``src_value``, ``dst_value``)."""
     conv = read(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
         "conv_id",
         "turn",
@@ -106,11 +105,24 @@ def turns(spark: SparkSession, sf_dir: str) -> PropertyGraph:
         "conv_id",
         (F.col("turn") - 1).alias("turn"),
         F.col("id").alias("dst"),
-        F.col("value").alias("weight"),
+        F.col("value").alias("dst_value"),
     )
     # (conv_id, turn) is unique on both sides: a long conversation is no hot key
-    edges = conv.select("conv_id", "turn", F.col("id").alias("src")).join(nxt, ["conv_id", "turn"])
-    return PropertyGraph(conv.select("id", "conv_id", "turn", "value"), edges.select("src", "dst", "weight"))
+    ends = conv.select("conv_id", "turn", F.col("id").alias("src"), F.col("value").alias("src_value"))
+    edges = ends.join(nxt, ["conv_id", "turn"]).select("src", "dst", weight.alias("weight"))
+    return PropertyGraph(conv.select("id", "conv_id", "turn", "value"), edges)
+
+
+def turns(spark: SparkSession, sf_dir: str) -> PropertyGraph:
+    """Conversation turns as chains: turn t -> turn t + 1 of the same
+    conversation; value = text length, edge weight = text length of ``dst``.
+    A turn's id is the text ``conv_id:turn``."""
+    return _turn_graph(spark, sf_dir, F.col("dst_value"))
+
+
+def signed_turns(spark: SparkSession, sf_dir: str) -> PropertyGraph:
+    """As ``turns``; edge weight = how much longer ``dst``'s text is than ``src``'s."""
+    return _turn_graph(spark, sf_dir, F.col("dst_value") - F.col("src_value"))
 
 
 def turn_starts() -> Column:
