@@ -13,14 +13,17 @@ import mmap
 
 import numpy as np
 
-STEP = 8  # quantisation: code = round(-STEP * log2(p)), 2^(1/16) at most off
+STEP = 8  # quantisation: code = -STEP * log2(p), rounded
 ABSENT = 255
 SAMPLE = 256  # elements between two samples of the high bits
 SPAN = 1 << 16  # elements decoded at once
 
 
-def quantize(p: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(-STEP * np.log2(p)), 0, ABSENT - 1).astype(np.uint8)
+def quantize(p: np.ndarray, down: bool = False) -> np.ndarray:
+    """Codes of the nearest probabilities (2^(1/16) at most off), or of the next ones
+    ``down`` (2^(1/8) at most)."""
+    code = -STEP * np.log2(p)
+    return np.clip(np.ceil(code) if down else np.rint(code), 0, ABSENT - 1).astype(np.uint8)
 
 
 def probability(code: np.ndarray) -> np.ndarray:
@@ -110,7 +113,8 @@ def build(keys: np.ndarray, counts: np.ndarray, bits: int) -> mmap.mmap:
 
     Witten-Bell smoothing: a context seen C times with T distinct successors
     gives a successor seen c times the mass c / (C + T) and leaves T / (C + T)
-    to the shorter context.
+    to the shorter context.  Where a context's rounded masses would add up to more
+    than 1, all of them are rounded down.
     """
     shift, mask = np.uint64(bits), np.uint64((1 << bits) - 1)
     contexts, starts = np.unique(keys >> shift, return_index=True)
@@ -118,8 +122,13 @@ def build(keys: np.ndarray, counts: np.ndarray, bits: int) -> mmap.mmap:
     rank = np.repeat(np.arange(len(contexts), dtype=np.uint64), degree)
     total = np.add.reduceat(counts, starts) if len(starts) else counts
     whole = total + degree
-    direct = quantize(counts / np.repeat(whole, degree)) if len(keys) else np.empty(0, np.uint8)
-    backoff = quantize(degree / whole) if len(keys) else np.empty(0, np.uint8)
+    direct = backoff = np.empty(0, np.uint8)
+    if len(keys):
+        mass, left = counts / np.repeat(whole, degree), degree / whole
+        direct, backoff = quantize(mass), quantize(left)
+        above = np.add.reduceat(probability(direct), starts) + probability(backoff) > 1
+        direct = np.where(np.repeat(above, degree), quantize(mass, down=True), direct)
+        backoff = np.where(above, quantize(left, down=True), backoff)
     sequences = (contexts, np.append(starts, len(keys)).astype(np.uint64), (rank << shift) | (keys & mask))
     chunks: list[bytes] = []
     size = 0

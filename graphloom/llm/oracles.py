@@ -10,18 +10,22 @@ rated AS (SELECT source, share / (SELECT s FROM tot) * (SELECT n FROM tot) / n A
 lam AS (SELECT source, rate / greatest(1, ceil(rate / 32.0)) AS rate, greatest(1, ceil(rate / 32.0))::INT AS strata FROM rated),
 cdf AS (SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS c
         FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 20)::INT)) AS k FROM lam)),
+told AS (SELECT *, md5(concat_ws(':', coalesce(text, 'null'), coalesce(lang, 'null'), coalesce(source, 'null'), coalesce(n_chars::VARCHAR, 'null'))) AS digest,
+                count(*) OVER (PARTITION BY doc_id) > 1 OR doc_id IS NULL AS unclear FROM documents),
+named AS (SELECT * EXCLUDE (digest, unclear), CASE WHEN unclear THEN coalesce(doc_id::VARCHAR, 'null') || '#' || digest || '#'
+                 || row_number() OVER (PARTITION BY doc_id, digest) ELSE doc_id::VARCHAR END AS name FROM told),
 st AS (SELECT d.*, l.strata, unnest(range(1, l.strata + 1)) AS stratum
-       FROM documents d JOIN lam l ON d.source IS NOT DISTINCT FROM l.source),
-u AS (SELECT *, (('0x' || substr(sha256('7:rate:' || coalesce(doc_id::VARCHAR, 'null') || ':' || stratum), 1, 15))::BIGINT >> 8)::DOUBLE AS bits
+       FROM named d JOIN lam l ON d.source IS NOT DISTINCT FROM l.source),
+u AS (SELECT *, (('0x' || substr(sha256('7:rate:' || name || ':' || stratum), 1, 15))::BIGINT >> 8)::DOUBLE AS bits
       FROM st),
-counted AS (SELECT u.doc_id, u.text, u.lang, u.source, u.n_chars, u.stratum,
+counted AS (SELECT u.doc_id, u.text, u.lang, u.source, u.n_chars, u.stratum, u.name,
                    (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM u.source
                      AND cdf.c < (u.bits + 0.5) / 4503599627370496.0) AS k FROM u),
 copies AS (SELECT * EXCLUDE (k), unnest(range(1, k + 1)) AS copy FROM counted WHERE k > 0),
-keyed AS (SELECT *, ('0x' || substr(sha256('7:order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || stratum || ':' || copy), 1, 15))::BIGINT AS o
+keyed AS (SELECT *, ('0x' || substr(sha256('7:order:' || name || ':' || stratum || ':' || copy), 1, 15))::BIGINT AS o
           FROM copies)
 SELECT doc_id, text, lang, source, n_chars, stratum::INT AS stratum, copy::INT AS copy,
-       row_number() OVER (ORDER BY o, doc_id, stratum, copy, text) - 1 AS position
+       row_number() OVER (ORDER BY o, doc_id, name, stratum, copy) - 1 AS position
 FROM keyed
 """
 

@@ -115,6 +115,21 @@ def quality(text):
     return (n, sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), rep, n < 20 or 100 * rep > 30 * n)
 
 
+def mixing_names(rows):
+    """rows: (id, other columns as texts or None): the name that each one is drawn by."""
+    import collections as c
+
+    ids, seen, out = c.Counter(r[0] for r in rows), c.Counter(), []
+    for r in rows:
+        if r[0] is not None and ids[r[0]] == 1:
+            out.append(str(r[0]))
+            continue
+        digest = hashlib.md5(":".join("null" if x is None else str(x) for x in r[1:]).encode()).hexdigest()
+        seen[r[0], digest] += 1
+        out.append(f"{'null' if r[0] is None else r[0]}#{digest}#{seen[r[0], digest]}")
+    return out
+
+
 def poisson_count(seed, doc_id, stratum, rate):
     key = f"{seed}:rate:{'null' if doc_id is None else doc_id}:{stratum}"
     u = ((int(hashlib.sha256(key.encode()).hexdigest()[:15], 16) >> 8) + 0.5) / (1 << 52)

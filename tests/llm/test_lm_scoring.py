@@ -43,6 +43,26 @@ def test_level_gives_smoothed_probabilities_and_backoff():
     assert empty.query(asked)[0].tolist() == [ABSENT] * 5
 
 
+def test_masses_of_a_context_add_up_to_one_at_most():
+    rng = np.random.default_rng(8)
+    contexts = [[100], [50, 50], [1], [1] * 400, [10**9], [10**12, 1], *[rng.integers(1, 60, rng.integers(1, 30)).tolist() for _ in range(300)]]
+    keys = np.array([(i << 10) | k for i, c in enumerate(contexts) for k in range(len(c))], np.uint64)
+    level = Level(build(keys, np.array([n for c in contexts for n in c]), 10), 10)
+    direct, backoff = level.query(keys)
+    at = 0
+    for c in contexts:
+        mass = probability(direct[at : at + len(c)]).sum()
+        left = probability(backoff[at : at + 1])[0]
+        assert 0 < left and 0.9 < mass + left <= 1
+        at += len(c)
+
+
+def test_no_token_is_likelier_than_one(spark):
+    docs = spark.createDataFrame([(i, "same " * 300) for i in range(40)] + [(40, "a b"), (41, "a c")], "doc_id long, text string")
+    for r in score_documents(docs, F.col("doc_id") == 0).collect():
+        assert r.score <= 0
+
+
 def test_packed_integers_round_trip():
     rng = np.random.default_rng(1)
     for x in (np.empty(0, np.uint64), np.zeros(5, np.uint64), rng.integers(0, 1 << 63, 1000, np.uint64)):

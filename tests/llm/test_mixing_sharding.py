@@ -1,6 +1,8 @@
 import math
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,21 +19,48 @@ def frame(spark, rows):
 
 def test_copies_follow_inverted_poisson_counts(spark):
     rows = [(i, f"t{i}", "big" if i < 300 else "small") for i in range(306)] + [(None, None, None), (5, "again", "big")]
-    docs = frame(spark, rows)
+    rows += [(None, "same", "big")] * 40 + [(None, None, "big")] * 9 + [(7, "t7", "big")] * 5 + [(8, None, None), (8, "", None)]
+    docs = frame(spark, rows).drop("shard")
     rates = {r[0]: (r[1], r[2]) for r in source_rates(docs).collect()}
     out = mix_sources(docs).collect()
-    got = {}
-    for r in out:
-        got[(r.doc_id, r.text)] = got.get((r.doc_id, r.text), 0) + 1
-    for i, t, s in rows:
+    got, want = Counter((r.doc_id, r.text, r.source) for r in out), Counter()
+    for (i, t, s), name in zip(rows, brute.mixing_names(rows)):
         rate, strata = rates["-" if s is None else f"={s}"]
         assert rate <= MAX_RATE
-        want = sum(brute.poisson_count(SEED, i, k, rate) for k in range(1, strata + 1))
-        assert got.get((i, t), 0) == want
+        want[i, t, s] += sum(brute.poisson_count(SEED, name, k, rate) for k in range(1, strata + 1))
+    assert got == +want
     assert sorted(r.position for r in out) == list(range(len(out)))
     assert mix_sources(docs).collect() != [] and mix_sources(docs.limit(0)).collect() == []
 
 
+def test_rows_without_an_id_keep_their_share(spark):
+    """A source keeps its rate of rows whether they have ids or not, equal rows and
+    rows that differ in a further column only included."""
+    rows = [(i, f"t{i}", s) for i in range(300) for s in ("a", "b")] + [(None, "same", "a"), (None, "same", "b")] * 300
+    docs = frame(spark, rows).withColumn("shard", F.monotonically_increasing_id() % 3)
+    out = mix_sources(docs, weights={"a": 0.25, "b": 0.75}, budget=1200)
+    n = {(r.source, r.unclear): r["count"] for r in out.groupBy("source", F.expr("text = 'same'").alias("unclear")).count().collect()}
+    for source, want in (("a", 150), ("b", 450)):
+        assert abs(n[source, True] - want) < 5 * want**0.5
+        assert abs(n[source, False] - want) < 5 * want**0.5
+
+
+def test_mixing_agrees_with_its_oracle_on_unclear_ids(spark):
+    import duckdb
+
+    from graphloom.llm.oracles import ORACLES
+
+    rows = [(i % 40 if i % 3 else None, "x" if i % 4 else None, None, "s" if i % 5 else "r", i % 2) for i in range(200)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    got = mix_sources(spark.createDataFrame(rows, schema)).collect()
+    documents = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()))], schema.replace(" long", "").replace(" string", "").split(", "))
+    db = duckdb.connect()
+    db.register("documents", documents)
+    want = db.execute(ORACLES["op2_mix_sources"])
+    names = [d[0] for d in want.description]
+    assert sorted((tuple(r[n] for n in names) for r in got), key=str) == sorted(want.fetchall(), key=str)
+
+
 def test_weights_and_large_rates(spark):
     rows = [(i, "a", "big") for i in range(400)] + [(1000, "b", "rare")]
     docs = frame(spark, rows)
