@@ -57,10 +57,11 @@ def test_personal_data_stage_masks_base_spans(spark, documents):
 def test_mixing_stage_repeats_by_poisson_counts(spark, documents):
     rates = {r[0]: (r[1], r[2]) for r in source_rates(documents, alpha=cp.SOURCE_ALPHA).collect()}
     want = []
-    for r in rows(documents):
+    docs = rows(documents)
+    for r, name in zip(docs, brute.mixing_names(docs)):
         rate, strata = rates["-" if r[3] is None else f"={r[3]}"]
         assert rate <= MAX_RATE
-        want += [r] * sum(brute.poisson_count(SEED, r[0], k, rate) for k in range(1, strata + 1))
+        want += [r] * sum(brute.poisson_count(SEED, name, k, rate) for k in range(1, strata + 1))
     assert rows(cp.mix_to_weights(spark, documents, SMALL)) == sorted(want, key=str)
 
 
