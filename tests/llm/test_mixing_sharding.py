@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphloom.llm.poisson_mixing import MAX_RATE, SEED, mix_sources, source_rates
+from graphloom.llm import sharding
 from graphloom.llm.sharding import communication_matrix, hypergeometric, shard_rows, shard_sizes
 from tests.llm import brute
 
@@ -86,6 +87,42 @@ def test_hypergeometric_law():
     assert abs(big - 5 * 10**9) < 10**6
 
 
+def test_mode_of_large_populations():
+    # against exact integers, and a total of 1 where integers are too slow
+    for k, n, draws, good in ((3, 19, 9, 7), (0, 9, 4, 5), (40, 900, 300, 120), (7, 50, 7, 20)):
+        want = math.comb(good, k) * math.comb(n - good, draws - k) / math.comb(n, draws)
+        p = draws / n
+        got = sharding._log_binomial(k, good, p) + sharding._log_binomial(draws - k, n - good, p) - sharding._log_binomial(draws, n, p)
+        assert abs(math.exp(got) / want - 1) < 1e-12
+    n, good, draws = 10**13, 10**13 // 24, 10**9
+    p = draws / n
+    mode = (draws + 1) * (good + 1) // (n + 2)
+    top = math.exp(sharding._log_binomial(mode, good, p) + sharding._log_binomial(draws - mode, n - good, p) - sharding._log_binomial(draws, n, p))
+    total = term = top
+    for k in range(mode, mode + 60_000):  # ten standard deviations to either side
+        term *= (good - k) / (k + 1) * (draws - k) / (n - good - draws + k + 1)
+        total += term
+    term = top
+    for k in range(mode, mode - 60_000, -1):
+        term *= k / (good - k + 1) * (n - good - draws + k) / (draws - k + 1)
+        total += term
+    assert abs(total - 1) < 1e-9
+
+
+def test_many_partitions_share_blocks(spark, monkeypatch):
+    assert sharding.merged_blocks(800_000, 24) * (sharding.MATRIX_CELLS // 24) >= 800_000
+    monkeypatch.setattr(sharding, "MATRIX_CELLS", 24 * 4)
+    drawn = []
+    matrix = sharding.communication_matrix
+    monkeypatch.setattr(sharding, "communication_matrix", lambda blocks, sizes, seed: drawn.append(blocks) or matrix(blocks, sizes, seed))
+    docs = spark.range(0, 2_500, numPartitions=19).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    out = shard_rows(docs).collect()
+    assert len(drawn[0]) <= 4 and sorted(r.doc_id for r in out) == list(range(2_500))
+    for shard in range(24):
+        slots = sorted(r.slot for r in out if r.shard == shard)
+        assert slots == list(range(len(slots))) and len(slots) in (104, 105)
+
+
 def test_matrix_has_exact_margins():
     blocks = {3: 17, 5: 0, 9: 1000, 11: 2}
     sizes = shard_sizes(1019, 24)
