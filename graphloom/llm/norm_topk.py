@@ -7,6 +7,10 @@ of its k-th score.  In every bucket that bound becomes a local cosine
 threshold: above 1 the bucket is skipped, a high threshold prunes by the
 query's strongest coordinate, a low one by length alone; the surviving pairs
 are verified with exact integer products.
+
+Queries are dealt in blocks: a task holds one partition's candidates beside one
+block of queries at a time, so neither many queries nor many visits to one
+partition meet in one task.
 """
 from __future__ import annotations
 
@@ -23,7 +27,9 @@ from graphloom.llm.scratch import materialize
 
 BUCKET = 2048  # vectors of a bucket
 PART_ROWS = 50_000  # candidates of a partition
+QUERY_BLOCK = 8192  # queries of a block, on average; each block gets its own copy of a partition
 QUERY_BATCH = 512  # queries handled at once
+MAX_TASKS = 100_000  # tasks of a search; more (partition, block) groups share them, one after the other
 COORDINATE_COSINE = 0.6  # local threshold from which a coordinate prunes better than length
 _EXACT = float(1 << 53)
 
@@ -221,7 +227,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, part_rows: int =
         F.sqrt(length).alias("len"),
         F.coalesce(is_query, F.lit(False)).alias("asked"),
     )
-    n = rows.count()
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("asked"), 1)).alias("asked")).first()
+    n, blocks = size["n"], max(1, -(-size["asked"] // QUERY_BLOCK))
     parts = max(1, -(-n // part_rows), min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // BUCKET))
     # longest vectors first; the id splits a run of equal lengths
     dealt = rows.repartitionByRange(parts, F.col("len").desc(), F.col("vec_id")).withColumn(
@@ -229,30 +236,43 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, part_rows: int =
     )
     base = materialize(dealt, "vectors")
     # a repeated query id is one query, with the smallest of its vectors
-    queries = base.where("asked").groupBy("vec_id").agg(F.min(F.struct("v", "dim", "len")).alias("q")).select("vec_id", "q.*")
-    stats = base.groupBy("part", "dim").agg(F.max("len").alias("longest"))
+    queries = (
+        base.where("asked").groupBy("vec_id").agg(F.min(F.struct("v", "dim", "len")).alias("q")).select("vec_id", "q.*")
+        .withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)))
+    )
 
     def search(cand: DataFrame, asked: DataFrame) -> DataFrame:
-        both = cand.select("part", "vec_id", "v", "dim", F.lit(False).alias("query"), F.lit(0.0).alias("bound")).unionByName(
-            asked.select("part", "vec_id", "v", "dim", F.lit(True).alias("query"), "bound")
+        """``cand`` has the candidates once for every block of ``asked`` that visits their part."""
+        group = (F.col("part") * F.lit(blocks) + F.col("block")).alias("part")
+        both = cand.select(group, "vec_id", "v", "dim", F.lit(False).alias("query"), F.lit(0.0).alias("bound")).unionByName(
+            asked.select(group, "vec_id", "v", "dim", F.lit(True).alias("query"), "bound")
         )
-        dealt = both.repartition(parts, "part").sortWithinPartitions("part", "query")
+        dealt = both.repartition(min(parts * blocks, max(parts, MAX_TASKS)), "part").sortWithinPartitions("part", "query")
         return map_arrow(dealt.select("part", "vec_id", "v", "dim", "query", "bound"), _search_partition("dim", k), _FOUND)
 
     # pass 1: the partition with the longest vectors gives every query a bound
-    first = search(
-        base.where("part = 0"), queries.select(F.lit(0).alias("part"), "vec_id", "v", "dim", F.lit(_NO_BOUND).alias("bound"))
-    )
+    copies = base.where("part = 0").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    first = search(copies, queries.withColumn("part", F.lit(0)).withColumn("bound", F.lit(_NO_BOUND)))
     first = materialize(first, "topk-first")
     bounds = (
         _ranked(first, k).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
     ).where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), F.col("kth").cast("double").alias("bound"))
     bounded = queries.join(bounds, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(_NO_BOUND)))
-    # pass 2: a query visits only partitions whose longest vector can reach its bound
-    visits = bounded.join(F.broadcast(stats.where("part > 0")), "dim").where(
-        F.col("bound") <= F.col("len") * F.col("longest") * F.lit(1 + 1e-9) + F.lit(1e-9)
+    # pass 2: a query visits only partitions whose longest vector can reach its bound.
+    # One row of at most ``parts`` lengths, 16 bytes for every ``part_rows`` vectors.
+    longest = (
+        base.where("part > 0").groupBy("part").agg(F.max("len").alias("longest"))
+        .agg(F.collect_list(F.struct("part", "longest")).alias("ends")).withColumn("one", F.lit(1))
+    )
+    reach = F.filter(
+        "ends", lambda p: F.col("bound") <= F.col("len") * p["longest"] * F.lit(1 + 1e-9) + F.lit(1e-9)
     )
-    rest = search(base.where("part > 0"), visits.select("part", "vec_id", "v", "dim", "bound"))
+    visits = (
+        bounded.withColumn("one", F.lit(1)).join(F.broadcast(longest), "one")
+        .select("vec_id", "v", "dim", "bound", "block", F.explode(F.transform(reach, lambda p: p["part"])).alias("part"))
+    )
+    wanted = visits.select("part", "block").distinct()
+    rest = search(base.where("part > 0").join(wanted, "part"), visits)
     return _ranked(first.unionByName(rest), k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
     )

@@ -16,9 +16,10 @@ def brute(rows, k=5):
     return sorted(out)
 
 
-@pytest.mark.parametrize("spread", [0.0, 2.0])
-def test_matches_brute_force(spark, monkeypatch, spread):
+@pytest.mark.parametrize("spread, block", [(0.0, 8192), (2.0, 8192), (0.0, 7), (2.0, 7)])
+def test_matches_brute_force(spark, monkeypatch, spread, block):
     monkeypatch.setattr(norm_topk, "BUCKET", 40)
+    monkeypatch.setattr(norm_topk, "QUERY_BLOCK", block)
     rng = np.random.default_rng(3)
     unit = rng.normal(size=(600, 8))
     unit[300:450] = unit[300] + 0.05 * rng.normal(size=(150, 8))  # near the same direction: high cosines
@@ -41,3 +42,21 @@ def test_empty_few_and_large(spark):
     assert [tuple(r) for r in few] == [(10, 1, 11, 2**31 + 10), (10, 2, 11, 9)]
     big = top_k(make([(10, [2**40, 1]), (11, [2**40, 1]), (12, [-(2**40), 0])]), asked).collect()
     assert [r.score for r in big] == [2**63 - 1, -(2**63)]
+
+
+def test_queries_of_one_part_are_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(norm_topk, "QUERY_BLOCK", 20)
+    dealt = []
+    real = norm_topk.map_arrow
+
+    def seen(df, task, schema):
+        dealt.append(df.where("query").groupBy("part").count().collect())
+        return real(df, task, schema)
+
+    monkeypatch.setattr(norm_topk, "map_arrow", seen)
+    rng = np.random.default_rng(5)
+    rows = [(i, [int(x) for x in rng.integers(-99, 99, 4)]) for i in range(400)]
+    out = top_k(spark.createDataFrame(rows, "vec_id long, v array<long>"), F.col("vec_id") % 2 == 0, part_rows=100)
+    assert out.count() == 200 * 5
+    for counts in dealt:  # 200 queries in 10 blocks: no (part, block) holds many of them
+        assert len(counts) >= 10 and max(r[1] for r in counts) <= 45
