@@ -6,8 +6,9 @@ labelled rows, the risk of a classifier can be written from these two sets
 alone: prior * R+(positives as toxic) + max(0, R-(unlabelled as clean) - prior
 * R-(positives as clean)).  The clamp keeps the estimated clean risk from going
 negative, where a flexible model would only memorise.  A linear numpy model
-over hashed words and word prefixes is trained on that risk; Spark gathers the
-sample's feature counts and scores every document.
+over hashed words and word prefixes is trained on that risk.  Spark counts the
+features over all learnable documents to choose the model's, gathers the
+sample's counts of these, and scores every document.
 """
 from __future__ import annotations
 
@@ -30,6 +31,7 @@ UNLABELLED = 24_000  # expected number of unlabelled documents fitted on, at mos
 FEATURES = 4_096  # features kept for the model
 PER_POSITIVE = 4  # and at most this many per fitted toxic document
 HASH_BITS = 20
+MAX_BROADCAST_IDS = 1 << 20  # confirmed toxic ids up to which they are broadcast; more are joined by a shuffle
 PREFIXES = (4, 5, 6, 7)  # word prefixes that are features, in characters
 TRIM = ".,;:!?\"'()[]"
 ITERATIONS = 400
@@ -120,11 +122,11 @@ def fold(key: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds, F.lit(0))
 
 
-def _sample(df: DataFrame, size: int, total: int, salt: str) -> DataFrame:
-    """Rows whose hashed id falls below the rate that leaves about ``size`` of ``total``."""
+def _drawn(size: int, total: int, salt: str) -> Column:
+    """True for rows (``doc_id``, ``_h``: hash of the text) whose hash leaves about ``size`` of ``total``."""
     if total <= size:
-        return df
-    return df.where(F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 40)) < int((1 << 40) * size / total))
+        return F.lit(True)
+    return F.pmod(F.xxhash64(F.lit(salt), "doc_id", "_h"), F.lit(1 << 40)) < int((1 << 40) * size / total)
 
 
 def train(
@@ -134,7 +136,9 @@ def train(
     """Fit on documents outside fold 0.
 
     ``positives`` and ``unlabelled`` bound the expected size of the two samples
-    (drawn by hashed id, whole texts); nothing else is limited.  A document is
+    the weights are fitted on.  They are drawn by hashed (id, text) and hold
+    equal rows once, so an id or a row that repeats cannot swell them.  The
+    features are chosen by counts over all learnable rows.  A document is
     confirmed toxic if any of its label rows says so; null labels and ids are
     ignored.  Without positives the model gives every text the score 0.01.
     """
@@ -150,33 +154,46 @@ def train(
         return empty
     prior = min(max(p / n, 1e-4), 0.9)
     learnable = docs.select("doc_id", "text").where(learn & F.col("doc_id").isNotNull())
-    all_rows = docs.select("doc_id").count()
-    pos_ids = _sample(known.where("toxic = 1").select("doc_id"), positives, p, "positive").withColumn("pos", F.lit(True))
-    unl = _sample(learnable.select("doc_id"), unlabelled, all_rows, "unlabelled").distinct().withColumn("unl", F.lit(True))
-    chosen = pos_ids.join(unl, "doc_id", "full").na.fill(False, ["pos", "unl"])  # bounded by the two sample sizes
-    sample = learnable.join(F.broadcast(chosen), "doc_id").withColumn("row", F.monotonically_increasing_id())
-    sample = materialize(sample, "pu-sample")
+    confirmed = known.where("toxic = 1").select("doc_id", F.lit(True).alias("pos"))
+    flagged = learnable.join(F.broadcast(confirmed) if p <= MAX_BROADCAST_IDS else confirmed, "doc_id", "left").select(
+        "doc_id", "text", F.coalesce("pos", F.lit(False)).alias("pos"), F.xxhash64("text").alias("_h")
+    )
     schema = T.StructType([T.StructField("f", T.LongType()), T.StructField("p", T.LongType()), T.StructField("u", T.LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 1 << HASH_BITS  # feature ``size`` counts the rows
+        p, u = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
         for b in chunks(batches, limit=CHUNK_BYTES):
             row, f, _ = _counts(b.column("text"), None)
-            pos = b.column("pos").to_numpy(zero_copy_only=False)[row]
-            unl = b.column("unl").to_numpy(zero_copy_only=False)[row]
-            size = 1 << HASH_BITS
-            np_, nu = np.bincount(f[pos], minlength=size), np.bincount(f[unl], minlength=size)
-            at = np.flatnonzero(np_ + nu)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np_[at]), pa.array(nu[at])], names=["f", "p", "u"])
-
-    sizes = sample.agg(F.sum(F.col("pos").cast("long")).alias("p"), F.sum(F.col("unl").cast("long")).alias("u")).first()
-    n_p, n_u = int(sizes["p"] or 0), int(sizes["u"] or 0)
-    if n_p == 0 or n_u == 0:
+            pos = b.column("pos").to_numpy(zero_copy_only=False)
+            p[:size] += np.bincount(f[pos[row]], minlength=size)
+            u[:size] += np.bincount(f, minlength=size)
+            p[size] += int(pos.sum())
+            u[size] += b.num_rows
+        at = np.flatnonzero(u)
+        for x in range(0, len(at), 1 << 16):
+            some = at[x : x + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(p[some]), pa.array(u[some])], names=["f", "p", "u"])
+
+    # a task sends each feature once; together at most 2^HASH_BITS + 1 rows
+    counted = materialize(
+        map_arrow(flagged.select("text", "pos"), count, schema).groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u")),
+        "pu-features",
+    )
+    sizes = counted.where(F.col("f") == 1 << HASH_BITS).first()
+    n_p, n_u = (int(sizes["p"]), int(sizes["u"])) if sizes else (0, 0)
+    if n_p == 0:
         return empty
+    in_pos, in_unl = F.col("pos") & _drawn(positives, n_p, "positive"), _drawn(unlabelled, n_u, "unlabelled")
+    sample = (
+        flagged.select("doc_id", "text", "_h", in_pos.alias("pos"), in_unl.alias("unl")).where("pos or unl")
+        .groupBy("doc_id", "_h").agg(*[F.first(c).alias(c) for c in ("text", "pos", "unl")])
+        .select("text", "pos", "unl")
+    )
     a, b = F.col("p") / n_p, F.col("u") / n_u
     z = F.abs(a - b) / F.sqrt(F.greatest(a, b) * (1 - F.least(a, b)) / n_p + 1e-9)
     picked = (
-        map_arrow(sample, count, schema).groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-        .where(F.col("p") + F.col("u") >= 3).orderBy(z.desc(), "f")
+        counted.where((F.col("f") < 1 << HASH_BITS) & (F.col("p") + F.col("u") >= 3)).orderBy(z.desc(), "f")
         .limit(min(features, PER_POSITIVE * n_p)).select("f").collect()
     )  # at most ``features`` rows
     column = np.full(1 << HASH_BITS, -1, np.int32)
@@ -190,7 +207,7 @@ def train(
             row, f, n = _counts(b.column("text"), column)
             cut = np.searchsorted(row, np.arange(b.num_rows + 1))
             fs = [f[x:y].astype("<u2").tobytes() for x, y in zip(cut[:-1], cut[1:])]
-            ns = [np.minimum(n[x:y], 65535).astype("<u2").tobytes() for x, y in zip(cut[:-1], cut[1:])]
+            ns = [n[x:y].astype("<u4").tobytes() for x, y in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays([b.column("pos"), b.column("unl"), pa.array(fs, pa.binary()), pa.array(ns, pa.binary())], names=entry.names)
 
     # one short record per sampled document: bounded by the sample sizes
@@ -199,7 +216,7 @@ def train(
     fs = [np.frombuffer(r["f"], "<u2") for r in rows]
     doc = np.repeat(np.arange(len(rows)), [len(x) for x in fs])
     feature = np.concatenate([*fs, np.empty(0, "<u2")]).astype(np.int64)
-    value = np.log1p(np.concatenate([*(np.frombuffer(r["n"], "<u2") for r in rows), np.empty(0, "<u2")]).astype(np.float64))
+    value = np.log1p(np.concatenate([*(np.frombuffer(r["n"], "<u4") for r in rows), np.empty(0, "<u4")]).astype(np.float64))
     flags = np.array([(r["pos"], r["unl"]) for r in rows], bool).reshape(-1, 2)
     weights, bias = fit_nnpu(doc, feature, value, flags[:, 0], flags[:, 1], prior, max(1, len(picked)))
     return ToxicityModel(column, weights, bias, prior)

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -75,3 +77,20 @@ def test_prefixes_and_counts():
     row, f, n = pu_toxicity._counts(pa.array(["Idiot, idiot idiotic", "", None]), None)
     assert set(row.tolist()) == {0}
     assert sorted(n.tolist(), reverse=True)[:2] == [3, 2]  # the prefix of all three, the word of two
+
+
+def test_samples_hold_repeated_ids_and_rows_once(spark, monkeypatch):
+    rows = [(i, f"calm words number {i} here") for i in range(400)] + [(7, "calm words again and again")] * 3_000
+    rows += [(1_000 + i, f"you idiot scum number {i}") for i in range(60)] + [(1_001, "you idiot scum repeated")] * 2_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 0) for i in range(400)] + [(1_000 + i, 1) for i in range(60)], "doc_id long, toxic int")
+    fitted = []
+    real = fit_nnpu
+    monkeypatch.setattr(pu_toxicity, "fit_nnpu", lambda d, f, v, pos, unl, *rest: fitted.append((int(pos.sum()), len(pos))) or real(d, f, v, pos, unl, *rest))
+    out = score(docs, train(docs, labels)).select("doc_id", "score").distinct().collect()
+    learned = [r for r in set(rows) if r[0] != 0 and zlib.crc32(str(r[0]).encode()) % 5]
+    toxic = [r for r in learned if r[0] >= 1_000]
+    assert fitted[0][0] == len(toxic) and abs(fitted[0][1] - len(learned)) <= 1
+    assert all((r.score >= 0.5) == (r.doc_id >= 1_000) for r in out)
+    train(docs, labels, positives=20, unlabelled=100)
+    assert fitted[1][0] <= 40 and fitted[1][1] <= 200
