@@ -28,8 +28,9 @@ END_ID = 1
 BLOCK_WINDOWS = 64  # windows partitioned together
 MAX_PIECE = 256  # remainders are cut into pieces of at most this many ids
 SLACK = 8  # ids per window a block is planned below capacity
-CACHE_BYTES = 40 << 20  # what a task remembers of word parts and their ids, and as much of other words
-CHUNK_BYTES = 1 << 20  # text a task tokenizes at once
+CACHE_BYTES = 80 << 20  # what a task remembers of words, their pieces and ids
+CHUNK_BYTES = 2 << 20  # text a task tokenizes at once
+PIECES = 1 << 14  # pieces of words given to the model at once
 _SEQUENCE_SHIFT = 40  # sequence_id = partition << 40 | number in the partition
 
 
@@ -120,84 +121,135 @@ class Packer:
         self.items, self.held = [], 0
 
 
+def _strings(values: pa.Array) -> list[str]:
+    """``to_pylist`` without a scalar object per value."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordTokenizer:
     """Ids of texts through the ids of their distinct words.
 
     White space only separates tokens in this vocabulary, so a text's ids are
     its words' ids in order.  Words of ASCII and Latin letters are split by the
-    tokenizer's own pattern here and given to its BPE model directly; any other
-    word goes through the whole tokenizer.
+    tokenizer's own pattern here, all at once, and their distinct pieces given
+    to its BPE model directly; any other word goes through the whole tokenizer.
     """
 
-    # Fixed values of the tokenizer file: its split pattern, for the plain words below.
-    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+"
-    PLAIN = r"[\x21-\x7eÀ-ÖØ-öø-įı-ňŊ-ž]+"
+    # Fixed values of the tokenizer file: its split pattern for the plain words below (the
+    # space between two words is a piece without ids), and what ends a piece's last token.
+    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ ]+| "
+    PLAIN = r"^[\x21-\x7eÀ-ÖØ-öø-įı-ňŊ-ž]+$"
+    PIECE = r"^[a-z]+$"  # words that are pieces themselves
+    END = "</w>"
 
     def __init__(self, path: str):
         import re
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
+        self.bare = Tokenizer(self.whole.model)  # takes pieces joined by spaces
+        self.bare.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
         self.split = re.compile(self.SPLIT).findall
-        self.plain = re.compile(self.PLAIN).fullmatch
+        vocabulary = self.whole.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
+        self.last[[i for t, i in vocabulary.items() if t.endswith(self.END)]] = True
         # byte-level alphabet: printable bytes stand for themselves, others follow from 256 on
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         table = {b: b for b in shown}
         table |= {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in table)}
         self.alphabet = {b: chr(c) for b, c in table.items()}
-        self.numbers = list(range(self.whole.get_vocab_size()))  # one shared object per id
         self.forget()
 
     def forget(self) -> None:
         """Empty the memory of words; a worker outlives its task."""
-        self.parts: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.room = [CACHE_BYTES, CACHE_BYTES]
-
-    def _keep(self, kind: int, key: str, ids: tuple[int, ...]) -> None:
-        size = 230 + 2 * len(key) + 8 * len(ids)  # entry, text and tuple, about
-        if self.room[kind] >= size:
-            self.room[kind] -= size
-            (self.words, self.parts)[kind][key] = ids
-
-    def part(self, s: str) -> tuple[int, ...]:
-        ids = self.parts.get(s)
-        if ids is None:
-            mapped = s if s.isascii() else "".join(map(self.alphabet.__getitem__, s.encode()))
-            numbers = self.numbers
-            ids = tuple([numbers[t.id] for t in self.model.tokenize(mapped)])
-            self._keep(1, s, ids)
-        return ids
-
-    def word(self, w: str) -> tuple[int, ...]:
-        if w.isascii() and w.isalpha():
-            return self.part(w.lower())  # remembered there
-        if "<|" in w or not self.plain(w):
-            ids = tuple(self.whole.encode(w, add_special_tokens=False).ids)
-        else:
-            ids = tuple([i for p in self.split(w.lower()) for i in self.part(p)])
-        self._keep(0, w, ids)
-        return ids
+        self.numbers: dict[str, int] = {" ": 0}  # of words and pieces
+        self.ids = np.empty(0, np.uint32)  # of all numbers, one after the other
+        self.sizes = np.zeros(1, np.int32)  # how many ids a number has
+        self.added: list[str] = []  # what was numbered last
+        self.room = CACHE_BYTES
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the numbers, one after the other; how many there are before each, and in all)."""
+        n = self.sizes[numbers]
+        bounds = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+        first = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        at = np.repeat(first[numbers] - bounds[:-1], n)
+        at += np.arange(len(at))
+        return self.ids[at], bounds
+
+    def _add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.numbers.update(zip(keys, range(len(self.sizes), len(self.sizes) + len(keys))))
+        self.added += keys
+        self.ids = np.concatenate((self.ids, ids.astype(np.uint32, copy=False)))
+        self.sizes = np.concatenate((self.sizes, sizes.astype(np.int32, copy=False)))
+
+    def _add_pieces(self, pieces: list[str]) -> None:
+        alphabet = self.alphabet.__getitem__
+        for a in range(0, len(pieces), PIECES):
+            part = pieces[a : a + PIECES]
+            mapped = " ".join([s if s.isascii() else "".join(map(alphabet, s.encode())) for s in part])
+            (coded,) = self.bare.encode_batch_fast([mapped], add_special_tokens=False)
+            ids = np.array(coded.ids, np.uint32)
+            self._add(part, ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
+
+    def _learn(self, new: list[str]) -> None:
+        """Number words that have no number, after the pieces they are made of."""
+        words = pa.array(new, pa.string())
+        piece = pc.match_substring_regex(words, self.PIECE)
+        plain = pc.and_not(pc.match_substring_regex(words, self.PLAIN), pc.match_substring(words, "<|"))
+        made = _strings(words.filter(pc.and_not(plain, piece)))
+        pieces = pa.array(self.split(" ".join(made).lower()), pa.string()).dictionary_encode()
+        distinct, index = _strings(pieces.dictionary), pieces.indices.to_numpy()
+        known = self.numbers
+        fresh = dict.fromkeys(_strings(words.filter(piece)))
+        fresh.update(dict.fromkeys([p for p in distinct if p not in known]))
+        self._add_pieces(list(fresh))
+        if made:
+            number = np.array([known[p] for p in distinct], np.int64)[index]
+            ids, bounds = self._gather(number)
+            sizes = np.diff(np.append(bounds[np.flatnonzero(number == 0)], len(ids)), prepend=0)
+            longer = np.array([w not in known for w in made])  # the others are pieces
+            self._add([w for w, x in zip(made, longer.tolist()) if x], ids[np.repeat(longer, sizes)], sizes[longer])
+        other = _strings(words.filter(pc.invert(plain)))
+        if other:
+            coded = [self.whole.encode(w, add_special_tokens=False).ids for w in other]
+            sizes = np.array([len(x) for x in coded])
+            self._add(other, np.fromiter(chain.from_iterable(coded), np.uint32, int(sizes.sum())), sizes)
+
+    def _trim(self, before: int) -> None:
+        """Of the numbers given since there were ``before``, keep the first ones there is room for."""
+        length = np.fromiter(map(len, self.added), np.int64, len(self.added))
+        size = 190 + 2 * length + 4 * self.sizes[before : before + len(length)]  # entry, text and ids, about
+        used = np.cumsum(size)
+        kept = int(np.searchsorted(used, self.room, "right"))
+        self.room -= int(used[kept - 1]) if kept else 0
+        for _ in range(len(length) - kept):
+            self.numbers.popitem()  # the last one
+        self.sizes = self.sizes[: before + kept].copy()
+        self.ids = self.ids[: int(self.sizes.sum(dtype=np.int64))].copy()
+        self.added = []
 
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, start of each text's ids); every text ends with ``end_id``."""
         if not pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens are case-sensitive
             texts = pc.ascii_lower(texts)
         distinct, index, starts = words(texts)
-        plain, known, word = self.parts.get, self.words.get, self.word
-        per_word = [plain(w) or known(w) or word(w) for w in distinct.to_pylist()]
-        per_word.append((end_id,))
-        lens = np.fromiter(map(len, per_word), np.int64, len(per_word))
-        flat = np.fromiter(chain.from_iterable(per_word), np.uint32, int(lens.sum()))
-        first = np.concatenate(([0], np.cumsum(lens)[:-1]))
-        index = np.insert(index, starts[1:], len(per_word) - 1)
-        n = lens[index]
-        ends = np.cumsum(n)
-        ids = flat[np.repeat(first[index] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        bounds = np.concatenate(([0], ends))[starts + np.arange(len(starts))]
-        return ids, bounds
+        listed = _strings(distinct)
+        before, known = len(self.sizes), self.numbers
+        numbers = np.array([known.get(w, -1) for w in listed], np.int64)
+        unknown = np.flatnonzero(numbers < 0)
+        new = [listed[i] for i in unknown.tolist()]
+        del listed
+        if new:
+            self._learn(new)
+            numbers[unknown] = [known[w] for w in new]
+        self._add([], np.array([end_id]), np.array([1]))
+        numbers = np.append(numbers, len(self.sizes) - 1)
+        index = np.insert(index, starts[1:], len(numbers) - 1)
+        ids, bounds = self._gather(numbers[index])
+        self._trim(before)
+        return ids, bounds[starts + np.arange(len(starts))]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}

@@ -2,10 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from graphloom.llm import packing
 from graphloom.llm.packing import differencing, pack_documents, partition
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -79,3 +81,35 @@ def test_tiny_capacity(spark, capacity):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, None)], "doc_id long, text string")
     out = pack_documents(docs, PATH, capacity=capacity, slack=0, max_piece=3).collect()
     assert sum(r.length for r in out) == 12 and max(r.length for r in out) <= capacity
+
+
+@pytest.mark.parametrize("room", [0, 20_000, 80 << 20])
+def test_words_are_encoded_many_at_a_time(monkeypatch, room):
+    """Plain words reach the model in a few calls, and ids do not depend on what is remembered."""
+    monkeypatch.setattr(packing, "CACHE_BYTES", room)
+    tokenizer = packing.WordTokenizer(PATH)
+    calls = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return bare.encode_batch_fast(texts, **options)
+
+    bare, tokenizer.bare = tokenizer.bare, Counted()
+    rng = random.Random(5)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(rng.randint(1, n)))
+    plain = [some("abcdefgXYZéÉßœŒ", 9) + some("'s.,!#7&-", 4) for _ in range(20_000)]
+    odd = ["日本語", "İx", "ŉ", "<|endoftext|>", "a<|b", "é", "\x01\x02", "x\xa0y", " ", "''s", "don't", "THE", "the", "é", "É"]
+    texts = [" ".join(rng.choices(plain, k=700) + rng.choices(odd, k=9)) for _ in range(40)]
+    texts += ["", " \n", *odd, " ".join(plain)]
+    rng.shuffle(texts)
+    for part in (texts[:20], texts[20:30], texts[30:], texts):
+        calls.clear()
+        ids, bounds = tokenizer(pa.array(part), 1)
+        assert len(calls) <= 4 and bounds[0] == 0 and bounds[-1] == len(ids)
+        for t, a, b in zip(part, bounds[:-1], bounds[1:]):
+            assert ids[a:b].tolist() == tokenizer.whole.encode(t, add_special_tokens=False).ids + [1]
+        assert tokenizer.room >= 0 and len(tokenizer.numbers) == len(tokenizer.sizes)
+    assert (room > 20_000) == (len(tokenizer.numbers) > 10_000)
+    tokenizer.forget()
+    assert len(tokenizer.numbers) == 1 and tokenizer.room == room
